@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import runs
+from tapeloom.llm import garble, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": runs.p2_found,
     "p2_runs": runs.p2_runs,
+    "p3_found": garble.p3_found,
+    "p3_repaired": garble.p3_repaired,
 }
 
 SQL: dict[str, str] = {}
