@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import garble, runs
+from tapeloom.llm import bpe, garble, packing, residue, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": runs.p2_found,
     "p2_runs": runs.p2_runs,
     "p3_found": garble.p3_found,
     "p3_repaired": garble.p3_repaired,
+    "p6_ids": bpe.p6_ids,
+    "p6_round_trip": bpe.p6_round_trip,
+    "p7_packed": packing.p7_packed,
+    "p7_fill": packing.p7_fill,
+    "p8_found": residue.p8_found,
+    "p8_reasons": residue.p8_reasons,
+    "p8_kept": residue.p8_kept,
 }
 
 SQL: dict[str, str] = {}
