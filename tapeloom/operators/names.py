@@ -126,8 +126,8 @@ def _named(label: Column, t: Column, aliases: dict[str, str]) -> Column:
 JOURNALIST_SK, OPERATOR_SK = _skeleton_py(JOURNALIST), _skeleton_py(OPERATOR)
 
 
-def resolve_names(segments: DataFrame, audio_files: DataFrame, speaker_roles: DataFrame, role_aliases: DataFrame, name: str = "name", salts: int = 16) -> DataFrame:
-    """Adds ``name`` to segments (which need file_id, tape_no, speaker, raw_speaker_id).
+def resolve_names(segments: DataFrame, audio_files: DataFrame, speaker_roles: DataFrame, role_aliases: DataFrame, name: str = "name", salts: int = 16, surname: str | None = None) -> DataFrame:
+    """Adds ``name`` (and the expert's ``surname``, if asked for) to segments (which need file_id, tape_no, speaker, raw_speaker_id).
 
     The dimension is repeated ``salts`` times so that the rows of one tape are
     spread over as many tasks; Spark broadcasts it instead where its measured
@@ -140,4 +140,6 @@ def resolve_names(segments: DataFrame, audio_files: DataFrame, speaker_roles: Da
     rows = rows.withColumns({"_t": skeleton(F.col("speaker")), "_r": skeleton(F.col("raw_speaker_id"))})
     rows = rows.withColumn("_by_label", _named(F.col("speaker"), F.col("_t"), aliases))
     by_raw = F.when(F.col("_by_label").isNull(), _named(F.col("raw_speaker_id"), F.col("_r"), aliases))
+    if surname:
+        rows = rows.withColumn(surname, F.col("_surname"))
     return rows.withColumn(name, F.coalesce("_by_label", by_raw, F.lit(UNKNOWN))).drop("_salt", "_t", "_r", "_by_label", "_surname", "_sur", "_lat", "_giv", "_roles")

@@ -18,9 +18,9 @@ def valid_segments(spark: SparkSession, d: str, columns: list[str]) -> DataFrame
     return latest(rows, "seg_id", "loaded_at", columns)
 
 
-def named_segments(spark: SparkSession, d: str, segments: DataFrame) -> DataFrame:
+def named_segments(spark: SparkSession, d: str, segments: DataFrame, surname: str | None = None) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
-    return resolve_names(segments, read("audio_files"), read("speaker_roles"), read("role_aliases"))
+    return resolve_names(segments, read("audio_files"), read("speaker_roles"), read("role_aliases"), surname=surname)
 
 
 def timed_and_named(spark: SparkSession, d: str) -> DataFrame:
