@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, garble, packing, residue, runs
+from tapeloom.llm import bpe, garble, packing, residue, runs, turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": runs.p2_found,
     "p2_runs": runs.p2_runs,
     "p3_found": garble.p3_found,
     "p3_repaired": garble.p3_repaired,
+    "p4_found": turns.p4_found,
+    "p4_turns": turns.p4_turns,
     "p6_ids": bpe.p6_ids,
     "p6_round_trip": bpe.p6_round_trip,
     "p7_packed": packing.p7_packed,
