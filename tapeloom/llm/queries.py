@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, garble, packing, residue, runs, turns
+from tapeloom.llm import bpe, dom, garble, packing, residue, runs, turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": runs.p2_found,
@@ -15,6 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_repaired": garble.p3_repaired,
     "p4_found": turns.p4_found,
     "p4_turns": turns.p4_turns,
+    "p5_found": dom.p5_found,
+    "p5_bodies": dom.p5_bodies,
     "p6_ids": bpe.p6_ids,
     "p6_round_trip": bpe.p6_round_trip,
     "p7_packed": packing.p7_packed,
