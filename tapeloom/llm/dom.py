@@ -39,16 +39,26 @@ SCOPE = frozenset("table ul ol dl div article section main td body".split())
 CLOSES_P = frozenset("p div table ul ol dl h1 h2 h3 h4 h5 h6 blockquote article section main header footer nav aside center hr form pre".split())
 HREF = re.compile(r"href\s*=\s*[\"']?([^\"'\s>]*)", re.I)
 ATTR = re.compile(r"(?:class|id)\s*=\s*[\"']?([^\"'>]*)", re.I)
+DIGITS = re.compile(r"\d")
 LETTERS = re.compile(r"[^\W_]+")
 # Attribute tokens by what they tell.
 ATTRIBUTES = [re.compile(p, re.I) for p in (r"menu|nav|breadcrumb", r"content|article|main|body|text|entry|post", r"foot|bottom|copy", r"side|widget|related|links|teaser|aside", r"head|top|logo|banner", r"author|byline|title", r"cookie|notice|popup|dialog|consent")]
 TAGS = ["body", "div", "p", "li", "td", "h1", "h2", "h3", "h4", "blockquote", "br", "hr", "article", "main", "section", "aside", "header", "footer", "nav", "dialog", "center", "table", "ul", "tr"]
 TAG_AT = {t: i + 1 for i, t in enumerate(TAGS)}
 # Words of site furniture; a wrongly decoded page has none of them and is judged by its structure.
-FURNITURE = re.compile(
-    r"cookie|куки|©|все права|rights reserved|alle rechte|сайт работает|счётчик|последнее обновление|last updated|letzte änderung|дизайн и поддержка|нашли ошибку|при перепечатке|nachdruck nur|reprint|популярное|новые поступления|читайте также|lesen sie auch|read also|see also|поделиться|теги|похожие|комментарии закрыты|случайное фото|назад к списку|версия для печати|подпишитесь|реклама|newsletter|ähnliche|teilen|share|tags|related|popular|kommentare|comments|druckversion|print version|zurück|back to|werbung|advert|zufallsbild|random photo|neu im|new arrivals|настройк|datenschutz|privacy|сторонних|подписк|обезличенн",
-    re.I,
+FURNITURE = tuple(
+    "cookie|куки|© |все права|rights reserved|alle rechte|сайт работает|счётчик|последнее обновление|last updated|letzte änderung|дизайн и поддержка|нашли ошибку|при перепечатке|nachdruck nur|reprint|популярное|новые поступления|читайте также|lesen sie auch|read also|see also|поделиться|теги|похожие|комментарии закрыты|случайное фото|назад к списку|версия для печати|подпишитесь|реклама|newsletter|ähnliche|teilen|share|tags|related|popular|kommentare|comments|druckversion|print version|zurück|back to|werbung|advert|zufallsbild|random photo|neu im|new arrivals|настройк|datenschutz|privacy|сторонних|подписк|обезличенн".split("|")
 )
+
+
+def is_furniture(text: str) -> bool:
+    low = text.lower()
+    for s in FURNITURE:
+        if s in low:
+            return True
+    return False
+
+
 PROSE_END = re.compile(r"[.!?…»\")\]]\s*\Z")
 
 
@@ -187,14 +197,17 @@ def home_of(headline: Leaf) -> Node:
     return m
 
 
-def _few(x: float, edges: tuple[float, ...]) -> int:
-    for i, e in enumerate(edges):
-        if x < e:
-            return i
-    return len(edges)
+_SIZE, _SHARE, _COUNT = (8, 16, 24, 40, 60, 90, 140, 220, 400, 800, 1600), (0.02, 0.15, 0.35, 0.6, 0.85, 0.97), (1, 2, 3, 4, 6, 9, 14, 22, 40)
+#: How a column of raw features is binned; None: it is a small whole number already.
+_EDGES = [None, None, None, None, _SIZE, _SHARE, _SHARE, _SHARE, _COUNT, None, None, None, None, _COUNT, _COUNT, _COUNT, _COUNT, _COUNT, _COUNT, _COUNT, _COUNT, _SHARE, _SHARE, _SIZE, _COUNT, None, None, None, None, _COUNT, None, None, _COUNT, _COUNT, None, None, None, _SHARE, None, None]
 
 
-_SIZE, _SHARE, _COUNT = (8, 16, 24, 40, 60, 90, 140, 220, 400, 800, 1600), (0.02, 0.15, 0.35, 0.6, 0.85, 0.97), (1, 2, 3, 4, 6, 9, 14, 22, 40)
+def binned(rows: list[tuple]) -> np.ndarray:
+    raw = np.array(rows, np.float32).reshape(-1, FEATURES)
+    out = np.empty(raw.shape, np.uint8)
+    for k, e in enumerate(_EDGES):
+        out[:, k] = np.minimum(raw[:, k], 127) if e is None else np.searchsorted(np.array(e, np.float32), raw[:, k], side="right")
+    return out
 
 
 @lru_cache(20_000)
@@ -203,8 +216,8 @@ def _told(attrs: str) -> int:
     return sum(1 << i for i, p in enumerate(ATTRIBUTES) if any(p.search(x) for x in a)) if a else 0
 
 
-def features(title: str, root: Node, leaves: list[Leaf]) -> tuple[np.ndarray, list[Node]]:
-    """(binned features of every node with text, those nodes); leaves among them in the order of the page."""
+def features(title: str, root: Node, leaves: list[Leaf]) -> tuple[list[tuple], list[Node]]:
+    """(raw features of every node with text, those nodes); leaves among them in the order of the page."""
     nodes = [n for n in nodes_of(root) if n.pieces]
     for i, leaf in enumerate(leaves):
         leaf.index = i
@@ -214,7 +227,7 @@ def features(title: str, root: Node, leaves: list[Leaf]) -> tuple[np.ndarray, li
     head = next((i for i in heads if leaves[i].sited * 2 <= leaves[i].chars), heads[0] if heads else -1)
     guess = head if head >= 0 else next((i for i, x in enumerate(leaves) if x.node.up.tag in ("h1", "h2") and not x.sited), -1)
     home = home_of(leaves[guess]) if guess >= 0 else None
-    furn = [bool(FURNITURE.search(x.text)) for x in leaves]
+    furn = [is_furniture(x.text) for x in leaves]
     hot = [f or x.sited * 2 > x.chars for f, x in zip(furn, leaves, strict=True)]
     n = len(leaves)
     # pieces since and until the next piece that looks like furniture or a site link
@@ -243,38 +256,38 @@ def features(title: str, root: Node, leaves: list[Leaf]) -> tuple[np.ndarray, li
             a, b = spans.get(id(m), (x.index, x.index))
             spans[id(m)] = (min(a, x.index), max(b, x.index))
             m = m.up
-    out = np.zeros((len(nodes), FEATURES), np.uint8)
+    out: list[tuple] = []
+    kin: dict[int, dict[str, int]] = {}
+    above: dict[int, tuple[int, int]] = {}
     total = max(1, root.chars)
-    for r, m in enumerate(nodes):
+    for m in nodes:
         a, b = spans[id(m)]
         leaf = m.leaf
         up = m.up or m
-        same = [c for c in up.children if c.tag == m.tag]
-        told = chain = _told(m.attrs) if m.attrs else 0
-        inside = 0
-        x = up
-        for _ in range(12):
-            if x is None:
-                break
-            if x.attrs:
-                chain |= _told(x.attrs)
-            if x is home:
-                inside = 1
-            x = x.up
+        tags = kin.get(id(up))
+        if tags is None:
+            tags = kin[id(up)] = {}
+            for c in up.children:
+                tags[c.tag] = tags.get(c.tag, 0) + 1
+        told = _told(m.attrs) if m.attrs else 0
+        # attribute tokens of all ancestors, and whether the headline's element is among them (parents come first)
+        chain, inside = above.get(id(m.up), (0, 0)) if m.up else (0, 0)
+        chain |= told
+        above[id(m)] = (chain, 1 if inside or m is home else 0)
         inside = 2 if m is home else inside
         c = max(1, m.chars)
         text = leaf.text if leaf else ""
         mid = guess if guess >= 0 else -1
-        out[r] = (
+        out.append((
             1 if leaf else 0, TAG_AT.get(m.tag if not leaf else up.tag, 0), TAG_AT.get((up.up or up).tag if leaf else up.tag, 0), min(m.depth, 15),
-            _few(m.chars, _SIZE), _few(m.linked / c, _SHARE), _few(m.sited / c, _SHARE), _few(m.chars / total, _SHARE), _few(m.pieces, _COUNT),
+            m.chars, m.linked / c, m.sited / c, m.chars / total, m.pieces,
             told & 127, chain & 127, inside, 0 if mid < 0 else 1 if b < mid else 2 if a == mid else 3 if a > mid else 4,
-            _few(abs(a - mid), _COUNT) if mid >= 0 else 15, _few(ended[a], _COUNT), _few(ended[b], _COUNT), _few(ruled[a], _COUNT), _few(since[a], _COUNT), _few(until[b], _COUNT),
-            _few(len(same), _COUNT), _few(len(up.children), _COUNT), _few(up.linked / max(1, up.chars), _SHARE), _few(up.sited / max(1, up.chars), _SHARE), _few(up.chars, _SIZE), _few(up.pieces, _COUNT),
-            int(furn[a]), int(any(furn[a : b + 1])) if b - a < 400 else 1, int(leaf.bold) if leaf else 0, int(bool(PROSE_END.search(text))) if leaf else 2, _few(text.count(" "), _COUNT) if leaf else 15,
-            TAG_AT.get(leaf.before, 0) if leaf else 30, TAG_AT.get(leaf.ahead, 0) if leaf else 30, _few(n - b, _COUNT), _few(a, _COUNT), int(hot[a - 1]) if a else 2, int(hot[b + 1]) if b + 1 < n else 2,
-            int(leaves[a - 1].sited > 0) if a else 2, _few(sum(ch.isdigit() for ch in text) / c, _SHARE) if leaf else 9, int("©" in text or "|" in text or "::" in text) if leaf else 2, int(guess == head) if guess >= 0 else 2,
-        )
+            abs(a - mid) if mid >= 0 else 15, ended[a], ended[b], ruled[a], since[a], until[b],
+            tags.get(m.tag, 0), len(up.children), up.linked / max(1, up.chars), up.sited / max(1, up.chars), up.chars, up.pieces,
+            int(furn[a]), int(any(furn[a : b + 1])) if b - a < 400 else 1, int(leaf.bold) if leaf else 0, int(bool(PROSE_END.search(text))) if leaf else 2, text.count(" ") if leaf else 15,
+            TAG_AT.get(leaf.before, 0) if leaf else 30, TAG_AT.get(leaf.ahead, 0) if leaf else 30, n - b, a, int(hot[a - 1]) if a else 2, int(hot[b + 1]) if b + 1 < n else 2,
+            int(leaves[a - 1].sited > 0) if a else 2, len(DIGITS.findall(text)) / c if leaf else 9, int("©" in text or "|" in text or "::" in text) if leaf else 2, int(guess == head) if guess >= 0 else 2,
+        ))
     return out, nodes
 
 
@@ -308,9 +321,9 @@ NODE_WEIGHT, MIXED = 0.5, 0.2
 def decode(nodes: list[Node], margin: np.ndarray) -> set[int]:
     """Ids of the leaves that are body: per subtree all, none or mixed, whichever the scores support most."""
     inn, out, best, how = {}, {}, {}, {}
-    for m, s in zip(reversed(nodes), reversed(margin.tolist()), strict=True):
-        s = max(-6.0, min(6.0, s))
-        li, lo = -np.logaddexp(0, -s), -np.logaddexp(0, s)
+    s = np.clip(margin, -6, 6)
+    log_in, log_out = -np.logaddexp(0, -s), -np.logaddexp(0, s)
+    for m, li, lo in zip(reversed(nodes), log_in[::-1].tolist(), log_out[::-1].tolist(), strict=True):
         k = id(m)
         if m.leaf:
             inn[k], out[k] = li, lo
@@ -346,9 +359,9 @@ def body_pieces(pages: list[str | None], trees: Trees) -> list[list[Leaf]]:
             continue
         x, nodes = features(title, root, leaves)
         found.append((leaves, nodes, at, at + len(x)))
-        rows.append(x)
+        rows += x
         at += len(x)
-    margin = trees.margin(np.concatenate(rows)) if rows else np.zeros(0)
+    margin = trees.margin(binned(rows)) if rows else np.zeros(0)
     out: list[list[Leaf]] = []
     for f in found:
         if f is None:

@@ -31,7 +31,7 @@ def teach(title: str, root: dom.Node, leaves: list[dom.Leaf]) -> list[bool] | No
     key = dom.key_of(own)
     at = [i for i, x in enumerate(leaves) if key and x.key == key and x.sited * 2 <= x.chars]
     if not at:
-        at = [i for i, x in enumerate(leaves) if x.node.up.tag in ("h1", "h2", "h3") and not x.sited and not dom.FURNITURE.search(x.text)][:1]
+        at = [i for i, x in enumerate(leaves) if x.node.up.tag in ("h1", "h2", "h3") and not x.sited and not dom.is_furniture(x.text)][:1]
     if not at:
         return None
     head = at[0]
@@ -48,7 +48,7 @@ def teach(title: str, root: dom.Node, leaves: list[dom.Leaf]) -> list[bool] | No
                 if i > head:
                     break
                 continue
-        furn = bool(dom.FURNITURE.search(x.text))
+        furn = dom.is_furniture(x.text)
         site = x.sited * 2 > x.chars
         teaser = furn and x.sited > 0 or site
         if i > head and flat and (x.before == "hr" or leaves[i - 1].ahead == "hr" or (furn or site) and not (furn and x.sited > 0)):
@@ -124,9 +124,9 @@ def main(folder: str) -> None:
                 up[1] += got[1]
         xs.append(x)
         ys.append([share[id(m)][0] * 2 > share[id(m)][1] for m in nodes])
-    x, y = np.concatenate(xs), np.concatenate(ys).astype(float)
+    x, y = dom.binned([r for x in xs for r in x]), np.concatenate(ys).astype(float)
     print(len(pages), "pages,", len(x), "nodes, not known:", unknown)
-    model = grow(np.minimum(x, 127), y)
+    model = grow(x, y)
     Path(__file__).with_name("models").joinpath("dom.json").write_text(json.dumps(model, separators=(",", ":")))
     dom.Trees.load.cache_clear()
     trees = dom.Trees.load()
