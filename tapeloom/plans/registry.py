@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.operators import speech_periods
+from tapeloom.plans import intervals, texts
 
-FLAGSHIP = "p1_periods"
+FLAGSHIP = "wn8_replica_islands"
 
-_MODULES: list = []
+_MODULES: list = [intervals, texts]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
