@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.operators import speech_periods
-from tapeloom.plans import intervals, texts, vocabulary
+from tapeloom.plans import intervals, machines, texts, vocabulary
 
 FLAGSHIP = "wn8_replica_islands"
 
-_MODULES: list = [intervals, texts, vocabulary]
+_MODULES: list = [intervals, texts, vocabulary, machines]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
