@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.operators import speech_periods
 from tapeloom.plans import intervals, machines, texts, vocabulary
+from tapeloom.streaming import windows
 
 FLAGSHIP = "wn8_replica_islands"
 
-_MODULES: list = [intervals, texts, vocabulary, machines]
+_MODULES: list = [intervals, texts, vocabulary, machines, windows]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
