@@ -16,6 +16,12 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+def likely(a: str, b: str, least: float) -> bool:
+    """ratio(a, b) >= least, ruled out by its upper bounds (lengths, then letter counts) where they are below."""
+    m = SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least
+
+
 def similarity(a: str | None, b: str | None) -> float:
     """TX1: matching blocks of two texts without regard to case and outer blanks; not symmetric."""
     a, b = (a or "").lower().strip(), (b or "").lower().strip()
@@ -38,7 +44,7 @@ def corrupted(gap: str, before: list[str]) -> bool:
         for k in range(min(len(mine), 6), 2, -1):
             a = [" ".join(mine[i : i + k]) for i in range(len(mine) - k + 1)]
             b = [" ".join(theirs[i : i + k]) for i in range(len(theirs) - k + 1)]
-            if any(2 * min(len(x), len(y)) / (len(x) + len(y)) >= 0.85 and ratio(x, y) >= 0.85 for x in a for y in b):
+            if any(likely(x, y, 0.85) for x in a for y in b):
                 return True
     return False
 
@@ -69,7 +75,7 @@ def without_loops(text: str) -> str:
             i += 3
             continue
         key = " ".join(gram).lower()
-        anchor = next((p for k, p in seen[-30:] if 2 * min(len(k), len(key)) / (len(k) + len(key)) >= 0.75 and ratio(k, key) >= 0.75), None)
+        anchor = next((p for k, p in seen[-30:] if k == key or likely(k, key, 0.75)), None)
         keep = anchor is None
         if not keep:
             then, now = " ".join(out[anchor + 3 : anchor + 6]).lower(), " ".join(words[i + 3 : i + 6]).lower()
@@ -93,7 +99,7 @@ def without_repeated_sentences(text: str) -> str:
         a, b = out[-1].lower().split(), p.lower().split()
         if 2 <= len(b) < len(a) and a[-len(b) :] == b:
             hit = True
-        elif similarity(out[-1], p) > 0.95:
+        elif out[-1] == p or likely(out[-1].lower(), p.lower(), 0.9500001):
             hit = True
             out[-1] = max(out[-1], p, key=len)
         else:
@@ -133,7 +139,7 @@ def seam(tail: str, head: str) -> int:
     a, b = tail.lower().split(), head.lower().split()
     for n in range(min(30, len(a), len(b)), 4, -1):
         x, y = " ".join(a[-n:]), " ".join(b[:n])
-        if 2 * min(len(x), len(y)) / (len(x) + len(y)) > 0.75 and ratio(x, y) > 0.75:
+        if likely(x, y, 0.7500001):
             return n
     return 0
 
