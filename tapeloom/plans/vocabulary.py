@@ -73,7 +73,7 @@ VERB = "(" + " OR ".join(f"regexp_matches(term, '(?i){re2(p)}')" for p in X.VERB
 per_term("prd22g_verb_inside", "verb", V.verb_inside, VERB)
 per_term("prd22h_sentence_fragment", "fragment", V.sentence_fragment, f"{NW} > 5 OR {VERB}")
 per_term("tx14_normalize_caps", "normal", V.normalize_caps, "array_to_string(list_transform(string_split(term, ' '), lambda x: CASE WHEN regexp_matches(x, '^\\p{Lu}{5,}$') THEN x[1] || lower(x[2:]) ELSE x END), ' ')")
-per_term("tx13_clean_term", "cleaned", V.clean_term, r"trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(term, '&\w+;|&#\d+;', ' ', 'g'), '\[[^\]]*\]', '', 'g'), '\([^A-Za-z)][^)]*\)', '', 'g'), '\s[—–-]\s', ' ', 'g'), '[«»""]|\s+', ' ', 'g')), '.,;: ')")
+per_term("tx13_clean_term", "cleaned", V.clean_term, r"trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(term, '&\w+;|&#\d+;', ' ', 'g'), '\[[^\]]*\]', '', 'g'), '\([^A-Za-z)][^)]*\)', '', 'g'), '\s[—–-]\s', ' ', 'g'), '[«»\x22]|\s+', ' ', 'g')), '.,;: ')")
 per_term("tx15_normalize_case", "normal", V.normalize_case, r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(term, '(?i)дивизии$', 'дивизия'), '(?i)бригады$', 'бригада'), '(?i)армии$', 'армия'), '(?i)роты$', 'рота')")
 per_term("tx16_normalize_term", "normal", V.normalize_term, r"trim(regexp_replace(term, '\s+', ' ', 'g'))")
 REASON = f"CASE WHEN {DATES} THEN 'english date' WHEN {GEN} THEN 'genitive' WHEN NOT ({VALID}) THEN 'not valid' ELSE 'kept' END"
@@ -273,7 +273,7 @@ def src12(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "rkka").filter("url is not null").select("page_id", F.concat(domain(F.col("url")), F.lit("/"), F.md5("url"), F.lit(".html")).alias("path"))
 
 
-@query("tx18_urls_in_text", r"SELECT page_id, rtrim(u, '.,;:') AS found FROM (SELECT page_id, unnest(regexp_extract_all('См. ' || url || '.', 'https?://[^\s\]>""''<\)]+')) AS u FROM rkka WHERE url IS NOT NULL)".replace('""', '"'))
+@query("tx18_urls_in_text", r"SELECT page_id, rtrim(u, '.,;:') AS found FROM (SELECT page_id, unnest(regexp_extract_all('См. ' || url || '.', 'https?://[^\s\]>\x22''<\)]+')) AS u FROM rkka WHERE url IS NOT NULL)")
 def tx18(spark: SparkSession, d: str) -> DataFrame:
     r = read(spark, d, "rkka").filter("url is not null").select("page_id", F.concat(F.lit("См. "), "url", F.lit(".")).alias("t"))
     return r.select("page_id", F.explode(F.regexp_extract_all("t", F.lit("(" + X.URL_PATTERN + ")"), F.lit(1))).alias("u")).select("page_id", F.regexp_replace("u", "[.,;:]+$", "").alias("found"))
