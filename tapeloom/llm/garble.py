@@ -148,8 +148,9 @@ def _choose(text: str, costs: Costs, save: float = SAVE_ALL) -> list[tuple[str,
             break
     if not how or whole - best < max(save, SAVE_EACH * odd):
         return []
-    # one letter read by a single-byte encoding is too little evidence, unless it stands among letters of another script
-    if odd < 2 and all(w != "utf-8" for _, w in how) and not _MIXED.search(text):
+    # words with one strange letter each, read by a single-byte encoding, are too little evidence, unless it stands among letters of another script
+    told = max((len({c for c in w if c > "\x7f"}) for w in text.split()), default=0)
+    if told < 2 and all(w != "utf-8" for _, w in how) and not _MIXED.search(text):
         return []
     got = _apply(text, how) or ""
     return [] if _PRIVATE.search(got) or len(_MIXED.findall(got)) > len(_MIXED.findall(text)) else how
