@@ -71,7 +71,7 @@ def wn4(spark: SparkSession, d: str) -> DataFrame:
     return r.select("file_id", "seg_id", F.col("next_seg_id"), "speaker", F.round((F.col("next_start_us") - F.col("end_us")) / 1e6, 2).alias("pause"), F.expr("right(coalesce(text, ''), 80)").alias("tail"))
 
 
-@query("wn10_adjacent_any_speaker", "SELECT file_id, count(*) AS n_pairs, count_if(speaker = 'Журналист') AS n_journalist FROM nb WHERE n_spk = speaker GROUP BY file_id", NEXT)
+@query("wn10_adjacent_any_speaker", "SELECT file_id, count(*) AS n_pairs, count(*) FILTER (WHERE speaker = 'Журналист') AS n_journalist FROM nb WHERE n_spk = speaker GROUP BY file_id", NEXT)
 def wn10(spark: SparkSession, d: str) -> DataFrame:
     r = pairs(spark, d, "speaker").filter("next_speaker = speaker")
     return r.groupBy("file_id").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("speaker") == "Журналист").alias("n_journalist"))
@@ -299,7 +299,7 @@ def ag4(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy("file_id", "speaker").agg(score("(камера|пишем|стоп|запись|kamera|camera)", 3).alias("operator_score"), score("(расскажите|почему|вопрос|warum|what)", 2).alias("journalist_score"), F.bool_or(F.col("start_us") < 30_000_000).alias("early"))
 
 
-@query("ag6_validation_report", "SELECT file_id, count_if(n_spk = speaker AND speaker <> 'Журналист') AS n_adjacent, count_if(n_id IS NOT NULL AND end_us - start_us < 2000000 AND speaker <> 'Журналист') AS n_short, count_if(n_start - end_us > 10000000) AS n_pauses FROM nb GROUP BY file_id", NEXT)
+@query("ag6_validation_report", "SELECT file_id, count(*) FILTER (WHERE n_spk = speaker AND speaker <> 'Журналист') AS n_adjacent, count(*) FILTER (WHERE n_id IS NOT NULL AND end_us - start_us < 2000000 AND speaker <> 'Журналист') AS n_short, count(*) FILTER (WHERE n_start - end_us > 10000000) AS n_pauses FROM nb GROUP BY file_id", NEXT)
 def ag6(spark: SparkSession, d: str) -> DataFrame:
     r = pairs(spark, d, "speaker")
     c = lambda e: F.count_if(F.expr(e))
@@ -312,7 +312,7 @@ def ag13(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy(F.col("prev_speaker").alias("from_speaker"), F.col("speaker").alias("to_speaker")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("ag14_run_stats", "SELECT count(DISTINCT file_id) AS files, count(*) AS n_segments, count_if(text IS NULL OR trim(text) = '') AS empty, count_if(from_gap) AS from_gap FROM seg")
+@query("ag14_run_stats", "SELECT count(DISTINCT file_id) AS files, count(*) AS n_segments, count(*) FILTER (WHERE text IS NULL OR trim(text) = '') AS empty, count(*) FILTER (WHERE from_gap) AS from_gap FROM seg")
 def ag14(spark: SparkSession, d: str) -> DataFrame:
     r = segments(spark, d, "text", "from_gap")
     return r.agg(F.count_distinct("file_id").alias("files"), F.count(F.lit(1)).alias("n_segments"), F.count_if(F.expr("text is null or trim(text) = ''")).alias("empty"), F.count_if("from_gap").alias("from_gap"))

@@ -230,7 +230,7 @@ def tx9(spark: SparkSession, d: str) -> DataFrame:
     return noisy(spark, d).withColumn("l", drop_leading(F.col("x"))).withColumn("c", drop_ending(F.col("l"))).select("seg_id", F.trim(F.regexp_replace(F.regexp_replace("c", r"\s+", " "), "([.!?])+", "$1")).alias("text"))
 
 
-@query("tx10_drop_emptied", r"SELECT count(*) AS n_in, count_if(length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) > 0) AS n_kept FROM tx", TXT)
+@query("tx10_drop_emptied", r"SELECT count(*) AS n_in, count(*) FILTER (WHERE length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) > 0) AS n_kept FROM tx", TXT)
 def tx10(spark: SparkSession, d: str) -> DataFrame:
     kept = F.length(F.regexp_replace("text", r"[^\p{L}\p{N}]", "")) > 0
     return texts(spark, d).agg(F.count(F.lit(1)).alias("n_in"), F.count_if(kept).alias("n_kept"))
@@ -305,7 +305,7 @@ def qa4(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.explode("x").alias("x")).select("x.*")
 
 
-@query("ag12_phrase_metrics", "SELECT source, CAST(sum(len(regexp_extract_all(text, 'потому что'))) AS BIGINT) AS n_because, count_if(contains(lower(text), 'журнал')) AS n_journal FROM documents WHERE text IS NOT NULL GROUP BY source")
+@query("ag12_phrase_metrics", "SELECT source, CAST(sum(len(regexp_extract_all(text, 'потому что'))) AS BIGINT) AS n_because, count(*) FILTER (WHERE contains(lower(text), 'журнал')) AS n_journal FROM documents WHERE text IS NOT NULL GROUP BY source")
 def ag12(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").filter("text is not null").groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("потому что"))).cast("long").alias("n_because"), F.count_if(F.contains(F.lower("text"), F.lit("журнал"))).alias("n_journal"))
 

@@ -243,7 +243,7 @@ def prd24(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "rkka").filter("url is not null").select("page_id", V.priority(domain(F.col("url"))).alias("priority"))
 
 
-@query("ag10_audit_summary", f"SELECT {DOMAIN} AS domain, count_if(method = 'requests+bs4') AS n_parse, count_if(method = 'dead') AS n_dead, count_if(method = 'manual') AS n_manual FROM (SELECT url, {PARSE} AS method FROM rkka WHERE url IS NOT NULL) GROUP BY 1")
+@query("ag10_audit_summary", f"SELECT {DOMAIN} AS domain, count(*) FILTER (WHERE method = 'requests+bs4') AS n_parse, count(*) FILTER (WHERE method = 'dead') AS n_dead, count(*) FILTER (WHERE method = 'manual') AS n_manual FROM (SELECT url, {PARSE} AS method FROM rkka WHERE url IS NOT NULL) GROUP BY 1")
 def ag10(spark: SparkSession, d: str) -> DataFrame:
     u = F.col("url")
     r = read(spark, d, "rkka").filter("url is not null").select(domain(u).alias("domain"), V.parse_method(u, domain(u), F.col("status_code")).alias("method"))
