@@ -124,7 +124,7 @@ def _layers(text: str, single: bool) -> list[tuple[str, tuple[str, str]]]:
 
 
 @lru_cache(100_000)
-def _choose(text: str, costs: Costs, save: float = SAVE_ALL) -> list[tuple[str, str]]:
+def _choose(text: str, costs: Costs) -> list[tuple[str, str]]:
     """The layers whose removal gives text its least cost; none if nothing drops enough."""
     whole = costs.total(text)
     odd, strange = sum(c > "\x7f" for c in text) or 1, costs.strange(text)
@@ -146,7 +146,7 @@ def _choose(text: str, costs: Costs, save: float = SAVE_ALL) -> list[tuple[str,
                 best, how = cost, steps
         if not front:
             break
-    if not how or whole - best < max(save, SAVE_EACH * odd):
+    if not how or whole - best < max(SAVE_ALL, SAVE_EACH * odd):
         return []
     # words with one strange letter each, read by a single-byte encoding, are too little evidence, unless it stands among letters of another script
     told = max((len({c for c in w if c > "\x7f"}) for w in text.split()), default=0)
@@ -172,6 +172,16 @@ def _apply(text: str, steps: list[tuple[str, str]]) -> str | None:
 GOOD_COST = 3.2
 
 
+def _signs(text: str, a: int, b: int, costs: Costs) -> list[tuple[str, str]]:
+    """The reading of signs that stand among right text, judged with what is around them; only UTF-8 is evidence enough."""
+    near = lambda x: costs.total(text[max(0, a - 8) : a] + x + text[b : b + 8])
+    whole, best, how = near(text[a:b]), 1e9, []
+    for got, step in _layers(text[a:b], True):
+        if (cost := near(got)) < best and costs.strange(got) <= costs.strange(text[a:b]):
+            best, how = cost, [step]
+    return how if whole - best >= SAVE_SIGNS else []
+
+
 def repair_run(text: str, costs: Costs, known: list[list[tuple[str, str]]] | None = None) -> tuple[str, int]:
     """(text, layers): the run restored as far as it can be; 0 layers where it is right as it stands.
 
@@ -206,9 +216,7 @@ def repair_run(text: str, costs: Costs, known: list[list[tuple[str, str]]] | Non
         for a, b in [*pieces, *signs]:
             if a < at:
                 continue
-            steps = _choose(text[a:b], costs, SAVE_SIGNS if (a, b) in signs else SAVE_ALL)
-            if (a, b) in signs and any(w != "utf-8" for _, w in steps):
-                continue  # signs alone are evidence only where they read as UTF-8
+            steps = _signs(text, a, b, costs) if (a, b) in signs else _choose(text[a:b], costs)
             if steps and (got := _apply(text[a:b], steps)) is not None:
                 out += [text[at:a], got]
                 at, most = b, max(most, len(steps))
