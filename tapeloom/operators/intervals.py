@@ -31,9 +31,9 @@ def _chunk(start: Column, chunk_us: int) -> Column:
 def _pieces(df: DataFrame, keys: list[str], chunk_us: int) -> DataFrame:
     """Local islands (keys, _c, _s, _e, n) of each chunk; touching intervals belong together."""
     by = [*keys, "_c"]
-    # equal starts are summed before the shuffle
-    rows = df.withColumn("_c", _chunk(F.col("_s"), chunk_us)).groupBy(*by, "_s").agg(F.max("_e").alias("_e"), F.sum("n").alias("n"))
-    order = W.partitionBy(*by).orderBy("_s")
+    # one shuffle: the window and the sums below share its partitioning
+    rows = df.withColumn("_c", _chunk(F.col("_s"), chunk_us))
+    order = W.partitionBy(*by).orderBy("_s", "_e")
     before = F.max("_e").over(order.rowsBetween(W.unboundedPreceding, -1))
     rows = rows.withColumn("_new", F.when(before.isNull() | (F.col("_s") > before), 1).otherwise(0))
     rows = rows.withColumn("_i", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0)))
