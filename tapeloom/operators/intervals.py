@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tapeloom.session import cut
+
 CHUNK_US = 600_000_000
 
 
@@ -54,7 +56,7 @@ def periods(df: DataFrame, keys: list[str], start: str = "start_us", end: str =
     """(keys, start, end, n): the longest stretches that intervals of one entity cover without a break; n intervals each."""
     rows = usable(df, start, end).filter(" and ".join(f"`{k}` is not null" for k in keys))
     rows = rows.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.lit(1).cast("long").alias("n"))
-    pieces = _pieces(rows, keys, chunk_us)
+    pieces = cut(_pieces(rows, keys, chunk_us), "pieces")  # read for the summaries and for the islands
     joined = pieces.join(_carried(pieces, keys), [*keys, "_c"])
     island = F.when(F.col("_carry").isNull() | (F.col("_s") > F.col("_carry")), F.col("_s")).otherwise(F.col("_open"))
     merged = joined.withColumn("_g", island).groupBy(*keys, "_g").agg(F.max("_e").alias(end), F.sum("n").alias("n"))
