@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from tapeloom.llm.spread import spread
 from tapeloom.session import cut
 
-#: A text of at most this many characters can be low in information.
-SHORT = 400
 #: Copies (figures masked) from which on a low-information text counts as repeated.
 COPIES = 3
 
@@ -66,6 +64,7 @@ _CUE = r"сайт|сервер|браузер|страниц|доступ|оши
 _DOMAIN = r"штаб|полк|батальон|бригад|дивизи|рота|роты|роту|арми|насып|мост|бо[йяюе]\b|приказ|архив|дневник|журнал|шифр|посыльн|гарнизон|снаряд|переправ|участ|музе|сражен|писар|донесен|сноск|плане|order|bridge|company|border|sector|diary|clerk|карт|akte|formular|blatt|kompanie|anlage|учени|озер"
 # A text without any of these stems holds neither a message nor furniture-only matter; they cover every pattern above.
 _WORTH = _CUE + "|включит|отключен|разрешит|активируйт|подтвердите|материал|документ|раздел|ресурс|запись|вернитесь|сервис|служба|не удалось|текст|слишком много|повторите|попробуйте|внутренняя|обратитесь|здесь|статья|содержание|описание|аннотация|информация|заголов|тестов|рыбн|пример|проверяем|enable|required|too many|try again|gateway|not found|forbidden|denied|reference|construction|sample|placeholder|filler|text|test|database|traceback|warning|fatal|notice|exception|on line|robot|coming soon|replace me|aktivieren|im aufbau|bearbeitung|beispiel|zu viele|versuchen|ersetzen|entsteht|folgt|steht|" + _LATIN
+_WRITTEN = r"[\p{L}\p{N}%_{<]"
 _CLOCK = r"^\s*(?:\d{1,2}:\d{2}:\d{2}[.,\d]*:?\s*)?(?:[А-ЯЁA-Z][\w\-]{2,30}:\s+)?"
 
 
@@ -84,29 +83,41 @@ def _holds_any(low: Column, stems: list[str]) -> Column:
     return F.exists(F.array(low), lambda x: reduce(or_, [F.contains(x, F.lit(s)) for s in dict.fromkeys(stems)]))
 
 
-def evidence(docs: DataFrame) -> DataFrame:
-    """doc_id, source, holder, messages, content, unknown, signature of the rows whose text gives any reason.
+def _bare(s: Column) -> Column:
+    return F.trim(F.regexp_replace(s, _CLOCK, ""))
 
-    holder: an unfilled placeholder; messages, content, unknown: statements of each kind."""
-    rows = spread(docs.select("doc_id", "source", "text")).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\S"))
-    # statements are looked at one by one only where the whole text gives reason to
-    worth = (F.length("text") <= 4 * SHORT) & _holds_any(F.lower("text"), _WORTH.split("|")) | _has(F.col("text"), rf"(?i)(?:\b(?:{_LATIN})\b[\s,.;:!?]*){{3}}")
-    holder = _has(F.col("text"), "(?uU)(?=[{<\\[%_@#&XХ$NTlL])(?:" + "|".join(f"(?:{p})" for p in _PLACEHOLDER) + ")")
-    rows = rows.withColumns({"worth": worth, "doubtful": _has(F.col("text"), _DOUBTFUL), "sign": holder}).filter("worth or doubtful or sign")
-    signature = F.when(F.length("text") <= SHORT, F.xxhash64(F.regexp_replace(F.lower(F.trim("text")), r"\d+", "0")))
-    rows = rows.select("doc_id", "source", "worth", "doubtful", "sign", signature.alias("signature"), F.explode(F.split("text", r"(?<=[.!?…])\s+|[\r\n]+")).alias("x"))
-    rows = rows.withColumn("x", F.trim(F.regexp_replace("x", _CLOCK, "")))
-    x = F.col("x")
+
+def _kind(x: Column) -> Column:
+    """A statement's kind: f furniture, m message, c content, u none that a detector knows."""
     tells = r"(?iuU)пишет|said|стоил|отправили|ни в одном"
-    kind = (
-        F.when(~x.rlike(r"[\p{L}\p{N}%_{<]"), "f")
-        .when(~F.col("worth"), "c")
+    return (
+        F.when(~x.rlike(_WRITTEN), "f")
         .when(x.rlike("(?iuU)" + _FILLER), "m")
         .when(x.rlike(_any(_FURNITURE)), "f")
         .when(x.rlike(_any(_MESSAGE)) & (~x.rlike("(?iuU)" + _DOMAIN) | ((F.length(x) < 90) & ~x.rlike(tells))), "m")
         .when(x.rlike("(?iuU)" + _DOMAIN) | ~x.rlike("(?iuU)" + _CUE), "c")
         .otherwise("u")
     )
+
+
+def evidence(docs: DataFrame) -> DataFrame:
+    """doc_id, source, holder, messages, content, unknown, signature of the rows whose text gives any reason.
+
+    holder: an unfilled placeholder; messages, content, unknown: statements of each kind."""
+    rows = spread(docs.select("doc_id", "source", "text")).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\S"))
+    # statements are looked at one by one only where the whole text, however long, gives reason to
+    worth = _holds_any(F.lower("text"), _WORTH.split("|")) | _has(F.col("text"), rf"(?i)(?:\b(?:{_LATIN})\b[\s,.;:!?]*){{3}}")
+    holder = _has(F.col("text"), "(?uU)(?=[{<\\[%_@#&XХ$NTlL])(?:" + "|".join(f"(?:{p})" for p in _PLACEHOLDER) + ")")
+    rows = rows.withColumns({"worth": worth, "doubtful": _has(F.col("text"), _DOUBTFUL), "sign": holder}).filter("worth or doubtful or sign")
+    statements = F.split("text", r"(?<=[.!?…])\s+|[\r\n]+")
+    # one statement of content settles a text without signs; the search ends at the first
+    said = F.exists(statements, lambda s: F.exists(F.array(_bare(s)), lambda x: _kind(x) == "c"))
+    rows = rows.filter(F.col("doubtful") | F.col("sign") | ~said)
+    signature = F.xxhash64(F.regexp_replace(F.lower(F.trim("text")), r"\d+", "0"))
+    rows = rows.select("doc_id", "source", "worth", "doubtful", "sign", signature.alias("signature"), F.explode(statements).alias("x"))
+    rows = rows.withColumn("x", _bare(F.col("x")))
+    x = F.col("x")
+    kind = F.when(~F.col("worth") & x.rlike(_WRITTEN), "c").otherwise(_kind(x))
     told = F.col("doubtful") & x.rlike(_DOUBTFUL) & ~x.rlike(_EXPLAINED)
     rows = rows.withColumns({"kind": kind, "told": told})
     count = lambda k: F.count_if(F.col("kind") == k)

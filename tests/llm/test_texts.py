@@ -123,3 +123,14 @@ def test_main_body_of_a_page(spark, folder, put):
 def test_parse_survives_broken_markup():
     for h in ("<", "<p", "</p></p>", "<td><td><li>x", "<script>if(a<b){'<p>'}", "<!-- x", "a" * 100_000, "<div>" * 3000 + "x"):
         dom.body_pieces([h], dom.Trees.load())
+
+
+def test_p8_long_texts(spark, folder, put):
+    menu = "\n".join(["Главная | Форум | Вход", "© 2013 Редакция сайта. Все права защищены."] * 40)
+    long = {1: "Страница не найдена.\n" + menu, 2: "Это рыбный текст для проверки вёрстки. " * 60, 3: "текст текст текст. " * 120, 4: "Dies ist ein Blindtext. " * 100, 5: "Warning: include() failed in /var/www/a.php on line 3\n" * 50}
+    kept = {6: "Страница не найдена.\n" + "Полк вышел к реке и занял насыпь. " * 60, 7: menu}
+    copies = {i: f"Нажмите {i} для загрузки. " * 100 for i in (11, 12, 13)}
+    put(folder, "documents", [{"doc_id": i, "text": t, "source": "a"} for i, t in [*long.items(), *kept.items(), *copies.items()]])
+    assert min(map(len, [*long.values(), *kept.values(), *copies.values()])) > 1600
+    got = {r.doc_id: r.reason for r in residue.p8_reasons(spark, str(folder)).collect()}
+    assert got == {i: "message" for i in long} | {i: "repeated" for i in copies}
