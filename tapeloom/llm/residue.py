@@ -1,7 +1,8 @@
 """Problem 8: template residue, filler and error messages in place of content.
 
-A document's terms are compared with those of the hosts it could come from.
-Its text is cut into statements (clock marks and captions taken off); each
+The method's comparison of address and title terms with those of the body is
+not built; fixed lists of patterns decide in its place (README, note 8).
+A document's text is cut into statements (clock marks and captions taken off); each
 statement is a message (of a server, program, site or browser, or filler), site
 furniture (menus, notices of rights), or content.  A document is a case where a
 placeholder detector fires in a statement that does not talk about such a sign,
