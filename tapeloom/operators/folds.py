@@ -180,9 +180,10 @@ def map_run(rows: list[dict]) -> list[dict]:
 
 
 def map_speakers(rows: DataFrame) -> DataFrame:
-    """JN3 on (file_id, seg_id, start_us, end_us, raw_speaker_id, role, surname, asks): a pause of 2 s or another label ends the memory."""
-    cut_at = F.coalesce((F.col("start_us") - F.col("prev_end_us") >= 2_000_000) | (F.col("prev_raw_speaker_id") != F.col("raw_speaker_id")), F.lit(True))
-    r = with_islands(rows, "file_id", ORDER, ["end_us", "raw_speaker_id"], cut_at, "near")
+    """JN3 on (file_id, tape_no, seg_id, start_us, end_us, raw_speaker_id, role, surname, asks): a pause of 2 s, another label or another tape ends the memory."""
+    same_tape = F.col("prev_tape_no").eqNullSafe(F.col("tape_no"))
+    cut_at = F.coalesce((F.col("start_us") - F.col("prev_end_us") >= 2_000_000) | (F.col("prev_raw_speaker_id") != F.col("raw_speaker_id")) | ~same_tape, F.lit(True))
+    r = with_islands(rows, "file_id", ORDER, ["end_us", "raw_speaker_id", "tape_no"], cut_at, "near")
     return fold(r, ["file_id", "near"], ORDER, map_run, "seg_id bigint, speaker string")
 
 

@@ -212,7 +212,13 @@ def jn1(spark: SparkSession, d: str) -> DataFrame:
 ROLES = "ro AS (SELECT file_id, label, max(role_name) AS role FROM speaker_roles WHERE tape_no = 1 GROUP BY file_id, label)"
 
 
+def tape_roles(spark: SparkSession, d: str) -> DataFrame:
+    """Whose voice a label is on each tape: labels may change hands between the tapes of a recording."""
+    return read(spark, d, "speaker_roles").groupBy("file_id", "tape_no", "label").agg(F.max("role_name").alias("role"))
+
+
 def roles(spark: SparkSession, d: str) -> DataFrame:
+    """The roles of first tapes only, as the SQL of jn4 and jn9 has them: segments of later tapes get a wrong role or none."""
     return read(spark, d, "speaker_roles").filter("tape_no = 1").groupBy("file_id", "label").agg(F.max("role_name").alias("role"))
 
 

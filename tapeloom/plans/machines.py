@@ -15,7 +15,7 @@ from tapeloom.functions.text import any_hit
 from tapeloom.operators import folds
 from tapeloom.operators.ordered import with_neighbours
 from tapeloom.plans.base import ORDER, pages, read, segments
-from tapeloom.plans.intervals import roles
+from tapeloom.plans.intervals import tape_roles
 from tapeloom.plans.texts import score, texts, txt_blocks
 
 QUERIES: dict = {}
@@ -67,7 +67,7 @@ def cl1(spark: SparkSession, d: str) -> DataFrame:
 @query("jn3_map_speaker")
 def jn3(spark: SparkSession, d: str) -> DataFrame:
     a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
-    r = segments(spark, d, "raw_speaker_id", "text").join(a, "file_id").join(roles(spark, d).withColumnRenamed("label", "raw_speaker_id"), ["file_id", "raw_speaker_id"], "left")
+    r = segments(spark, d, "tape_no", "raw_speaker_id", "text").join(a, "file_id").join(tape_roles(spark, d).withColumnRenamed("label", "raw_speaker_id"), ["file_id", "tape_no", "raw_speaker_id"], "left")
     r = r.withColumn("asks", any_hit(F.lower(F.coalesce("text", F.lit(""))), [*X.STRONG, X.QUESTION[0]])).drop("text")
     return folds.map_speakers(r)
 

@@ -9,6 +9,7 @@ from tapeloom.functions import matching as M
 from tapeloom.operators import folds
 from tapeloom.operators.ordered import interval_join, with_islands, with_last, with_neighbours, with_running_sum
 from tapeloom.operators.vocabulary import fuzzy_pairs
+from tapeloom.plans import machines
 
 S = 1_000_000
 
@@ -116,3 +117,12 @@ def distance(a: str, b: str) -> int:
             now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
         before = now
     return before[-1]
+
+
+def test_jn3_takes_the_roles_of_each_tape(spark, folder, put, seg):
+    put(folder, "audio_files", [{"file_id": "f", "tape_no": t, "surname": "Верест"} for t in (1, 2)])
+    put(folder, "speaker_roles", [{"file_id": "f", "tape_no": t, "label": k, "role_name": v} for t, k, v in ((1, "S0", "Верест"), (1, "S1", "Журналист"), (2, "S0", "Журналист"), (2, "S1", "Верест"), (2, "S2", "Оператор"))])
+    said = lambda i, tape, raw: seg(i, 10 * i * S, (10 * i + 9) * S, raw_speaker_id=raw, tape_no=tape, text="полк стоял")
+    put(folder, "segments_merged", [said(1, 1, "S0"), said(2, 1, "S1"), said(3, 2, "S1"), said(4, 2, "S0"), said(5, 2, "S2")])
+    got = {r.seg_id: r.speaker for r in machines.jn3(spark, str(folder)).collect()}
+    assert got == {1: "Верест", 2: "Журналист", 3: "Верест", 4: "Журналист", 5: "Оператор"}
