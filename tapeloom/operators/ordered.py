@@ -50,6 +50,23 @@ def with_running_sum(df: DataFrame, key: str, order: list[str], value: Column, n
     return rows.withColumn(name, (F.col("_s") + F.col("_o")).cast("long")).drop("_v", "_c", "_s", "_o")
 
 
+def with_greatest_before(df: DataFrame, key: str, order: list[str], value: Column, name: str, chunk: float = CHUNK_US) -> DataFrame:
+    """Adds the greatest ``value`` of the key's rows before this one, null for the first."""
+    rows = chunked(df.withColumn("_v", value), order[0], chunk)
+    inside = W.partitionBy(key, "_c").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    most = rows.groupBy(key, "_c").agg(F.max("_v").alias("_t"))
+    most = most.select(key, "_c", F.max("_t").over(W.partitionBy(key).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)).alias("_o"))
+    rows = rows.withColumn("_s", F.max("_v").over(inside)).join(most, [key, "_c"])
+    return rows.withColumn(name, F.greatest("_s", "_o")).drop("_v", "_c", "_s", "_o")
+
+
+def with_stretches(df: DataFrame, key: str, order: list[str], pause: int, name: str, chunk: float = CHUNK_US) -> DataFrame:
+    """Adds the number of the stretch a row belongs to: a row begins one where it starts more than ``pause`` after all ends before it."""
+    rows = with_greatest_before(df, key, order, F.col("end_us"), "_reach", chunk)
+    begins = F.when(F.col("_reach").isNull() | (F.col("start_us") - F.col("_reach") > pause), 1).otherwise(0)
+    return with_running_sum(rows, key, order, begins, name, chunk).drop("_reach")
+
+
 def with_last(df: DataFrame, key: str, order: list[str], value: Column, name: str, chunk: float = CHUNK_US) -> DataFrame:
     """Adds the last non-null ``value`` of the key's rows before this one (forward fill, this row not counted)."""
     rows = chunked(df.withColumn("_v", value), order[0], chunk)

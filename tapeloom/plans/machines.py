@@ -13,7 +13,7 @@ from tapeloom.functions import lexicon as X
 from tapeloom.functions import matching as M
 from tapeloom.functions.text import any_hit
 from tapeloom.operators import folds
-from tapeloom.operators.ordered import with_neighbours
+from tapeloom.operators.ordered import with_islands, with_neighbours
 from tapeloom.plans.base import ORDER, pages, read, segments
 from tapeloom.plans.intervals import tape_roles
 from tapeloom.plans.texts import score, texts, txt_blocks
@@ -53,13 +53,17 @@ def wn9(spark: SparkSession, d: str) -> DataFrame:
 
 @query("cl1_classification")
 def cl1(spark: SparkSession, d: str) -> DataFrame:
-    """The pass with its memory; pauses of more than a minute part the groups in which it is kept."""
+    """The pass with its memory.
+
+    Groups part only where the speaker changes whatever the memory holds: between two rows that are no continuations and whose speakers differ."""
     a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
     r = texts(spark, d, "speaker").join(a, "file_id").withColumns({"j": score("j"), "s": score("s"), "continues": any_hit(F.col("t"), X.CONTINUATION_CLASSIFY)})
     r = with_neighbours(r, "file_id", ORDER, ["end_us"], after=None).withColumnRenamed("prev_end_us", "prev_end")
-    from tapeloom.operators.ordered import with_running_sum
-
-    r = with_running_sum(r, "file_id", ORDER, F.when(F.col("prev_end").isNull() | (F.col("start_us") - F.col("prev_end") > 60_000_000), 1).otherwise(0), "near")
+    weighed = (F.col("nw") >= 5) & (F.col("speaker") != folds.OPERATOR)
+    alone = F.when(weighed & (F.col("speaker") == F.col("surname")) & (F.col("j") - F.col("s") > 3), folds.JOURNALIST)
+    alone = alone.when(weighed & (F.col("speaker") == folds.JOURNALIST) & (F.col("s") - F.col("j") > 3), F.col("surname")).otherwise(F.col("speaker"))
+    r = r.withColumns({"alone": alone, "leans": F.coalesce(weighed & F.col("continues"), F.lit(False))})
+    r = with_islands(r, "file_id", ORDER, ["alone", "leans"], F.coalesce(~F.col("prev_leans") & ~F.col("leans") & (F.col("prev_alone") != F.col("alone")), F.col("prev_leans").isNull()), "near")
     r = r.select("file_id", "near", "start_us", "seg_id", "speaker", "surname", "nw", "j", "s", "continues", F.coalesce("prev_end", "start_us").alias("prev_end"))
     return folds.fold(r, ["file_id", "near"], ORDER, folds.classify_run, "seg_id bigint, speaker string")
 
@@ -79,8 +83,6 @@ def jn8(spark: SparkSession, d: str) -> DataFrame:
     p, n = F.col("prev_speaker"), F.col("next_speaker")
     r = r.withColumn("decided", F.when(p == n, p).otherwise(F.coalesce(n, p, F.lit("Неизвестно"))))
     r = r.filter("from_gap").select("file_id", "start_us", "seg_id", "end_us", "text", "prev_text", "next_text", "next_speaker", "decided", F.col("next_start_us").alias("next_start"))
-    from tapeloom.operators.ordered import with_islands
-
     near = with_islands(r, "file_id", ORDER, ["end_us"], F.coalesce(F.col("start_us") - F.col("prev_end_us") > 1_000_000, F.lit(True)), "near")
     return folds.fold(near, ["file_id", "near"], ORDER, folds.fill_run, "seg_id bigint, start_us bigint, end_us bigint, speaker string, text string")
 

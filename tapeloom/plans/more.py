@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions.text import hms, seconds_of
 from tapeloom.operators import folds
 from tapeloom.operators import vocabulary as V
-from tapeloom.operators.ordered import with_islands
+from tapeloom.operators.ordered import with_stretches
 from tapeloom.plans.base import ORDER, SEG, TERMS, TURNS, read, segments, terms, turns
 from tapeloom.plans.machines import page_terms
 from tapeloom.plans.vocabulary import PARSE, PRIO, REASON, VT, distinct_terms, domain
@@ -115,8 +115,8 @@ def voc3d(spark: SparkSession, d: str) -> DataFrame:
 
 @query("dd3_overlapping_segments")
 def dd3(spark: SparkSession, d: str) -> DataFrame:
-    """Of segments that lie to three tenths or more in the one kept before, the one that ends later stays; pauses part the groups."""
-    r = with_islands(segments(spark, d).filter("end_us > start_us"), "file_id", ORDER, ["end_us"], F.coalesce(F.col("start_us") > F.col("prev_end_us"), F.lit(True)), "near")
+    """Of segments that lie to three tenths or more in the one kept before, the one that ends later stays; a start after all ends before it parts the groups."""
+    r = with_stretches(segments(spark, d).filter("end_us > start_us"), "file_id", ORDER, 0, "near")
     return folds.fold(r, ["file_id", "near"], ORDER, keep_later, "seg_id bigint, start_us bigint, end_us bigint")
 
 

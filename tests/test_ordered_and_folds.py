@@ -9,7 +9,7 @@ from tapeloom.functions import matching as M
 from tapeloom.operators import folds
 from tapeloom.operators.ordered import interval_join, with_islands, with_last, with_neighbours, with_running_sum
 from tapeloom.operators.vocabulary import fuzzy_pairs
-from tapeloom.plans import machines
+from tapeloom.plans import machines, more
 
 S = 1_000_000
 
@@ -126,3 +126,26 @@ def test_jn3_takes_the_roles_of_each_tape(spark, folder, put, seg):
     put(folder, "segments_merged", [said(1, 1, "S0"), said(2, 1, "S1"), said(3, 2, "S1"), said(4, 2, "S0"), said(5, 2, "S2")])
     got = {r.seg_id: r.speaker for r in machines.jn3(spark, str(folder)).collect()}
     assert got == {1: "Верест", 2: "Журналист", 3: "Верест", 4: "Журналист", 5: "Оператор"}
+
+
+@pytest.mark.parametrize("query", [more.dd3, machines.jn8, machines.cl1])
+def test_groups_change_nothing(spark, folder, put, seg, monkeypatch, query):
+    rnd = random.Random(7)
+    words = ["дальше рота шла лесом к реке", "потом мы снова пошли к реке", "расскажите почему полк стоял там", "да"]
+    rows, at = [], 0
+    for i in range(400):
+        at += rnd.choice([0, 1, 3, 9, 70])
+        rows.append(seg(i, at * S, (at + rnd.choice([1, 2, 8, 40])) * S, rnd.choice(["Верест", "Журналист"]), text=f"{rnd.choice(words)} {i}", from_gap=i % 3 > 0))
+    put(folder, "audio_files", [{"file_id": "f", "tape_no": 1, "surname": "Верест"}])
+    put(folder, "segments_merged", rows)
+    got = sorted(map(tuple, query(spark, str(folder)).collect()))
+    whole = folds.fold
+    monkeypatch.setattr(folds, "fold", lambda df, keys, *rest: whole(df, ["file_id"], *rest))
+    assert got == sorted(map(tuple, query(spark, str(folder)).collect()))
+
+
+def test_nested_overlap_and_memory_over_a_long_pause(spark, folder, put, seg):
+    put(folder, "audio_files", [{"file_id": "f", "tape_no": 1, "surname": "Верест"}])
+    put(folder, "segments_merged", [seg(1, 0, 100 * S, "Верест", text="полк стоял у реки всю зиму"), seg(2, 10 * S, 20 * S, "Верест", text="полк стоял у реки всю зиму"), seg(3, 30 * S, 90 * S, "Верест", text="полк стоял у реки всю зиму"), seg(4, 200 * S, 210 * S, "Журналист", text="то есть полк пошёл вперёд к реке")])
+    assert [r.seg_id for r in more.dd3(spark, str(folder)).orderBy("start_us").collect()] == [1, 4]
+    assert {r.seg_id: r.speaker for r in machines.cl1(spark, str(folder)).collect()}[4] == "Верест"
