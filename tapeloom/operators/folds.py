@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import matching as M
 from tapeloom.operators.intervals import periods
-from tapeloom.operators.ordered import with_islands, with_running_sum
+from tapeloom.operators.ordered import interval_join, with_islands, with_running_sum
+from tapeloom.session import cut
 
 ORDER = ["start_us", "seg_id"]
 JOURNALIST, OPERATOR = "Журналист", "Оператор"
@@ -225,22 +226,45 @@ def alike_pairs(segments: DataFrame, across: bool, reach: int) -> DataFrame:
 
 
 def greedy(rows: list[dict]) -> list[dict]:
-    """Pairs in the order of their rows: a row that is gone removes no other; the later of two speakers, the shorter of one, goes."""
+    """Pairs in the order of their rows: a row that is gone removes no other; of two speakers the one that others hide goes, else the later; of one the shorter."""
     gone: set[int] = set()
     out = []
     for r in rows:
         if r["seg_a"] in gone or r["seg_b"] in gone:
             continue
-        lose_a = r["a_len"] < r["b_len"] if r["same"] else r["a_start"] > r["b_start"]
+        if r["same"]:
+            lose_a = r["a_len"] < r["b_len"]
+        elif r["a_hidden"] != r["b_hidden"]:
+            lose_a = r["a_hidden"]
+        else:
+            lose_a = r["a_start"] > r["b_start"]
         lost = r["seg_a"] if lose_a else r["seg_b"]
         gone.add(lost)
         out.append({"file_id": r["file_id"], "removed": lost, "kept": r["seg_b"] if lose_a else r["seg_a"]})
     return out
 
 
+def with_hidden(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """Adds a_hidden and b_hidden: whether all other segments than the pair's two cover more than half of each; a segment of no length is hidden."""
+    ids = pairs.select(F.explode(F.array("seg_a", "seg_b")).alias("seg_id")).distinct()
+    times = segments.select("file_id", "seg_id", "start_us", "end_us")
+    left = times.join(ids, "seg_id", "left_semi").select("file_id", "seg_id", F.col("start_us").alias("l_start"), F.col("end_us").alias("l_end"))
+    right = times.filter("end_us > start_us").select("file_id", F.col("seg_id").alias("other"), F.col("start_us").alias("r_start"), F.col("end_us").alias("r_end"))
+    ov = interval_join(left.filter("l_end > l_start"), right, "file_id").filter("seg_id <> other").groupBy("seg_id").agg(F.sum(F.least("l_end", "r_end") - F.greatest("l_start", "r_start")).alias("by_all"))
+    all_ = left.join(ov, "seg_id", "left").select("seg_id", "l_start", "l_end", F.coalesce("by_all", F.lit(0)).alias("by_all"))
+    for x in "ab":
+        pairs = pairs.join(all_.select(F.col("seg_id").alias(f"seg_{x}"), *[F.col(c).alias(f"{x}_{c}") for c in ("l_start", "l_end", "by_all")]), f"seg_{x}")
+    shared = F.greatest(F.lit(0), F.least("a_l_end", "b_l_end") - F.greatest("a_l_start", "b_l_start"))
+    for x in "ab":
+        length = F.col(f"{x}_l_end") - F.col(f"{x}_l_start")
+        pairs = pairs.withColumn(f"{x}_hidden", (length <= 0) | (2 * (F.col(f"{x}_by_all") - shared) > length))
+    return pairs.drop(*[f"{x}_{c}" for x in "ab" for c in ("l_start", "l_end", "by_all")])
+
+
 def near_duplicates(segments: DataFrame, across: bool) -> DataFrame:
     """(file_id, removed, kept): DD1 (across speakers, nine rows) or DD2 (one speaker, ten rows), resolved cluster by cluster."""
     p = alike_pairs(segments, across, 9 if across else 10)
+    p = with_hidden(cut(p, "alike"), segments) if across else p
     clusters = periods(p, ["file_id"], "ra", "rb", chunk_us=100_000).select("file_id", F.col("ra").alias("c_from"), F.col("rb").alias("c_to"))
     c = clusters.withColumn("bin", F.explode(F.sequence(F.expr("c_from div 1000"), F.expr("c_to div 1000"))))
     p = p.withColumn("bin", F.expr("ra div 1000")).join(c, ["file_id", "bin"]).filter("ra between c_from and c_to")

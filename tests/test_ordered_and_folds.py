@@ -149,3 +149,10 @@ def test_nested_overlap_and_memory_over_a_long_pause(spark, folder, put, seg):
     put(folder, "segments_merged", [seg(1, 0, 100 * S, "Верест", text="полк стоял у реки всю зиму"), seg(2, 10 * S, 20 * S, "Верест", text="полк стоял у реки всю зиму"), seg(3, 30 * S, 90 * S, "Верест", text="полк стоял у реки всю зиму"), seg(4, 200 * S, 210 * S, "Журналист", text="то есть полк пошёл вперёд к реке")])
     assert [r.seg_id for r in more.dd3(spark, str(folder)).orderBy("start_us").collect()] == [1, 4]
     assert {r.seg_id: r.speaker for r in machines.cl1(spark, str(folder)).collect()}[4] == "Верест"
+
+
+def test_near_duplicate_that_others_hide_goes(spark):
+    said = "танки вышли к дальнему селу утром"
+    rows = [row(1, 0, 4, said, "A"), row(2, 0, 3.5, "иное", "A"), row(3, 3.9, 8, said, "B")]
+    got = folds.near_duplicates(spark.createDataFrame(rows), across=True).collect()
+    assert [(r.removed, r.kept) for r in got] == [(1, 3)]
