@@ -1,148 +1,286 @@
 """Problem 8: template residue, filler and error messages in place of content.
 
-The method's comparison of address and title terms with those of the body is
-not built; fixed lists of patterns decide in its place (README, note 8).
-A document's text is cut into statements (clock marks and captions taken off); each
-statement is a message (of a server, program, site or browser, or filler), site
-furniture (menus, notices of rights), or content.  A document is a case where a
-placeholder detector fires in a statement that does not talk about such a sign,
-or where messages stand and no content does.  Statements that no detector knows
-are judged by combined evidence of the hosts: low-information texts that repeat
-under many ids, figures masked, and share no term with the project's domain but
-some with messages.
-
-Defined results: null and blank texts are no cases; repeated rows give one row;
-whole texts are read.
+``documents`` has neither address nor title, so the words of ``source`` (its host
+name) stand for the address slug, and the first line of a text for its title.
+
+One pass over all texts, whole, cuts each into statements (clock marks and
+captions taken off) and weighs them:
+
+* placeholder detectors look at every statement;
+* a trained term model (``train_residue``: word stems, letter trigrams, pairs of
+  stems) gives each statement its log odds of being a message or filler against
+  content, and of being site furniture; a statement that is surely content
+  (beyond ``SURE``) settles its text;
+* the words of informative texts are counted (document frequency over all rows).
+
+What is left are texts of little information in which nothing is surely content.
+Their statements are judged by combined evidence: the term model, the number of
+texts and hosts that repeat the same words (figures masked), and the mismatch:
+the share of the body's terms, weighted by rarity, that neither its title, nor
+its slug, nor the informative texts of the hosts use.  A text is a case where a
+placeholder stands in it, or where at least one statement is a message and all
+others are messages or furniture.
+
+Copies are counted by partial aggregates over (signature, document), and the
+evidence goes back to the statements by a salted join, so one notice that a
+third of all texts repeat is no hot task.
+
+Defined results: null and blank texts are no cases; repeated rows give one row
+and count as one text; a null source is no host; texts are read whole.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import json
+import math
+import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
+from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm.spread import spread
 from tapeloom.session import cut
 
-#: Copies (figures masked) from which on a low-information text counts as repeated.
+#: Log odds of content from which on no evidence of copies can make a statement a message.
+SURE = 3.0
+#: Weight of one doubling of texts and hosts that repeat a statement, at full mismatch, and of the mismatch's middle.
+REPEATED, MIDDLE = 1.4, 0.35
+#: Texts from which on a statement counts as repeated in the reason given.
 COPIES = 3
+#: A text of so many different stems, one of its statements surely content, is informative: its words are the hosts' own.
+INFORMATIVE = 12
+#: Buckets of the term model, and words and pairs whose weights a worker keeps.
+BUCKETS, KEEP = 1 << 16, 400_000
+#: Salts of the join that brings the evidence back to the statements.
+SALTS = 16
 
 # Placeholders that templates leave, whatever stands around them.
 _PLACEHOLDER = [
-    r"\{\{[^{}\n]{0,60}\}\}", r"\{%[^{}\n]{0,80}%\}", r"\$\{[^{}\n]{1,60}\}", r"<%[=\-]?[^<>\n]{0,80}%>", r"\[\[[^\[\]\n]{1,60}\]\]",
-    r"%\([A-Za-z_]\w*\)[sdrf]", r"(?<![\w%])%[A-ZА-ЯЁ][A-ZА-ЯЁ_]{1,30}%", r"__[A-ZА-ЯЁÄÖÜ][A-ZА-ЯЁÄÖÜ_]{1,30}__", r"@@[\w ]{1,40}@@", r"##?[A-ZА-ЯЁÄÖÜ][A-ZА-ЯЁÄÖÜ_]{1,30}##?",
-    r"(?<![XХ\w])[XХ]{4,}(?![XХ\w])", r"_{5,}", r"\[object \w+\]", r"(?<![\w.])NaN(?![\w.])",
-    r"<(?!\|)(?:[A-ZА-ЯЁÄÖÜ]{3,}[A-ZА-ЯЁÄÖÜ _\-]*|(?:insert|your|enter|вставьте|укажите|введите|впишите|имя|hier|bitte)\b[^<>\n]{0,40})>",
-    r"&lt;[^&\n]{2,60}&gt;",
-    r"\[(?:ВСТАВ|ВПИШ|УКАЖ|ВВЕД|ИМЯ|ФИО|ФАМИЛ|НАЗВАНИЕ|ДАТА|МЕСТО|INSERT|ENTER|YOUR|NAME|DATE|PLACE|TITLE|UNIT|DATUM|ORT|EINHEIT|HIER)[^\[\]\n]{0,60}\]",
-    r"\bTODO\b", r"(?<![\w{])\{(?:[A-Za-zА-Яа-яЁё]+[_.])*[A-Za-zА-Яа-яЁё]+\}", r"\b(?:lorem\s+ipsum)\s+dolor\b",
+    r"\{\{[^{}\n]*\}\}", r"\{%[^{}\n]*%\}", r"\$\{[^{}\n]+\}", r"<%[^<>\n]*%>", r"\[\[[^\[\]\n]+\]\]",
+    r"%\([A-Za-z_]\w*\)[sdrf]", r"(?<![\w%])%[A-ZА-ЯЁÄÖÜ][A-ZА-ЯЁÄÖÜ_]+%", r"(?<!\w)__[A-ZА-ЯЁÄÖÜ][A-ZА-ЯЁÄÖÜ_]*__(?!\w)", r"@@[\w ]+@@", r"(?<!#)##?[A-ZА-ЯЁÄÖÜ][A-ZА-ЯЁÄÖÜ_]+##?",
+    r"(?<![XХ\w])[XХ]{4,}(?![XХ\w])", r"(?<!_)_{5,}", r"\[object \w+\]", r"(?<![\w.])NaN(?![\w.])",
+    r"<(?!\|)(?:[A-ZА-ЯЁÄÖÜ]{3,}[A-ZА-ЯЁÄÖÜ _\-]*|(?:insert|your|enter|вставьте|укажите|введите|впишите|имя|hier|bitte)\b[^<>\n]*)>",
+    r"&lt;[^&\n]{2,}&gt;",
+    r"\[(?:ВСТАВ|ВПИШ|УКАЖ|ВВЕД|ИМЯ|ФИО|ФАМИЛ|НАЗВАНИЕ|ДАТА|МЕСТО|INSERT|ENTER|YOUR|NAME|DATE|PLACE|TITLE|UNIT|DATUM|ORT|EINHEIT|HIER)[^\[\]\n]*\]",
+    r"\bTODO\b", r"(?<![\w{])\{(?:[A-Za-zА-Яа-яЁё]+[_.])*[A-Za-zА-Яа-яЁё]+\}",
 ]
-# Signs that are placeholders only where the sentence does not explain them.
-_DOUBTFUL = r"(?<![\w%])%[sd](?!\w)|(?<![\w{])\{\d\}|(?<!\w)undefined(?!\w)|(?<!\w)null(?!\w)"
-_EXPLAINED = r"(?iu)вместо слова|instead of the|statt des|left undefined|undefined until|undefined border|was undefined|remain\w* undefined|в сноске|footnote|null (und|and|hypothesis|uhr)|%[sd] стоял"
-
-# Statements of servers, programs, sites and browsers, and filler.
-_MESSAGE = [
-    r"(?:включит|включён|разрешит|активируйт|отключен)\w*\s.{0,40}(?:javascript|скрипт|сценари|cookie)", r"(?:javascript|скрипт\w*|сценари\w*)\s.{0,25}(?:отключ|включит|разрешит)", r"^для работы (?:сайта|приложения|страницы)",
-    r"^включите их и обновите", r"плеер не поддерживается", r"подтвердите, что вы (?:не робот|человек)", r"^(?:запрашиваем\w+ |эта |данная )?(?:страница|документ|файл|раздел|ресурс|запись|материал|сайт)\b.{0,30}?(?:не найден\w*|удал[её]н\w*|перемещ\w+|не существует|на реконструкции|в разработке|недоступ\w+|не загружен\w*)(?:[ ,].{0,40})?[.!]?$",
-    r"^вернитесь на главную", r"^(?:сервис|сервер|сайт|служба)\b.{0,20}(?:недоступ\w+|не отвечает|перегружен)\b(?!.*(?:посыльн|штаб))", r"браузер (?:устарел|не поддерживается)", r"не удалось (?:распознать|загрузить|открыть|прочитать|подключиться|соединиться)",
-    r"^(?:текст[ ,]*){3,}", r"домен не обслуживается", r"слишком много запросов", r"^(?:повторите|попробуйте)(?: попытку)? через", r"попробуйте (?:позже|ещё раз|снова)", r"внутренняя ошибка", r"ошибка (?:\d{3}|соединения с базой|подключения|сервера|базы данных)", r"^(?:\d{3}\.? )?доступ (?:запрещ[её]н|закрыт|ограничен)\.?$", r"обратитесь к администратор",
-    r"^здесь (?:будет|появится|должен быть)", r"^(?:текст|материал|описание|статья|содержание)\b.{0,15}(?:появится|готовится|будет добавлен)", r"^(?:описание|текст|содержание|аннотация|информация) (?:отсутству\w+|не заполнен\w*)[.!]?$", r"^(?:под)?заголовок (?:раздела|статьи|страницы)[.!]?$", r"тестов\w+ (?:запись|страница|статья|текст)", r"рыбный текст|текст-рыба", r"^пример (?:абзаца|текста|заголовка)", r"срок действия (?:сессии|ссылки) ист", r"сесси\w+ (?:истекла|завершена)", r"проверяем ваш", r"^(?:раздел|сайт|страница) (?:в разработке|на реконструкции)",
-    r"enable (?:javascript|scripts|cookies)", r"(?:scripts?|javascript) (?:is|are) (?:disabled|blocked|required)", r"browser (?:is (?:out of date|outdated|not supported)|before access)", r"session has expired", r"too many (?:requests|connections)", r"service (?:is )?(?:temporarily )?unavailable", r"try again later", r"bad gateway|gateway time-?out", r"^(?:error )?\d{3}\.? (?:not found|forbidden|internal server error)", r"^(?:page|file|document) not found", r"requested (?:url|page|file)", r"^access (?:is )?denied\W*$", r"^reference #", r"under construction", r"sample paragraph|placeholder text|filler text", r"text goes here", r"test post", r"error establishing|database connection", r"internal server error", r"traceback \(most recent", r"^(?:warning|fatal error|notice|exception)\b.{0,4}[:(]", r"in /?\S+\.(?:php|py|asp) on line", r"lorem ipsum", r"you are (?:not )?a (?:robot|human)", r"coming soon\W*$", r"replace me\W*$",
-    r"aktivieren sie (?:javascript|cookies)", r"kein roboter", r"blindtext", r"hier (?:steht|entsteht|folgt)", r"seite (?:ist )?(?:im aufbau|nicht gefunden|in bearbeitung)", r"sitzung ist abgelaufen", r"^zugriff verweigert\W*$", r"dienst ist (?:zur zeit|derzeit|momentan) nicht", r"browser wird nicht", r"^fehler \d{3}", r"beispielabsatz|beispieltext", r"interner serverfehler|datenbankverbindung", r"zu viele anfragen", r"(?:bitte )?(?:später|nochmals) (?:erneut )?versuchen|versuchen sie es später", r"bitte ersetzen\W*$",
-]
-_LATIN = "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|eiusmod|tempor|incididunt|labore|magna|aliqua|etium|ablor|quenda|velia|temporo|monto|porta|vendi|aptus|mirus|calor|carpen|sidum|nosmet|fugra|sutis|elitas"
-_FILLER = rf"^(?:(?:{_LATIN})[\s,.;:!?]*){{3,}}$"
-# Furniture of sites.
-_FURNITURE = [
-    r"^[\d .,:]+$", r"^(?:января|февраля|марта|апреля|мая|июня|июля|августа|сентября|октября|ноября|декабря|januar|februar|märz|april|mai|juni|juli|august|september|oktober|november|dezember|january|february|march|may|june|july|october|december)[ \d.,]*$", r"\s\|\s", r"©|\(c\)", r"все права", r"rights reserved", r"alle rechte", r"сайт работает с", r"счётчик", r"последнее обновление|last updated|letzte änderung", r"дизайн и поддержка|webdesign|design by", r"нашли ошибку|выделите её|сообщите нам", r"при перепечатке|nachdruck nur|reprint only|reproduction only", r"^(?:главная|форум|вход|поиск|контакты?|ссылки|home|links|search|log in|contact|startseite|suche|kontakt|impressum)\W*$",
-]
-# Terms that messages are made of, by their stems.
-_CUE = r"сайт|сервер|браузер|страниц|доступ|ошибк|запрос|сесси|скрипт|javascript|плеер|хостинг|домен|робот|файл|соединени|загруз|обновит|server|browser|page|request|error|session|script|access|gateway|unavailable|robot|seite|zugriff|sitzung|dienst|fehler|load|click|нажмите|войдите|anmelden|login"
-# Terms of the domain, by their stems.
-_DOMAIN = r"штаб|полк|батальон|бригад|дивизи|рота|роты|роту|арми|насып|мост|бо[йяюе]\b|приказ|архив|дневник|журнал|шифр|посыльн|гарнизон|снаряд|переправ|участ|музе|сражен|писар|донесен|сноск|плане|order|bridge|company|border|sector|diary|clerk|карт|akte|formular|blatt|kompanie|anlage|учени|озер"
-# A text without any of these stems holds neither a message nor furniture-only matter; they cover every pattern above.
-_WORTH = _CUE + "|включит|отключен|разрешит|активируйт|подтвердите|материал|документ|раздел|ресурс|запись|вернитесь|сервис|служба|не удалось|текст|слишком много|повторите|попробуйте|внутренняя|обратитесь|здесь|статья|содержание|описание|аннотация|информация|заголов|тестов|рыбн|пример|проверяем|enable|required|too many|try again|gateway|not found|forbidden|denied|reference|construction|sample|placeholder|filler|text|test|database|traceback|warning|fatal|notice|exception|on line|robot|coming soon|replace me|aktivieren|im aufbau|bearbeitung|beispiel|zu viele|versuchen|ersetzen|entsteht|folgt|steht|" + _LATIN
-_WRITTEN = r"[\p{L}\p{N}%_{<]"
-_CLOCK = r"^\s*(?:\d{1,2}:\d{2}:\d{2}[.,\d]*:?\s*)?(?:[А-ЯЁA-Z][\w\-]{2,30}:\s+)?"
-
-
-def _any(patterns: list[str]) -> str:
-    return "(?iuU)" + "|".join(f"(?:{p})" for p in patterns)
-
-
-def _has(c: Column, pattern: str) -> Column:
-    return c.rlike(pattern)
-
-
-def _holds_any(low: Column, stems: list[str]) -> Column:
-    """Whether a text in lower case holds one of the stems: plain searches, far faster than one alternation.
-
-    The lambda binds the text, so it is put into lower case once and not for each stem."""
-    return F.exists(F.array(low), lambda x: reduce(or_, [F.contains(x, F.lit(s)) for s in dict.fromkeys(stems)]))
-
-
-def _bare(s: Column) -> Column:
-    return F.trim(F.regexp_replace(s, _CLOCK, ""))
-
-
-def _kind(x: Column) -> Column:
-    """A statement's kind: f furniture, m message, c content, u none that a detector knows."""
-    tells = r"(?iuU)пишет|said|стоил|отправили|ни в одном"
-    return (
-        F.when(~x.rlike(_WRITTEN), "f")
-        .when(x.rlike("(?iuU)" + _FILLER), "m")
-        .when(x.rlike(_any(_FURNITURE)), "f")
-        .when(x.rlike(_any(_MESSAGE)) & (~x.rlike("(?iuU)" + _DOMAIN) | ((F.length(x) < 90) & ~x.rlike(tells))), "m")
-        .when(x.rlike("(?iuU)" + _DOMAIN) | ~x.rlike("(?iuU)" + _CUE), "c")
-        .otherwise("u")
-    )
-
-
-def evidence(docs: DataFrame) -> DataFrame:
-    """doc_id, source, holder, messages, content, unknown, signature of the rows whose text gives any reason.
-
-    holder: an unfilled placeholder; messages, content, unknown: statements of each kind."""
-    rows = spread(docs.select("doc_id", "source", "text")).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\S"))
-    # statements are looked at one by one only where the whole text, however long, gives reason to
-    worth = _holds_any(F.lower("text"), _WORTH.split("|")) | _has(F.col("text"), rf"(?i)(?:\b(?:{_LATIN})\b[\s,.;:!?]*){{3}}")
-    holder = _has(F.col("text"), "(?uU)(?=[{<\\[%_@#&XХ$NTlL])(?:" + "|".join(f"(?:{p})" for p in _PLACEHOLDER) + ")")
-    rows = rows.withColumns({"worth": worth, "doubtful": _has(F.col("text"), _DOUBTFUL), "sign": holder}).filter("worth or doubtful or sign")
-    statements = F.split("text", r"(?<=[.!?…])\s+|[\r\n]+")
-    # one statement of content settles a text without signs; the search ends at the first
-    said = F.exists(statements, lambda s: F.exists(F.array(_bare(s)), lambda x: _kind(x) == "c"))
-    rows = rows.filter(F.col("doubtful") | F.col("sign") | ~said)
-    signature = F.xxhash64(F.regexp_replace(F.lower(F.trim("text")), r"\d+", "0"))
-    rows = rows.select("doc_id", "source", "worth", "doubtful", "sign", signature.alias("signature"), F.explode(statements).alias("x"))
-    rows = rows.withColumn("x", _bare(F.col("x")))
-    x = F.col("x")
-    kind = F.when(~F.col("worth") & x.rlike(_WRITTEN), "c").otherwise(_kind(x))
-    told = F.col("doubtful") & x.rlike(_DOUBTFUL) & ~x.rlike(_EXPLAINED)
-    rows = rows.withColumns({"kind": kind, "told": told})
-    count = lambda k: F.count_if(F.col("kind") == k)
-    sums = [(F.max("sign") | F.max("told")).alias("holder"), count("m").alias("messages"), count("c").alias("content"), count("u").alias("unknown")]
-    return rows.groupBy("doc_id").agg(F.max("source").alias("source"), *sums, F.max("signature").alias("signature"))
+# Signs that are placeholders only where the statement does not speak about them.
+_DOUBTFUL = re.compile(r"(?<![\w%])%[sd](?!\w)|(?<![\w{])\{\d+\}|(?<!\w)undefined(?!\w)|(?<!\w)null(?!\w)")
+_EXPLAINED = re.compile(r"вместо|означа|обознача|сноск|примечани|формул|instead of|stands? for|stood for|denot|footnote|formula|statt|bedeutet|(?:steht|stand) für|fußnote|formel", re.I)
+# English and German words beside which "undefined" and "null" are words of the language.
+_ADJECTIVE = re.compile(r"\b(?:left|leaves?|is|was|are|were|be|been|being|remain\w*|stay\w*|seem\w*|still|yet|an|the|so|as|otherwise|largely|and|or)\s+(?:\w+ly\s+)?undefined\b|\bundefined\s+(?:until|by|in|at|and|or|border\w*|area\w*|line\w*|role\w*|number\w*|period\w*|behaviou?r)\b", re.I)
+_NUMERAL = re.compile(r"\bnull\s+(?:und|and|oder|or|uhr|grad|prozent|percent|komma|punkt|hypothes\w*|result\w*|set|value|vector|space|meter|kilometer|stunde\w*|mann)\b|\b(?:bei|auf|gegen|um|unter|über|gleich)\s+null\s*(?=[.,;:!?]|\b(?:uhr|grad)\b|$)", re.I)
+_LAYOUT = re.compile(r"^\s*(?:\d{1,3}:\d{2}:\d{2}[.,\d]*:?\s*)?(?:[А-ЯЁA-ZÄÖÜ][\w\-]+:\s+)?")
+_STATEMENT = re.compile(r"(?<=[.!?…])\s+|[\r\n]+")
+_WORD = re.compile(r"[^\W\d_]+")
+_SIGNS = frozenset("{<[%_@#XХ$NTnu&")
+_placeholder = re.compile("|".join(f"(?:{p})" for p in _PLACEHOLDER))
+# Romanisation of Cyrillic letters, for host names.
+_ROMAN = str.maketrans(dict(zip("абвгдеёзийклмнопрстуфыэ", "abvgdeeziyklmnoprstufye", strict=True)) | {"ж": "zh", "х": "h", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "sch", "ю": "yu", "я": "ya", "ъ": "", "ь": ""})
+
+CONTENT, MESSAGE, FURNITURE = range(3)
+
+
+def stem(word: str) -> str:
+    return word[:6]
+
+
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % BUCKETS
+
+
+class Terms:
+    """The term model: weights of hashed features for (content, message, furniture), kept for each word and pair seen."""
+
+    def __init__(self, weights: np.ndarray, bias: np.ndarray) -> None:
+        self.weights, self.bias = weights, bias
+        self.words: dict[str, tuple[float, float, float]] = {}
+        self.pairs: dict[tuple[str, str], tuple[float, float, float]] = {}
+
+    @staticmethod
+    @lru_cache(1)
+    def load() -> Terms:
+        raw = json.loads(resources.files("tapeloom.llm.models").joinpath("residue.json").read_text())
+        weights = np.zeros((BUCKETS, 3), np.float32)
+        weights[raw["at"]] = np.array(raw["w"], np.float32)
+        return Terms(weights, np.array(raw["bias"], np.float32))
+
+    @staticmethod
+    def word_features(word: str) -> list[tuple[int, float]]:
+        edged = f"^{word}$"
+        grams = [edged[i : i + 3] for i in range(len(edged) - 2)]
+        return [(_bucket("w " + stem(word)), 1.0), *((_bucket("g " + g), 1.0 / len(grams)) for g in grams)]
+
+    @staticmethod
+    def pair_features(a: str, b: str) -> list[tuple[int, float]]:
+        return [(_bucket(f"p {stem(a)} {stem(b)}"), 1.0)]
+
+    @staticmethod
+    def shape_features(statement: str, words: list[str]) -> list[tuple[int, float]]:
+        n = len(words)
+        size = "0" if n == 0 else "1" if n == 1 else "2" if n == 2 else "3" if n < 6 else "6" if n < 11 else "11" if n < 21 else "21"
+        out = [f"n {size}", f"last {statement[-1:] if not statement[-1:].isalnum() else 'a'}"]
+        if "|" in statement or "»" in statement[-1:]:
+            out.append("bar")
+        if any(c.isdigit() for c in statement):
+            out.append("figure")
+        if n and len(set(words)) * 2 <= n:
+            out.append("repeats")
+        return [(_bucket("s " + f), 1.0) for f in out]
+
+    def _sum(self, features: list[tuple[int, float]]) -> tuple[float, float, float]:
+        v = sum((self.weights[k] * x for k, x in features), np.zeros(3, np.float32))
+        return float(v[0]), float(v[1]), float(v[2])
+
+    def score(self, statement: str, words: list[str]) -> tuple[float, float, float]:
+        """Logits of content, message and furniture; a sum over words and pairs, over the root of their number."""
+        c = m = f = 0.0
+        get, before = self.words.get, None
+        for w in words:
+            x = get(w)
+            if x is None:
+                if len(self.words) >= KEEP:
+                    self.words.clear()
+                x = self.words[w] = self._sum(self.word_features(w))
+            c, m, f = c + x[0], m + x[1], f + x[2]
+            if before is not None:
+                x = self.pairs.get((before, w))
+                if x is None:
+                    if len(self.pairs) >= KEEP:
+                        self.pairs.clear()
+                    x = self.pairs[before, w] = self._sum(self.pair_features(before, w))
+                c, m, f = c + x[0], m + x[1], f + x[2]
+            before = w
+        root = math.sqrt(len(words)) or 1.0
+        s = self._sum(self.shape_features(statement, words))
+        return c / root + s[0] + float(self.bias[0]), m / root + s[1] + float(self.bias[1]), f / root + s[2] + float(self.bias[2])
+
+
+def placeholder(statement: str) -> bool:
+    """Whether an unfilled placeholder stands in a statement that does not speak about it."""
+    if _SIGNS.isdisjoint(statement):
+        return False
+    if _placeholder.search(statement):
+        return True
+    if not _DOUBTFUL.search(statement) or _EXPLAINED.search(statement):
+        return False
+    left = _NUMERAL.sub(" ", _ADJECTIVE.sub(" ", statement))
+    return _DOUBTFUL.search(left) is not None
+
+
+def statements(text: str) -> list[str]:
+    return [y for y in (_LAYOUT.sub("", x, count=1).strip() for x in _STATEMENT.split(text)) if y]
+
+
+def _slug(source: str | None) -> set[str]:
+    return {stem(w) for w in _WORD.findall((source or "").casefold().rpartition(".")[0])}
+
+
+OUT = "doc_id bigint, source string, holder boolean, signature bigint, message double, furniture boolean, stems array<string>, term string, texts bigint"
+
+
+def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, source, text) -> rows of placeholders, of statements in texts without sure content, and of term counts.
+
+    A partition's term counts are given out whenever they hold KEEP terms, and at its end."""
+    model = Terms.load()
+    counts: Counter[str] = Counter()
+    names = [x.split()[0] for x in OUT.split(", ")]
+    schema = pa.schema(list(zip(names, [pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.float64(), pa.bool_(), pa.list_(pa.string()), pa.string(), pa.int64()], strict=True)))
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+    def told() -> list[tuple]:
+        out = [(None, None, None, None, None, None, None, k, v) for k, v in counts.items()]
+        counts.clear()
+        return out
+
+    for b in batches:
+        for at in range(0, b.num_rows, 1024):
+            rows = []
+            p = b.slice(at, 1024)
+            for doc, source, text in zip(*(p.column(i).to_pylist() for i in range(3)), strict=True):
+                if doc is None or text is None or not text.strip():
+                    continue
+                parts = statements(text)
+                sure, seen, held = False, set(), False
+                kinds = []
+                for x in parts:
+                    held = held or placeholder(x)
+                    words = _WORD.findall(x.casefold())
+                    seen.update(map(stem, words))
+                    if not sure:  # one sure statement settles a text
+                        c, m, f = model.score(x, words)
+                        if max(m, f) < c - SURE:
+                            sure = True
+                        kinds.append((x, words, m - c, not words or f > m and f > c))
+                if sure and len(seen) >= INFORMATIVE:
+                    counts.update(seen)
+                if held:
+                    rows.append((doc, source, True, None, None, None, None, None, None))
+                elif not sure:
+                    # the terms that title and slug account for are no mismatch of the body
+                    # (a body that only says its title again has nothing beside it to agree with)
+                    title = set(map(stem, kinds[0][1]))
+                    slug = _slug(source)
+                    for i, (x, words, odds, furniture) in enumerate(kinds):
+                        mine = set(map(stem, words))
+                        agreed = {s for s in mine if s in slug or stem(s.translate(_ROMAN)) in slug} | (mine & title if mine != title else set())
+                        sign = xxhash.xxh64_intdigest(re.sub(r"\d+", "0", x.casefold())) - (1 << 63)
+                        rows.append((doc, source, False, sign, odds, furniture, sorted(mine - agreed), None, None))
+            if len(counts) >= KEEP:
+                rows += told()
+            if rows:
+                yield batch(rows)
+    if counts:
+        yield batch(told())
+
+
+def evidence(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The weighed rows, written once, and for each signature: texts, hosts, mismatch."""
+    rows = spread(docs.select("doc_id", "source", "text")).mapInArrow(weigh, OUT)
+    rows = cut(rows, "residue")
+    said = rows.filter("signature is not null and not furniture")
+    # texts and hosts that hold the same words: one partial aggregate by document, one by signature
+    each = said.groupBy("signature", "doc_id").agg(F.max("source").alias("source"), F.min(F.struct(F.size("stems"), "stems")).alias("s"))
+    signs = each.groupBy("signature").agg(F.count(F.lit(1)).alias("texts"), F.approx_count_distinct("source", 0.02).alias("hosts"), F.min("s")["stems"].alias("stems"))
+    terms = rows.filter("term is not null").groupBy("term").agg(F.sum("texts").alias("df"))
+    # rare terms weigh more; a term that one informative text alone uses is nobody's
+    open_ = signs.select("signature", F.explode("stems").alias("term")).join(terms, "term", "left")
+    rarity = 1.0 / F.log2(F.lit(4.0) + F.coalesce("df", F.lit(0)))
+    strange = open_.groupBy("signature").agg((F.sum(F.when(F.coalesce("df", F.lit(0)) < 2, rarity).otherwise(0.0)) / F.sum(rarity)).alias("mismatch"))
+    return rows, signs.drop("stems").join(strange, "signature", "left").withColumn("mismatch", F.coalesce("mismatch", F.lit(0.0)))
 
 
 def residue(docs: DataFrame) -> DataFrame:
-    """doc_id, reason of the cases: placeholder, message, repeated."""
-    rows = evidence(docs)
-    sure = F.when(F.col("holder"), "placeholder").when((F.col("messages") > 0) & (F.col("content") + F.col("unknown") == 0), "message")
-    open_ = F.col("signature").isNotNull() & (F.col("content") == 0) & (F.col("unknown") > 0)
-    # the few rows that matter, written once: they are read for the hosts' evidence and for the answer
-    rows = cut(rows.withColumns({"reason": sure, "open": open_}).filter("reason is not null or open"), "residue")
-    # host evidence on the undecided only: copies of the same words under other ids and hosts
-    hosts = rows.filter(F.col("open") & F.col("reason").isNull()).groupBy("signature").agg(F.count_distinct("doc_id").alias("copies"), F.count_distinct("source").alias("hosts"))
-    weighed = hosts.filter((F.col("copies") >= COPIES) | (F.col("hosts") >= COPIES)).select("signature", F.lit("repeated").alias("repeated"))
-    decided = rows.filter("reason is not null").select("doc_id", "reason")
-    repeated = rows.filter(F.col("open") & F.col("reason").isNull()).join(weighed, "signature").select("doc_id", F.col("repeated").alias("reason"))
-    return decided.unionByName(repeated)
+    """doc_id, reason of the cases: placeholder, message (by its terms alone), repeated (the evidence of the hosts speaks for it too)."""
+    rows, signs = evidence(docs)
+    salted = signs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    stated = rows.filter("signature is not null").select("doc_id", "signature", "message", "furniture", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    judged = stated.join(salted, ["signature", "salt"], "left")
+    repeats = F.lit(REPEATED) * (F.col("mismatch") - MIDDLE) * (F.log2("texts") + F.log2(F.greatest("hosts", F.lit(1)))) / 2
+    lifted = F.col("message") + F.greatest(F.coalesce(repeats, F.lit(0.0)), F.lit(0.0))
+    backed = (F.col("texts") >= COPIES) & (repeats > 0)
+    kind = F.when(F.col("furniture"), "f").when(lifted <= 0, "c").when(backed, "r").otherwise("m")
+    judged = judged.select("doc_id", kind.alias("kind"))
+    holders = rows.filter("holder").select("doc_id", F.lit("p").alias("kind"))
+    count = lambda k: F.count_if(F.col("kind") == k)
+    sums = judged.unionByName(holders).groupBy("doc_id").agg(*[count(k).alias(k) for k in "pmrc"])
+    reason = F.when(F.col("p") > 0, "placeholder").when(F.col("c") > 0, None).when(F.col("r") > 0, "repeated").when(F.col("m") > 0, "message")
+    return sums.select("doc_id", reason.alias("reason")).filter("reason is not null")
 
 
 def p8_reasons(spark: SparkSession, d: str) -> DataFrame:
-    return residue(spark.read.parquet(f"{d}/documents.parquet")).groupBy("doc_id").agg(F.min("reason").alias("reason"))
+    return residue(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

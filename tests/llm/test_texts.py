@@ -134,3 +134,31 @@ def test_p8_long_texts(spark, folder, put):
     assert min(map(len, [*long.values(), *kept.values(), *copies.values()])) > 1600
     got = {r.doc_id: r.reason for r in residue.p8_reasons(spark, str(folder)).collect()}
     assert got == {i: "message" for i in long} | {i: "repeated" for i in copies}
+
+
+def test_p8_messages_that_no_example_holds(spark, folder, put):
+    """Held-out wordings, alone and repeated over hosts; matter of the project that repeats as often is kept."""
+    alone = ["Die Verbindung zum Server konnte nicht hergestellt werden.", "К сожалению, сейчас мы не можем показать вам этот раздел.", "Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris.", "503 Service Unavailable. " * 60, "Привет {{ имя_" + "а" * 90 + " }} полк вышел к мосту."]
+    often = "Oops! Something went wrong on our end."
+    matter = "Сигнал подали тремя красными ракетами."
+    story = "Рота вышла к реке на рассвете, и сапёры три часа строили переправу под огнём миномётов; сигнал подали тремя красными ракетами, полк занял насыпь. "
+    rows = [(i, f"h{i % 9}-lib.example", t) for i, t in enumerate([*alone, *[often] * 30, *[matter] * 30, *[story * k for k in range(1, 20)]])]
+    put(folder, "documents", [{"doc_id": i, "text": t, "source": s} for i, s, t in rows] + [{"doc_id": 900, "text": often, "source": None}, {"doc_id": None, "text": often, "source": "x"}])
+    got = {r.doc_id: r.reason for r in residue.p8_reasons(spark, str(folder)).collect()}
+    assert set(got) == {i for i, _, t in rows if t in alone or t == often} | {900}
+    assert {got[i] for i, _, t in rows if t == often} == {"repeated"} and got[4] == "placeholder"
+
+
+def test_p8_placeholders_have_no_length_and_end_in_linear_time():
+    assert residue.placeholder("Ort: <% " + "x" * 5000 + " %>") and residue.placeholder("@@" + "a " * 500 + "@@")
+    for text in ("{{" * 50_000, "{" + "a" * 100_000, "__" + "A" * 100_000, "%" + "A" * 100_000, "@@" * 50_000, "[[" * 50_000, "_" * 4):
+        assert not residue.placeholder(text)
+
+
+def test_p8_evidence_alone_decides(spark):
+    """A wording without any weight in the term model is a case only where many hosts repeat it and no host's texts use its words."""
+    rows = [(i, f"h{i % 12}.example", "Qzzq wxx kjjk.") for i in range(400)] + [(1000, "h.example", "Vxxv pqqp zkk.")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    odds = {r.signature: r.message for r in residue.evidence(df)[0].filter("signature is not null").collect()}
+    signs = residue.evidence(df)[1].collect()
+    assert len(odds) == 2 and {(r.texts, r.mismatch) for r in signs} == {(400, 1.0), (1, 1.0)} and 11 <= max(r.hosts for r in signs) <= 13
