@@ -1,11 +1,15 @@
 """Problem 4: speech transcripts into clean, ordered speaker turns.
 
-Every text is cut into tokens; a token is seen as a symbol (its word, if the
-word can mean more than one thing, else its shape).  A linear-chain model with
-trained weights (``train_turns``) scores the labels speech, clock mark, sound
-note, hesitation or filler, caption and punctuation from a token, its two
-neighbours and the label before; Viterbi decoding finds the best labelling of
-a whole batch of texts at once.  Turns are assembled from what is speech.
+Every text is cut into tokens.  A linear-chain model with trained weights
+(``train_turns``) scores the labels speech, clock mark, sound note, hesitation
+or filler, caption and punctuation of each token from what it is (its word, its
+ending and beginning, the form of its letters), from its neighbours, from the
+brackets or signs it stands between and how many words they hold, from whether
+anything was said before it, and from the language of the text; Viterbi decoding
+finds the best labelling of a whole batch of texts at once.  No list decides
+what may be a sound or a filler: a word that training never saw is labelled by
+its form and its place.  Turns are assembled from what is speech: consecutive
+segments of one person, without a pause that changes the session, are one turn.
 
 Defined results: null text is a segment without speech; rows without a usable
 time are labelled like all others but take no part in the order of turns; long
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from importlib import resources
@@ -25,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.operators.speech_periods import named_segments, valid_segments
+from tapeloom.operators.ordered import with_islands
+from tapeloom.operators.speech_periods import GAP_AT_MOST_US, named_segments, valid_segments
 
 LABELS = ("speech", "timestamp", "sound", "filler", "head", "punct")
 SPEECH, TIMESTAMP, SOUND, FILLER, HEAD, PUNCT = range(6)
@@ -34,23 +40,24 @@ SPEECH, TIMESTAMP, SOUND, FILLER, HEAD, PUNCT = range(6)
 TOKEN = re.compile(
     r"""\[нрзб\]|\#\d\d-\d\d-\d\d\#|[\[<(]\d{1,3}:\d\d(?::\d\d)?(?:[.,]\d+)?[\])>]|\d{1,3}:\d\d:\d\d(?:[.,]\d+)?|\d{1,2}:\d\d(?!\d)|-->|>>+|\.\.+|…|\(\(|\)\)|[^\W_]+(?:[-'’.,][^\W_]+)*|[^\w\s]|_"""
 )
-# Hesitation sounds.
-HESITATION = re.compile(r"(?:э+|э+-э+|м{2,}|м(?:-м)+|а(?:-а)+|хм+|эм+|[äö]+h+m*|h+m+|mhm|uh+m*|erm+|um+|er)\Z")
-AMBIGUOUS_SOUND = {"um", "er", "а", "э"}
-# Words and phrases put in without meaning.
-PHRASES = [p.split() for p in "ну|вот|короче|типа|значит|понимаете|как бы|так сказать|скажем так|это самое|в общем|собственно|знаете|видите ли|also|halt|quasi|sozusagen|na ja|sag ich mal|sagen wir mal|irgendwie|weißt du|wissen sie|like|well|you know|i mean|sort of|kind of|basically|actually|so to speak".split("|")]
-# Stems of words for what is heard, not said.
-HEARD = r"сме[хёея]|кашл|кашел|музык|тих|звон|телефон|аплодисм|шум|помех|стук|стуч|вздох|вздых|пауз|плач|плаче|крик|шорох|скрип|гудок|гудит|тишин|хлоп|фон|lach|hust|musik|klingel|telefon|applaus|rausch|pause|seufz|geräusch|klopf|stille|laugh|cough|applau|music|phone|ring|noise|background|sigh|silence|knock|static"
-_HEARD = re.compile(f"(?:{HEARD})", re.I)
 _NUMBER = re.compile(r"\d+(?:[.,]\d+)?\Z")
-
-WORDS = sorted({w for p in PHRASES for w in p} | {"это", "что", "ни", "почему", "uhr", "утра", "к", "gegen", "at", "um"})
+# Words that mean different things by their neighbours; they are contexts of their own.
+WORDS = "ну вот короче типа значит понимаете как бы так сказать скажем это самое в общем собственно знаете видите ли also halt quasi sozusagen na ja sag ich mal sagen wir irgendwie weißt du wissen sie like well you know i mean sort of kind basically actually to speak что ни почему uhr утра к gegen at um er мм а и".split()
 SIGNS = [",", ".", "...", "?", "!", ":", ";", "—", "–", "-", ">>", "-->", "(", ")", "[", "]", "{", "}", "<", ">", "/", "*", "♪", "((", "))", "#", "|", '"', "«", "»"]
-SHAPES = ["<edge>", "<word>", "<Word>", "<number>", "<heard>", "<hesitation>", "<clock>", "<bracket-clock>", "<hash-clock>", "<hour>", "<nrzb>", "<role>", "<name>", "<other>"]
-SYMBOLS = {s: i for i, s in enumerate([*SHAPES, *SIGNS, *(f"w:{w}" for w in WORDS)])}
+SHAPES = ["<edge>", "<word>", "<Word>", "<number>", "<clock>", "<bracket-clock>", "<hash-clock>", "<hour>", "<nrzb>", "<role>", "<name>", "<other>"]
+SYMBOLS = {s: i for i, s in enumerate([*SHAPES, *SIGNS, *(f"w:{w}" for w in dict.fromkeys(WORDS))])}
 EDGE, NAME, ROLE = SYMBOLS["<edge>"], SYMBOLS["<name>"], SYMBOLS["<role>"]
-#: Tokens whose symbol a worker keeps.
-KEEP = 200_000
+#: What a token is, for the tables of brackets; signs, words, words with a capital, capitals alone, numbers, marks, names.
+SIGN, LOWER, CAPITAL, CAPS, NUMBER, MARK, WHO = range(7)
+# What opens and closes a note; the last three open and close with one sign.
+PAIRS = [("[", "]"), ("(", ")"), ("{", "}"), ("<", ">"), ("((", "))"), ("/", "/"), ("*", "*"), ("♪", "♪")]
+#: Brackets: none, or a pair by the number of words in it (1, 2, 3, more).
+PLACES = 1 + 4 * len(PAIRS)
+# Words by which German and English texts are told apart.
+_GERMAN, _ENGLISH = set("der die das und ich ist nicht den dem ein eine wir sie es von mit auf für war wie was bitte im zu".split()), set("the and of to was that is we it for with on by you they had his from".split())
+OTHER, GERMAN, ENGLISH = range(3)
+#: Buckets of words, endings, beginnings and forms, so many of each token; tokens that a worker keeps.
+LEXICON, PARTS, KEEP = 1 << 14, 4, 200_000
 
 
 def symbol(token: str) -> int:
@@ -64,47 +71,126 @@ def symbol(token: str) -> int:
     low = token.lower()
     if low in ("журналист", "оператор"):
         return ROLE
-    if f"w:{low}" in SYMBOLS and low != "um":
-        return SYMBOLS[f"w:{low}"]
-    if HESITATION.match(low) and not (len(token) > 1 and token.isupper()):
-        return SYMBOLS["w:um"] if low == "um" else SYMBOLS["<hesitation>"]
-    if _HEARD.match(token):
-        return SYMBOLS["<heard>"]
-    return SYMBOLS["<Word>" if c.isupper() else "<word>"]
+    return SYMBOLS.get(f"w:{low}") or SYMBOLS["<Word>" if c.isupper() else "<word>"]
 
 
-_known: dict[str, int] = {}
+def kind(token: str, sym: int) -> int:
+    if sym in (NAME, ROLE):
+        return WHO
+    c = token[0]
+    if c.isdigit() or not c.isalnum():
+        return NUMBER if sym == SYMBOLS["<number>"] else SIGN if not c.isdigit() and len(token) <= 3 else MARK
+    return CAPS if len(token) > 1 and token.isupper() else CAPITAL if c.isupper() else LOWER
 
 
-def symbols(tokens: list[str], name: str | None) -> list[int]:
-    """The symbols of a text; the expert's name, where it stands among the first tokens, has its own."""
-    get = _known.get
-    out = []
-    for t in tokens:
-        s = get(t)
-        if s is None:
-            if len(_known) >= KEEP:
-                _known.clear()
-            s = _known[t] = symbol(t)
-        out.append(s)
-    if name:
-        low = name.lower()
-        for i in range(min(6, len(tokens))):
-            if len(tokens[i]) == len(low) and tokens[i].lower() == low:
-                out[i] = NAME
-    return out
+def parts(token: str) -> list[int]:
+    """Buckets of a token's word, ending, beginning and the form of its letters."""
+    low = token.lower()
+    if not low[0].isalpha():
+        return [0] * PARTS
+    letters = low.replace("-", "")
+    drawn = re.sub(r"(.)\1+", r"\1", letters)
+    form = f"{min(len(letters), 8)} {min(len(drawn), 5)} {min(len(set(letters)), 5)} {'-' in low} {not re.search('[аеёиоуыэюяaeiouyäöü]', low)} {not re.search('[^аеёиоуыэюяaeiouyäöühм-]', low)}"
+    return [1 + zlib.crc32(x.encode()) % (LEXICON - 1) for x in (f"w {low}", f"e {low[-3:]}", f"b {low[:4]}", f"f {form}")]
+
+
+class Tokens:
+    """The tokens a worker has seen, by number: symbol, kind, parts and the sum of their weights."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.symbol, self.kind, self.parts, self.weight = np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros((0, PARTS), np.int64), np.zeros((0, len(LABELS)), np.float32)
+
+    def numbers(self, texts: list[list[str]], lexicon: np.ndarray | None = None) -> np.ndarray:
+        if len(self.number) > KEEP:
+            self.__init__()
+        get, new = self.number.get, []
+        out = []
+        for tokens in texts:
+            for t in tokens:
+                k = get(t)
+                if k is None:
+                    k = self.number[t] = len(self.number)
+                    new.append(t)
+                out.append(k)
+        if new:
+            syms = [symbol(t) for t in new]
+            found = np.array([parts(t) for t in new], np.int64)
+            self.symbol = np.concatenate((self.symbol, np.array(syms, np.int64)))
+            self.kind = np.concatenate((self.kind, np.array([kind(t, s) for t, s in zip(new, syms, strict=True)], np.int8)))
+            self.parts = np.concatenate((self.parts, found))
+            if lexicon is not None:
+                self.weight = np.concatenate((self.weight, lexicon[found].sum(1)))
+        return np.array(out, np.int64)
+
+
+class Seen:
+    """What the model sees of texts that lie one after the other: a row for each token."""
+
+    def __init__(self, texts: list[list[str]], names: list[str | None], known: Tokens, lexicon: np.ndarray | None = None) -> None:
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        number = known.numbers(texts, lexicon)
+        self.symbol, self.kind, self.parts = known.symbol[number], known.kind[number], known.parts[number]
+        self.weight = known.weight[number] if lexicon is not None else None
+        n = len(number)
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
+        at = 0
+        for tokens, name in zip(texts, names, strict=True):
+            if name:
+                low, long = name.lower(), len(name)
+                for i, t in enumerate(tokens):
+                    if len(t) == long and t.lower() == low:
+                        self.symbol[at + i], self.kind[at + i] = NAME, WHO
+            at += len(tokens)
+        text = np.repeat(np.arange(len(texts)), self.sizes)
+        self.place = np.zeros(n, np.int64)
+        worded = np.concatenate(([0], np.cumsum(self.kind != SIGN)))
+        for k, (a, b) in enumerate(PAIRS):
+            opens, closes = np.flatnonzero(self.symbol == SYMBOLS[a]), np.flatnonzero(self.symbol == SYMBOLS[b])
+            if not len(opens) or not len(closes):
+                continue
+            if a == b:  # every second one of a text closes
+                rank = np.arange(len(opens)) - np.searchsorted(opens, self.starts[text[opens]])
+                opens, to = opens[:-1][(rank[:-1] % 2 == 0) & (rank[1:] % 2 == 1)], opens[1:][(rank[:-1] % 2 == 0) & (rank[1:] % 2 == 1)]
+            else:
+                following = np.searchsorted(closes, opens)
+                opens = opens[following < len(closes)]
+                to = closes[following[following < len(closes)]]
+            same = text[opens] == text[to] if len(opens) else np.zeros(0, bool)
+            for i, j in zip(opens[same].tolist(), to[same].tolist(), strict=True):
+                words = int(worded[j] - worded[i + 1])
+                if words and not self.place[i : j + 1].any():
+                    self.place[i : j + 1] = 1 + 4 * k + min(words, 4) - 1
+        # nothing but marks, notes and signs before it: the opening of a text, up to its first word outside brackets
+        saying = (self.place == 0) & np.isin(self.kind, (LOWER, CAPITAL, CAPS, NUMBER, WHO))
+        spoken = np.concatenate(([0], np.cumsum(saying)))
+        self.opening = ((spoken[:-1] - spoken[self.starts[text]]) == 0).astype(np.int64) if n else np.zeros(0, np.int64)
+        low = [{t.lower() for t in tokens} for tokens in texts]
+        german, english = np.array([len(x & _GERMAN) for x in low], np.int64), np.array([len(x & _ENGLISH) for x in low], np.int64)
+        self.language = np.where(german > english, GERMAN, np.where(english > 0, ENGLISH, OTHER))[text] if n else np.zeros(0, np.int64)
+        full = self.sizes > 0
+        self.before, self.after = np.concatenate(([EDGE], self.symbol[:-1]))[:n], np.concatenate((self.symbol[1:], [EDGE]))[:n]
+        self.before[self.starts[full]] = EDGE
+        self.after[self.ends[full] - 1] = EDGE
+
+
+# The weight tables and what they are indexed by.
+TABLES = ("own", "left", "right", "step", "place", "open", "tongue", "lexicon")
 
 
 class Model:
-    """Weights of the chain: own[s], left[s, before], right[s, after] for each label, and step[label, label]."""
+    """Weights of the chain for each label: symbols, their neighbours, places in brackets, openings, languages, lexicon; step[label, label]."""
 
-    def __init__(self, own: np.ndarray, left: np.ndarray, right: np.ndarray, step: np.ndarray, first: np.ndarray) -> None:
-        self.own, self.left, self.right, self.step, self.first = own, left, right, step, first
+    def __init__(self, **tables: np.ndarray) -> None:
+        for k in TABLES:
+            setattr(self, k, tables[k])
 
     @staticmethod
     def empty() -> Model:
         s, n = len(SYMBOLS), len(LABELS)
-        return Model(np.zeros((s, n), np.float32), np.zeros((s, s, n), np.float32), np.zeros((s, s, n), np.float32), np.zeros((n, n), np.float32), np.zeros((s, n), np.float32))
+        shapes = {"own": (s,), "left": (s, s), "right": (s, s), "step": (n,), "place": (PLACES, 7), "open": (s, 2), "tongue": (s, 3), "lexicon": (LEXICON,)}
+        return Model(**{k: np.zeros((*v, n), np.float32) for k, v in shapes.items()})
 
     @staticmethod
     @lru_cache(1)
@@ -118,27 +204,25 @@ class Model:
         return m
 
     def dump(self) -> str:
-        flat = {k: getattr(self, k).ravel() for k in ("own", "left", "right", "step", "first")}
-        return json.dumps({"symbols": list(SYMBOLS), "weights": {k: {"at": np.flatnonzero(v).tolist(), "w": [round(float(x), 3) for x in v[np.flatnonzero(v)]]} for k, v in flat.items()}}, ensure_ascii=False)
-
-    def decode(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The labels of all tokens of texts that lie one after the other in ``flat``: Viterbi over many texts at once."""
-        out = np.empty(len(flat), np.int8)
-        if not len(flat):
+        flat = {k: getattr(self, k).ravel() for k in TABLES}
+        return json.dumps({"symbols": list(SYMBOLS), "weights": {k: {"at": np.flatnonzero(v).tolist(), "w": [round(float(x), 2) for x in v[np.flatnonzero(v)]]} for k, v in flat.items()}}, ensure_ascii=False, separators=(",", ":"))
+
+    def scores(self, x: Seen) -> np.ndarray:
+        s = x.symbol
+        words = x.weight if x.weight is not None else self.lexicon[x.parts].sum(1)
+        return self.own[s] + self.left[s, x.before] + self.right[s, x.after] + self.place[x.place, x.kind] + self.open[s, x.opening] + self.tongue[s, x.language] + words
+
+    def decode(self, score: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The labels of all tokens of texts that lie one after the other: Viterbi over many texts at once."""
+        out = np.empty(len(score), np.int8)
+        if not len(score):
             return out
-        ends = np.cumsum(sizes)
-        starts = ends - sizes
-        before = np.concatenate(([EDGE], flat[:-1]))
-        before[starts[sizes > 0]] = EDGE
-        after = np.concatenate((flat[1:], [EDGE]))
-        after[ends[sizes > 0] - 1] = EDGE
-        score = self.own[flat] + self.left[flat, before] + self.right[flat, after]
-        score[starts[sizes > 0]] += self.first[flat[starts[sizes > 0]]]
+        starts = np.cumsum(sizes) - sizes
         order = np.argsort(-sizes, kind="stable")
         n = int((sizes > 0).sum())
         longest = int(sizes[order[0]])
         first, size = starts[order[:n]], sizes[order[:n]]
-        back = np.empty((len(flat), len(LABELS)), np.int8)
+        back = np.empty((len(score), len(LABELS)), np.int8)
         best = score[first].copy()
         final = np.empty((n, len(LABELS)), np.float32)
         alive = n
@@ -164,12 +248,13 @@ class Model:
         return out
 
 
+_known = Tokens()
+
+
 def _labelled(texts: list[str | None], names: list[str | None], model: Model) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    find = TOKEN.findall
-    tokens = [find(x) if x else [] for x in texts]
-    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    flat = np.fromiter((s for t, n in zip(tokens, names, strict=True) for s in symbols(t, n)), np.int64, int(sizes.sum()))
-    return tokens, sizes, model.decode(flat, sizes)
+    tokens = [TOKEN.findall(x) if x else [] for x in texts]
+    x = Seen(tokens, names, _known, model.lexicon)
+    return tokens, x.sizes, model.decode(model.scores(x), x.sizes)
 
 
 def mask_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,19 +287,19 @@ def _join(tokens: list[str]) -> str:
 
 
 def clean_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(seg_id, surname, differs, text) -> seg_id, spoken: the words that were said, null where there are none."""
+    """(surname, text, other columns) -> other columns, spoken: the words that were said; segments without any are left out."""
     model = Model.load()
     for b in batches:
         for at in range(0, b.num_rows, 2048):
             p = b.slice(at, 2048)
-            tokens, sizes, labels = _labelled(p.column(3).to_pylist(), p.column(1).to_pylist(), model)
+            tokens, _, labels = _labelled(p.column(1).to_pylist(), p.column(0).to_pylist(), model)
             out, i = [], 0
             for t in tokens:
                 mine = labels[i : i + len(t)]
                 i += len(t)
-                said = [x for x, k in zip(t, mine, strict=True) if k in (SPEECH, PUNCT)]
-                out.append(_join(said) if (mine == SPEECH).any() else None)
-            yield pa.RecordBatch.from_arrays([p.column(0), pa.array(out, pa.string())], ["seg_id", "spoken"])
+                out.append(_join([x for x, k in zip(t, mine, strict=True) if k in (SPEECH, PUNCT)]) if (mine == SPEECH).any() else None)
+            spoken = pa.array(out, pa.string())
+            yield pa.RecordBatch.from_arrays([*p.columns[2:], spoken], [*p.schema.names[2:], "spoken"]).filter(spoken.is_valid())
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
@@ -234,8 +319,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_turns(spark: SparkSession, d: str) -> DataFrame:
-    """file_id, start_us, end_us, seg_id, speaker, spoken: the segments with speech, in order within a recording by (start_us, end_us, seg_id)."""
-    rows = _segments(spark, d)
-    spoken = rows.select("seg_id", "surname", "differs", "text").mapInArrow(clean_batches, "seg_id bigint, spoken string")
-    rows = rows.select("seg_id", "file_id", "start_us", "end_us", F.col("name").alias("speaker")).filter("file_id is not null and start_us is not null and end_us >= start_us")
-    return rows.join(spoken.filter("spoken is not null"), "seg_id").select("file_id", "start_us", "end_us", "seg_id", "speaker", "spoken")
+    """file_id, turn, speaker, start_us, end_us, n_segs, first_seg_id, spoken: the turns of each recording, numbered in order.
+
+    A turn is the consecutive segments with speech (by start_us, end_us, seg_id) of one person; a silence of more
+    than 600 s, which changes the session, ends it.  Segments without a file or a usable time belong to no turn."""
+    rows = _segments(spark, d).filter("file_id is not null and start_us is not null and end_us >= start_us")
+    rows = rows.select("surname", "text", "file_id", "start_us", "end_us", "seg_id", F.col("name").alias("speaker"))
+    said = rows.mapInArrow(clean_batches, "file_id string, start_us bigint, end_us bigint, seg_id bigint, speaker string, spoken string")
+    order = ["start_us", "end_us", "seg_id"]
+    breaks = (F.col("speaker") != F.col("prev_speaker")) | (F.col("start_us") - F.col("prev_end_us") > GAP_AT_MOST_US)
+    marked = with_islands(said, "file_id", order, ["speaker", "end_us"], breaks, "turn")
+    pieces = F.array_sort(F.collect_list(F.struct(*order, "spoken")))
+    turns = marked.groupBy("file_id", "turn", "speaker").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.count(F.lit(1)).alias("n_segs"), pieces.alias("pieces"))
+    return turns.select("file_id", "turn", "speaker", "start_us", "end_us", "n_segs", F.col("pieces")[0]["seg_id"].alias("first_seg_id"), F.array_join(F.col("pieces.spoken"), " ").alias("spoken"))

@@ -71,17 +71,42 @@ def test_decoding_is_the_best_path():
 
     rng = np.random.default_rng(0)
     m = turns.Model.empty()
-    for k in ("own", "left", "right", "step", "first"):
+    for k in turns.TABLES:
         a = getattr(m, k)
         a[...] = rng.normal(size=a.shape)
-    flat = rng.integers(1, 20, 9)
-    sizes = np.array([4, 0, 5])
-    got = m.decode(flat, sizes)
+    texts = [["Ну", "[", "смех", "]"], [], ["Танки", ",", "хм", ",", "застряли"]]
+    x = turns.Seen(texts, [None, None, "Танки"], turns.Tokens())
+    sizes, score = x.sizes, m.scores(x)
+    got = m.decode(score, sizes)
     at = 0
     for n in sizes:
-        s = flat[at : at + n]
         if n:
-            b, a = [turns.EDGE, *s[:-1]], [*s[1:], turns.EDGE]
-            cost = lambda y: sum(m.own[s[i], y[i]] + m.left[s[i], b[i], y[i]] + m.right[s[i], a[i], y[i]] for i in range(n)) + m.first[s[0], y[0]] + sum(m.step[y[i - 1], y[i]] for i in range(1, n))  # noqa: B023, E731
+            cost = lambda y: sum(score[at + i, y[i]] for i in range(n)) + sum(m.step[y[i - 1], y[i]] for i in range(1, n))  # noqa: B023, E731
             assert tuple(got[at : at + n]) == max(itertools.product(range(6), repeat=int(n)), key=cost)
         at += n
+
+
+UNSEEN = [
+    ("Разведка [хихикает] не нашла прохода.", {"sound"}), ("[сирена] Танки застряли.", {"sound"}), ("Полк вышел (выстрелы) к реке.", {"sound"}), ("The bridge [explosion] had been mined.", {"sound"}), ("Der Nachschub {Sirene} kam nur über das Eis.", {"sound"}),
+    ("Танки, блин, застряли у самой насыпи.", {"filler"}), ("Связь, мгм, прервалась.", {"filler"}), ("Ээээээ, танки застряли.", {"filler"}), ("Er, ich glaube, war nicht bei der Brücke.", set()), ("Калибр трофейных орудий составлял 71 мм и больше.", set()), ("Полк, мм, вышел к реке.", {"filler"}),
+    ("00:00:01 [тихий смех] [кашель] Верестов: Танки застряли.", {"timestamp", "sound", "head"}), ("[смех] [кашель] [стук] [шум] Верестов: Танки застряли.", {"sound", "head"}), ("Танки вёл Верестов: он знал брод.", set()), ("Мосты [так в приказе] взорвали; сборный отряд (ЭМ и сторожевик) остался.", set()), ("Полк " + "вышел к реке и " * 400 + "[смех] занял насыпь.", {"sound"}),
+]
+
+
+def test_p4_words_and_places_that_training_never_saw(spark, folder, put, seg):
+    put(folder, "audio_files", [{"file_id": "f", "tape_no": 1, "surname": "Верестов", "given_name": "Ефим"}])
+    put(folder, "segments_merged", [seg(i, i, i + 1, "Верестов", text=t) for i, (t, _) in enumerate(UNSEEN)])
+    got: dict[int, set] = {}
+    for r in turns.p4_found(spark, str(folder)).collect():
+        got.setdefault(r.seg_id, set()).add(r.kind)
+    assert {i: (t, got.get(i, set())) for i, (t, _) in enumerate(UNSEEN)} == dict(enumerate(UNSEEN))
+
+
+def test_turns_are_assembled_in_order(spark, folder, put, seg):
+    put(folder, "audio_files", [{"file_id": "f", "tape_no": 1, "surname": "Верестов", "given_name": "Ефим"}])
+    rows = [seg(3, 20 * S, 25 * S, "верест.", text="Мы вышли к реке."), seg(1, 0, 5 * S, "Ж.", text="Когда это произошло?"), seg(2, 5 * S, 9 * S, "Верестов", text="Утром."), seg(4, 12 * S, 13 * S, "Ж.", text="[смех]"), seg(5, 700 * S, 705 * S, "Верестов", text="Новая кассета."), seg(6, None, 9 * S, "Верестов", text="Без времени."), seg(7, 705 * S, 706 * S, "Ж.", text=None)]
+    put(folder, "segments_merged", rows * 2)
+    got = [tuple(r) for r in turns.p4_turns(spark, str(folder)).orderBy("turn").collect()]
+    assert got == [("f", 1, "Журналист", 0, 5 * S, 1, 1, "Когда это произошло?"), ("f", 2, "Верестов", 5 * S, 25 * S, 2, 2, "Утром. Мы вышли к реке."), ("f", 3, "Верестов", 700 * S, 705 * S, 1, 5, "Новая кассета.")]
+    put(folder, "segments_merged", [])
+    assert turns.p4_turns(spark, str(folder)).count() == 0
