@@ -1,18 +1,22 @@
 """Problem 7: texts, measured in tokens, put whole into containers of fixed capacity.
 
 Linear grouping.  Large lengths are rounded up within groups of equal
-cardinality, so that few sizes are left; configurations (multisets of those
-sizes that fit a container) are chosen one after the other, each the fullest
-that the sizes still to be placed allow, and used as often as they last; the
-actual documents take the slots of their group; then the small ones are put,
-longest first, where they fit best.  A text beyond the capacity is cut into
-parts of the capacity and one rest.
-
-The plan needs nothing but the number of items of each length, so it is made
-from at most ``capacity`` counts per container kind, whatever the corpus: the
-counts are a partial aggregate, the plan is a list of ranges (length, ranks) ->
-containers.  Items get their rank within their length from salted buckets, so a
-length that a third of all items share is still ranked in parallel.
+cardinality, so that few sizes are left; a linear programme over all
+configurations (multisets of those sizes that fit a container) finds how often
+each is used with the fewest containers in all, its columns generated by a
+knapsack; the whole parts of that solution are used, the actual documents take
+the slots of their group; what the rounding leaves and the small ones are then
+put, longest first, where they fit best.  Best fit alone is planned beside it on
+the same counts, and the plan with fewer containers holds, so grouping never
+costs a container.  A text beyond the capacity is cut into parts of the capacity
+and one rest.
+
+The plan needs nothing but the number of items of each length: one partial
+aggregate, at most as many counts for a kind of container as there are lengths
+up to its capacity, whatever the corpus.  The plan is a list of ranges (length,
+ranks) -> containers.  Items get their rank within their length in as many
+buckets as their number asks for, and find their range by an equi join on blocks
+of ranks.
 
 Defined results: a null, empty or otherwise token-less text needs no room and
 gets no row; ties are ranked by (doc_id, part); equal rows are ranked one after
@@ -36,12 +40,10 @@ from tapeloom.llm.bpe import transducer, vocabulary_path
 from tapeloom.llm.spread import spread
 from tapeloom.session import cut
 
-#: A container kind may be as large as this: it bounds the counts that reach the driver.
-MAX_CAPACITY, MAX_KINDS = 262_144, 64
-#: Groups of large lengths, and the least share of the capacity that is large.
-GROUPS, LARGE = 24, 1 / 6
-#: Buckets in which items of one length are ranked side by side.
-BUCKETS = 32
+#: Groups of large lengths, the least share of the capacity that is large, and the steps of the capacity that configurations are told apart by.
+GROUPS, LARGE, STEPS = 64, 1 / 6, 16_384
+#: Items of one length in a bucket in which they are ranked, about; ranks in a block by which items and ranges are joined.
+BUCKET_ROWS, BLOCK = 500_000, 4096
 
 
 @lru_cache(2)
@@ -79,128 +81,166 @@ def lengths(docs: DataFrame, tokenizers: list[str], folder: str | None = None) -
     return spread(docs.select("doc_id", "text")).mapInArrow(run, "doc_id bigint" + "".join(f", `{t}` int" for t in tokenizers))
 
 
-def _fullest(sizes: list[int], left: list[int], capacity: int) -> dict[int, int]:
-    """The multiset of sizes (each at most left[i] times) with the greatest sum that fits: bounded knapsack."""
-    reach = np.zeros(capacity + 1, dtype=bool)
-    reach[0] = True
-    steps: list[tuple[int, int, np.ndarray]] = []
-    for i, size in enumerate(sizes):
-        most = min(left[i], capacity // size)
-        k = 1
-        while most > 0:  # copies in powers of two
-            n = min(k, most)
-            new = np.zeros_like(reach)
-            new[n * size :] = reach[: capacity + 1 - n * size] if n * size else reach
-            steps.append((i, n, reach.copy()))
-            reach |= new
-            most -= n
-            k *= 2
-    at = int(np.flatnonzero(reach)[-1])
-    out: dict[int, int] = defaultdict(int)
-    for i, n, before in reversed(steps):
-        if not before[at]:
-            out[i] += n
-            at -= n * sizes[i]
-    return dict(out)
+def _dearest(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The multiset of sizes of the greatest price that fits, and its price: an unbounded knapsack over all rooms at once."""
+    best = np.zeros(capacity + 1)
+    stages = []
+    for size, price in zip(sizes.tolist(), prices.tolist(), strict=True):
+        stages.append(best)
+        if price <= 0:
+            continue
+        for _ in range(capacity // size):
+            more = best.copy()
+            np.maximum(more[size:], best[: capacity + 1 - size] + price, out=more[size:])
+            if np.array_equal(more, best):
+                break
+            best = more
+    take, room, worth = np.zeros(len(sizes), np.int64), capacity, best[capacity]
+    for i in range(len(sizes) - 1, -1, -1):
+        after = stages[i + 1] if i + 1 < len(sizes) else best
+        worth = after[room]
+        while worth > stages[i][room] + 1e-12:
+            take[i] += 1
+            room -= int(sizes[i])
+            worth -= prices[i]
+    return float(best[capacity]), take
 
 
-def plan(counts: dict[int, int], capacity: int, groups: int = GROUPS, large: float = LARGE) -> list[tuple[int, int, int, int, int, int]]:
-    """Ranges (length, rank_from, rank_to, first_bin, per_bin, n_bins): the items of a length with those ranks
-    fill n_bins containers from first_bin on, per_bin in each.  counts: items of each length from 1 to capacity."""
-    big = sorted((s for s in counts if s > capacity * large), reverse=True)
-    small = sorted((s for s in counts if s <= capacity * large), reverse=True)
-    total = sum(counts[s] for s in big)
-    # groups of equal cardinality, rounded up to their greatest length
-    members: list[list[list[int]]] = []  # per group: [length, items left, next rank]
-    room = 0
-    for s in big:
-        n, rank = counts[s], 0
-        while n:
-            if room == 0:
-                members.append([])
-                room = max(1, -(-total // groups))
-            take = min(n, room)
-            members[-1].append([s, take, rank])
-            n, rank, room = n - take, rank + take, room - take
-    sizes = [m[0][0] for m in members]
-    left = [sum(x[1] for x in m) for m in members]
-    out: list[tuple[int, int, int, int, int, int]] = []
-    gaps: dict[int, list[list[int]]] = defaultdict(list)  # free room -> [first_bin, n_bins]
-    bins = 0
-    while any(left):
-        take = _fullest(sizes, left, capacity)
-        times = min(left[i] // n for i, n in take.items())
-        # the slots of the configuration take the actual items of their groups, a run of equal lengths at a time
-        slots = [i for i, n in sorted(take.items()) for _ in range(n)]
-        done = 0
-        while done < times:
-            # slots of one group share its items, so a run must leave enough for each of them
-            need: dict[int, int] = defaultdict(int)
-            for i in slots:
-                need[i] += 1
-            run = times - done
-            for i, n in need.items():
-                run = min(run, max(1, members[i][0][1] // n))
-            used = 0
+def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], float]]:
+    """The linear programme: configurations and how often each is used, so that all demand is met with the fewest containers.
+
+    A revised simplex; the configuration that enters is the dearest knapsack at the prices of the basis."""
+    k = len(sizes)
+    step = -(-capacity // STEPS)
+    size = -(-np.array(sizes, np.int64) // step)  # rounded up: what fits in steps fits in tokens
+    room = capacity // step
+    fits = size <= room
+    size = np.where(fits, size, room)  # a size that only rounding to steps makes too large fills a container
+    basis, cost = np.diag((room // size).astype(float)), np.ones(k)
+    inverse = np.diag(1.0 / np.diag(basis))
+    use = inverse @ np.array(demand, float)
+    for _ in range(60 * k + 200):
+        prices = cost @ inverse
+        least = int(prices.argmin())
+        if prices[least] < -1e-9:  # more than the demand of this size is cheaper: its surplus enters
+            column, price = -np.eye(k)[least], 0.0
+        else:
+            worth, take = _dearest(size, prices, room)
+            if worth <= 1 + 1e-7:
+                break
+            column, price = take.astype(float), 1.0
+        along = inverse @ column
+        ratio = np.where(along > 1e-9, use / np.where(along > 1e-9, along, 1.0), np.inf)
+        out = int(ratio.argmin())
+        if not np.isfinite(ratio[out]):
+            break
+        use = use - ratio[out] * along
+        use[out] = ratio[out]
+        pivot = inverse[out] / along[out]
+        inverse = inverse - np.outer(along, pivot)
+        inverse[out] = pivot
+        basis[:, out], cost[out] = column, price
+    return [(basis[:, j].round().astype(int).tolist(), float(use[j])) for j in range(k) if cost[j] and use[j] > 1e-9]
+
+
+class Plan:
+    """Ranges (length, rank_from, rank_to, first_bin, per_bin, n_bins) and the free room of the containers so far."""
+
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        self.capacity, self.left, self.rank = capacity, dict(counts), dict.fromkeys(counts, 0)
+        self.ranges: list[tuple[int, int, int, int, int, int]] = []
+        self.gaps: dict[int, list[list[int]]] = defaultdict(list)  # free room -> [first_bin, n_bins]
+        self.bins = 0
+
+    def put(self, length: int, first: int, per: int, n: int) -> None:
+        """The next per * n items of a length, per in each of n containers."""
+        self.ranges.append((length, self.rank[length], self.rank[length] + per * n, first, per, n))
+        self.rank[length] += per * n
+        self.left[length] -= per * n
+
+    def fill(self, groups: list[list[int]], take: list[int], times: int) -> None:
+        """``times`` containers of one configuration: each slot takes the longest items of its group that are left."""
+        slots = [i for i, n in enumerate(take) for _ in range(n)]
+        while times:
+            # a run of containers that all take the same lengths
+            now, need = [], defaultdict(int)
             for i in slots:
-                want = run
-                first = bins
-                while want:
-                    length, have, rank = members[i][0]
-                    n = min(want, have)
-                    out.append((length, rank, rank + n, first, 1, n))
-                    first, want = first + n, want - n
-                    members[i][0][1] -= n
-                    members[i][0][2] += n
-                    if members[i][0][1] == 0:
-                        members[i].pop(0)
-                left[i] -= run
-            # free room of each container of the run: at least that of the rounded-up configuration
-            filled = np.zeros(run, dtype=np.int64)
-            k = len(out)
-            while k and out[k - 1][3] >= bins:
-                k -= 1
-                length, _, _, first, per, n = out[k]
-                filled[first - bins : first - bins + n] += length * per
-            for used in np.unique(filled):
-                where = np.flatnonzero(filled == used)
-                for part in np.split(where, np.flatnonzero(np.diff(where) != 1) + 1):
-                    gaps[capacity - int(used)].append([bins + int(part[0]), len(part)])
-            bins += run
-            done += run
-    # best fit of the small ones, longest first
-    free = sorted(g for g in gaps if g)
-    for s in small:
-        n, rank = counts[s], 0
-        while n:
-            k = bisect.bisect_left(free, s)
-            if k == len(free):  # new containers of this length alone, as many in each as fit
-                per = min(n, capacity // s)
-                m = n // per
-                out.append((s, rank, rank + per * m, bins, per, m))
-                rest, first = capacity - per * s, bins
-                bins, n, rank = bins + m, n - per * m, rank + per * m
-            else:
-                gap = free[k]
-                first, m = gaps[gap][-1]
-                per = min(gap // s, n)
-                use = min(m, n // per)
-                out.append((s, rank, rank + per * use, first, per, use))
-                n, rank = n - per * use, rank + per * use
-                if use == m:
-                    gaps[gap].pop()
-                    if not gaps[gap]:
-                        free.pop(k)
+                length = next((x for x in groups[i] if self.left[x] > need.get(x, 0)), None)
+                if length is not None:
+                    now.append(length)
+                    need[length] += 1
+            if not now:
+                return
+            run = min([times, *(max(1, self.left[x] // n) for x, n in need.items())])
+            for length, n in need.items():
+                self.put(length, self.bins, n, run)
+            self._free(self.capacity - sum(now), self.bins, run)
+            self.bins += run
+            times -= run
+
+    def _free(self, room: int, first: int, n: int) -> None:
+        if room > 0 and n:
+            self.gaps[room].append([first, n])
+
+    def best_fit(self) -> None:
+        """All items left, longest first, each where the least room is left over."""
+        free = sorted(g for g in self.gaps if self.gaps[g])
+        for s in sorted((s for s, n in self.left.items() if n), reverse=True):
+            while n := self.left[s]:
+                k = bisect.bisect_left(free, s)
+                if k == len(free):  # new containers of this length alone, as many in each as fit
+                    per = min(n, self.capacity // s)
+                    use, first, gap = n // per, self.bins, self.capacity
+                    self.bins += use
                 else:
-                    gaps[gap][-1] = [first + use, m - use]
-                rest, m = gap - per * s, use
-            if rest:
-                if not gaps[rest]:
-                    bisect.insort(free, rest)
-                gaps[rest].append([first, m])
+                    gap = free[k]
+                    first, have = self.gaps[gap][-1]
+                    per = min(gap // s, n)
+                    use = min(have, n // per)
+                    if use == have:
+                        self.gaps[gap].pop()
+                        if not self.gaps[gap]:
+                            free.pop(k)
+                    else:
+                        self.gaps[gap][-1] = [first + use, have - use]
+                self.put(s, first, per, use)
+                rest = gap - per * s
+                if rest:
+                    if not self.gaps[rest]:
+                        bisect.insort(free, rest)
+                    self.gaps[rest].append([first, use])
+
+
+def grouped(counts: dict[int, int], groups: int) -> list[list[int]]:
+    """Lengths, longest first, in groups of about equal cardinality; a group's first is what it is rounded up to."""
+    total, out, room = sum(counts.values()), [], 0
+    each = max(1, -(-total // groups))
+    for s in sorted(counts, reverse=True):
+        if room <= 0:
+            out.append([])
+            room = each
+        out[-1].append(s)
+        room -= counts[s]
     return out
 
 
+def plan(counts: dict[int, int], capacity: int, groups: int = GROUPS, large: float = LARGE) -> list[tuple[int, int, int, int, int, int]]:
+    """Ranges (length, rank_from, rank_to, first_bin, per_bin, n_bins): the items of a length with those ranks
+    fill n_bins containers from first_bin on, per_bin in each.  counts: items of each length from 1 to capacity."""
+    plain = Plan(counts, capacity)
+    plain.best_fit()
+    big = {s: n for s, n in counts.items() if s > capacity * large and n}
+    if not big:
+        return plain.ranges
+    members = grouped(big, groups)
+    made = Plan(counts, capacity)
+    chosen = configurations([m[0] for m in members], [sum(big[s] for s in m) for m in members], capacity)
+    for take, times in sorted(chosen, key=lambda c: -c[1]):
+        made.fill(members, take, int(times + 1e-9))
+    made.best_fit()
+    return made.ranges if made.bins <= plain.bins else plain.ranges
+
+
 def items(token_counts: DataFrame, packs: list[tuple[int, str, int]]) -> DataFrame:
     """pack_id, doc_id, part, n_tokens: whole texts, and the parts of those beyond the capacity."""
     kinds = F.array(*[F.struct(F.lit(p).alias("pack_id"), F.col(f"`{t}`").alias("n"), F.lit(c).alias("capacity")) for p, t, c in packs])
@@ -211,36 +251,31 @@ def items(token_counts: DataFrame, packs: list[tuple[int, str, int]]) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, pack_sizes: DataFrame, folder: str | None = None) -> DataFrame:
     """pack_id, bin_id, doc_id, part, n_tokens: the container of every item, for each kind of container."""
-    rows = pack_sizes.select("pack_id", "tokenizer", "capacity").filter("pack_id is not null and tokenizer is not null and capacity > 0").distinct().limit(MAX_KINDS + 1).collect()
-    packs = sorted((r.pack_id, r.tokenizer, r.capacity) for r in rows)
-    if len(packs) > MAX_KINDS or any(c > MAX_CAPACITY for *_, c in packs):
-        raise ValueError(f"at most {MAX_KINDS} kinds of containers of at most {MAX_CAPACITY} tokens")
+    kinds = pack_sizes.select("pack_id", "tokenizer", "capacity").filter("pack_id is not null and tokenizer is not null and capacity > 0").distinct()
+    packs = sorted((r.pack_id, r.tokenizer, r.capacity) for r in kinds.collect())  # a list of parameters
     schema = "pack_id int, bin_id bigint, doc_id bigint, part int, n_tokens int"
     if not packs:
         return spark.createDataFrame([], schema)
     tokens = cut(lengths(docs, sorted({t for _, t, _ in packs}), folder), "lengths")  # tokenized once, read twice
-    all_items = items(tokens, packs).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "part"), F.lit(BUCKETS)).cast("int"))
-    # at most capacity x buckets counts for each kind
-    counted = all_items.groupBy("pack_id", "n_tokens", "bucket").count().collect()
-    before: dict[tuple[int, int], dict[int, int]] = defaultdict(dict)
-    for r in counted:
-        before[r.pack_id, r.n_tokens][r.bucket] = r["count"]
-    offsets, ranges = [], []
-    for p, _, capacity in packs:
-        counts = {s: sum(b.values()) for (q, s), b in before.items() if q == p}
-        for s in counts:
-            at = 0
-            for bucket in sorted(before[p, s]):
-                offsets.append((p, s, bucket, at))
-                at += before[p, s][bucket]
-        ranges += [(p, *r) for r in plan(counts, capacity)]
-    start = spark.createDataFrame(offsets, "pack_id int, n_tokens int, bucket int, offset bigint")
+    all_items = items(tokens, packs)
+    counts: dict[int, dict[int, int]] = defaultdict(dict)
+    for r in all_items.groupBy("pack_id", "n_tokens").count().collect():  # at most a count for each length of each kind
+        counts[r.pack_id][r.n_tokens] = r["count"]
+    ranges = [(p, *r) for p, _, capacity in packs for r in plan(counts[p], capacity)]
     planned = spark.createDataFrame(ranges, "pack_id int, n_tokens int, rank_from bigint, rank_to bigint, first_bin bigint, per_bin bigint, n_bins bigint")
-    # the ranges of a length as one sorted array: an item finds its own by its rank
-    planned = planned.groupBy("pack_id", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("rank_from", "rank_to", "first_bin", "per_bin"))).alias("ranges"))
+    # a range stands in every block of ranks that it meets, so an item looks only at those of its own block
+    planned = planned.select("pack_id", "n_tokens", F.explode(F.expr(f"sequence(rank_from div {BLOCK}, (rank_to - 1) div {BLOCK})")).alias("block"), F.struct("rank_from", "rank_to", "first_bin", "per_bin").alias("r"))
+    planned = planned.groupBy("pack_id", "n_tokens", "block").agg(F.collect_list("r").alias("ranges"))
+    # the most frequent length, however many items have it, is ranked in buckets of about BUCKET_ROWS
+    buckets = 1 + max((n for c in counts.values() for n in c.values()), default=0) // BUCKET_ROWS
+    all_items = all_items.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "part"), F.lit(buckets)).cast("int"))
+    sums = all_items.groupBy("pack_id", "n_tokens", "bucket").count()
+    offset = F.coalesce(F.sum("count").over(W.partitionBy("pack_id", "n_tokens").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("pack_id", "n_tokens", "bucket", offset.alias("offset"))
     rank = F.row_number().over(W.partitionBy("pack_id", "n_tokens", "bucket").orderBy("doc_id", "part")) - 1
-    ranked = all_items.withColumn("rank", rank).join(start, ["pack_id", "n_tokens", "bucket"]).withColumn("rank", F.col("rank") + F.col("offset"))
-    found = ranked.join(planned, ["pack_id", "n_tokens"]).withColumn("r", F.expr("filter(ranges, r -> rank >= r.rank_from and rank < r.rank_to)[0]"))
+    ranked = all_items.withColumn("rank", rank).join(sums, ["pack_id", "n_tokens", "bucket"]).withColumn("rank", F.col("rank") + F.col("offset"))
+    ranked = ranked.withColumn("block", F.expr(f"rank div {BLOCK}"))
+    found = ranked.join(planned, ["pack_id", "n_tokens", "block"]).withColumn("r", F.expr("filter(ranges, r -> rank >= r.rank_from and rank < r.rank_to)[0]"))
     return found.select("pack_id", (F.col("r.first_bin") + F.expr("(rank - r.rank_from) div r.per_bin")).alias("bin_id"), "doc_id", "part", "n_tokens")
 
 

@@ -162,3 +162,77 @@ def test_p8_evidence_alone_decides(spark):
     odds = {r.signature: r.message for r in residue.evidence(df)[0].filter("signature is not null").collect()}
     signs = residue.evidence(df)[1].collect()
     assert len(odds) == 2 and {(r.texts, r.mismatch) for r in signs} == {(400, 1.0), (1, 1.0)} and 11 <= max(r.hosts for r in signs) <= 13
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 30), min_size=1, max_size=30), st.integers(1, 70))
+def test_plan_is_never_worse_than_best_fit(counts, groups):
+    plain = packing.Plan(counts, 60)
+    plain.best_fit()
+    assert max(f + n for *_, f, _, n in packing.plan(counts, 60, groups)) <= plain.bins
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(11, 60), st.integers(1, 20), min_size=1, max_size=7))
+def test_configurations_are_the_optimum_of_the_linear_programme(demand):
+    """Feasible, and no configuration is dearer than a container at the dual prices: held by the bounds of the items and of all configurations."""
+    import itertools
+
+    sizes, want = sorted(demand, reverse=True), [demand[s] for s in sorted(demand, reverse=True)]
+    found = packing.configurations(sizes, want, 60)
+    assert all(sum(s * n for s, n in zip(sizes, take, strict=True)) <= 60 for take, _ in found)
+    for i, n in enumerate(want):
+        assert sum(take[i] * x for take, x in found) >= n - 1e-6
+    # the least over all pairs of configurations and slacks: the dual of the full programme by enumeration of columns
+    columns = [c for c in itertools.product(*(range(60 // s + 1) for s in sizes)) if 0 < sum(a * b for a, b in zip(sizes, c, strict=True)) <= 60]
+    used = sum(x for _, x in found)
+    # weak duality: any prices under which no configuration costs more than 1 bound it from below
+    import numpy as np
+
+    a = np.array(columns, float)
+    prices = np.array([s / 60 for s in sizes])
+    for _ in range(300):
+        prices = prices / max(1.0, (a @ prices).max())
+        worst = a[(a @ prices).argmax()]
+        prices = prices * (1 + 0.02 * (np.array(want) / max(want) - worst / worst.max()).clip(-1, 1))
+    prices = prices / max(1.0, (a @ prices).max())
+    assert used >= prices @ np.array(want) - 1e-6
+    assert used <= sum(n / (60 // s) for s, n in zip(sizes, want, strict=True)) + 1e-6
+
+
+def test_configurations_beat_best_fit_where_it_wastes():
+    # 26 + 26 + 48 and 35 + 35 + 30 fill a container; longest first puts 48 + 48
+    counts = {48: 30, 26: 60, 35: 60, 30: 30}
+    plain = packing.Plan(counts, 100)
+    plain.best_fit()
+    made = max(f + n for *_, f, _, n in packing.plan(counts, 100))
+    assert made == 60 < plain.bins
+
+
+def test_p7_counts_of_the_data_need_no_container_more_than_the_tokens():
+    import pyarrow.parquet as pq
+
+    folder = "/root/testdata/sf0.01"
+    texts = [x or "" for x in pq.read_table(f"{folder}/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    counts: dict[int, int] = defaultdict(int)
+    for n in packing.count_tokens("byte_bpe_50k", texts):
+        counts[1024] += n // 1024
+        counts[n % 1024] += 1
+    counts = {s: n for s, n in counts.items() if s and n}
+    assert max(f + n for *_, f, _, n in packing.plan(counts, 1024)) == -(-sum(s * n for s, n in counts.items()) // 1024)
+
+
+def test_p7_many_items_of_one_length(spark, folder, put, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(packing, "BLOCK", 4)
+    put(folder, "documents", [{"doc_id": i, "text": "танки " * (40 if i % 3 == 0 else i % 9)} for i in range(200)] * 2)
+    put(folder, "pack_sizes", [{"pack_id": 1, "tokenizer": "byte_bpe_50k", "capacity": 64}, {"pack_id": 2, "tokenizer": "piece_bpe_32k", "capacity": 1_000_000}, {"pack_id": None, "tokenizer": "byte_bpe_50k", "capacity": 64}])
+    rows = packing.p7_packed(spark, str(folder)).collect()
+    t = bpe.transducer("byte_bpe_50k")
+    whole, room = defaultdict(int), defaultdict(int)
+    for r in rows:
+        if r.pack_id == 1:
+            whole[r.doc_id] += r.n_tokens
+            room[r.bin_id] += r.n_tokens
+    assert whole == {i: 2 * n for i in range(200) if (n := len(t.encode("танки " * (40 if i % 3 == 0 else i % 9))))} and max(room.values()) <= 64
+    assert {r.bin_id for r in rows if r.pack_id == 2} == {0}
