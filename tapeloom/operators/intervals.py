@@ -4,7 +4,8 @@ An entity's intervals are cut into time chunks by their start, so that no task
 ever holds a whole entity.  Inside a chunk, a window with the running maximum
 of the previous ends labels islands.  Across chunks only one row per chunk
 travels: the greatest end (and the start of the last island) before each chunk,
-a prefix over chunk summaries.  Islands are then summed by their first start.
+a two-level prefix over chunk summaries (``prefix``).  Islands are then summed
+by their first start.
 
 Defined results: rows with a null key, a null bound or an end before the start
 have no usable time and are left out; intervals of no length count and touch
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tapeloom.operators.prefix import prefixed
 from tapeloom.session import cut
 
 CHUNK_US = 600_000_000
@@ -44,12 +46,11 @@ def _pieces(df: DataFrame, keys: list[str], chunk_us: int) -> DataFrame:
 
 def _carried(pieces: DataFrame, keys: list[str]) -> DataFrame:
     """Per chunk: the greatest end before it (_carry) and the start of the island that has it (_open)."""
-    past = W.partitionBy(*keys).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
     chunks = pieces.groupBy(*keys, "_c").agg(F.max("_e").alias("_me"), F.max("_s").alias("_ms"))
-    chunks = chunks.withColumn("_carry", F.max("_me").over(past))
+    chunks = prefixed(chunks, keys, "_c", {"_carry": ("max", "_me")})
     # the last island of a chunk begins in it only if it begins after all that was covered before
     chunks = chunks.withColumn("_last", F.when(F.col("_carry").isNull() | (F.col("_ms") > F.col("_carry")), F.col("_ms")))
-    return chunks.withColumn("_open", F.last("_last", ignorenulls=True).over(past)).drop("_last", "_ms", "_me")
+    return prefixed(chunks, keys, "_c", {"_open": ("last", "_last")}).drop("_last", "_ms", "_me")
 
 
 def periods(df: DataFrame, keys: list[str], start: str = "start_us", end: str = "end_us", chunk_us: int = CHUNK_US) -> DataFrame:
@@ -67,9 +68,8 @@ def gaps(df: DataFrame, keys: list[str], start: str = "start_us", end: str = "en
     """(keys, start, end): stretches between two intervals of an entity in which none lies."""
     rows = usable(df, start, end).filter(" and ".join(f"`{k}` is not null" for k in keys))
     rows = rows.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.lit(1).cast("long").alias("n"))
-    pieces = _pieces(rows, keys, chunk_us)
-    past = W.partitionBy(*keys).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
-    carry = pieces.groupBy(*keys, "_c").agg(F.max("_e").alias("_me")).withColumn("_carry", F.max("_me").over(past)).drop("_me")
+    pieces = cut(_pieces(rows, keys, chunk_us), "pieces")  # read for the summaries and for the gaps
+    carry = prefixed(pieces.groupBy(*keys, "_c").agg(F.max("_e").alias("_me")), keys, "_c", {"_carry": ("max", "_me")}).drop("_me")
     before = F.max("_e").over(W.partitionBy(*keys, "_c").orderBy("_s").rowsBetween(W.unboundedPreceding, -1))
     rows = pieces.withColumn("_before", before).join(carry, [*keys, "_c"])
     rows = rows.withColumn("_before", F.greatest("_before", "_carry"))

@@ -2,8 +2,8 @@
 
 A window over a whole recording would put a recording that holds a third of all
 rows into one task.  Here rows are cut into chunks by their place in time; a
-window sees one chunk, and what crosses a border comes from a second window
-over one summary row for each chunk.
+window sees one chunk, and what crosses a border comes from a two-level prefix
+over one summary row for each chunk (``prefix``).
 
 Defined results: rows with a null key or place are left out by the callers;
 ties in ``order`` must be broken by a unique last column.
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tapeloom.operators.prefix import prefixed
+
 CHUNK_US = 600_000_000
 
 
@@ -29,8 +31,8 @@ def with_neighbours(df: DataFrame, key: str, order: list[str], columns: list[str
     packed = F.struct(*[F.col(c) for c in columns])
     full = F.struct(*[F.col(c) for c in order], packed.alias("_v"))
     ends = rows.groupBy(key, "_c").agg(F.min_by(full, F.struct(*order)).alias("_lo"), F.max_by(full, F.struct(*order)).alias("_hi"))
-    over = W.partitionBy(key).orderBy("_c")
-    ends = ends.select(key, "_c", F.lag("_hi").over(over)["_v"].alias("_pv"), F.lead("_lo").over(over)["_v"].alias("_nv"))
+    ends = prefixed(ends, [key], "_c", {k: v for k, v in {"_ph": ("last", "_hi"), "_nl": ("next", "_lo")}.items() if (before if k == "_ph" else after)})
+    ends = ends.select(key, "_c", *[F.col(a)["_v"].alias(b) for a, b in (("_ph", "_pv"), ("_nl", "_nv")) if a in ends.columns])
     rows = rows.withColumns({"_p": F.lag(packed).over(inside), "_n": F.lead(packed).over(inside)}).join(ends, [key, "_c"], "left")
     out = {}
     if before:
@@ -45,7 +47,7 @@ def with_running_sum(df: DataFrame, key: str, order: list[str], value: Column, n
     rows = chunked(df.withColumn("_v", value.cast("long")), order[0], chunk)
     inside = W.partitionBy(key, "_c").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     sums = rows.groupBy(key, "_c").agg(F.sum("_v").alias("_t"))
-    sums = sums.select(key, "_c", F.coalesce(F.sum("_t").over(W.partitionBy(key).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
+    sums = prefixed(sums, [key], "_c", {"_o": ("sum", "_t")}).drop("_t")
     rows = rows.withColumn("_s", F.sum("_v").over(inside)).join(sums, [key, "_c"])
     return rows.withColumn(name, (F.col("_s") + F.col("_o")).cast("long")).drop("_v", "_c", "_s", "_o")
 
@@ -55,7 +57,7 @@ def with_greatest_before(df: DataFrame, key: str, order: list[str], value: Colum
     rows = chunked(df.withColumn("_v", value), order[0], chunk)
     inside = W.partitionBy(key, "_c").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     most = rows.groupBy(key, "_c").agg(F.max("_v").alias("_t"))
-    most = most.select(key, "_c", F.max("_t").over(W.partitionBy(key).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)).alias("_o"))
+    most = prefixed(most, [key], "_c", {"_o": ("max", "_t")}).drop("_t")
     rows = rows.withColumn("_s", F.max("_v").over(inside)).join(most, [key, "_c"])
     return rows.withColumn(name, F.greatest("_s", "_o")).drop("_v", "_c", "_s", "_o")
 
@@ -72,7 +74,7 @@ def with_last(df: DataFrame, key: str, order: list[str], value: Column, name: st
     rows = chunked(df.withColumn("_v", value), order[0], chunk)
     inside = W.partitionBy(key, "_c").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     last = rows.groupBy(key, "_c").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_t"))
-    last = last.select(key, "_c", F.last("_t", ignorenulls=True).over(W.partitionBy(key).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)).alias("_o"))
+    last = prefixed(last, [key], "_c", {"_o": ("last", "_t")}).drop("_t")
     rows = rows.withColumn("_s", F.last("_v", ignorenulls=True).over(inside)).join(last, [key, "_c"])
     return rows.withColumn(name, F.coalesce("_s", "_o")).drop("_v", "_c", "_s", "_o")
 
