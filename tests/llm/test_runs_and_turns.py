@@ -110,3 +110,37 @@ def test_turns_are_assembled_in_order(spark, folder, put, seg):
     assert got == [("f", 1, "Журналист", 0, 5 * S, 1, 1, "Когда это произошло?"), ("f", 2, "Верестов", 5 * S, 25 * S, 2, 2, "Утром. Мы вышли к реке."), ("f", 3, "Верестов", 700 * S, 705 * S, 1, 5, "Новая кассета.")]
     put(folder, "segments_merged", [])
     assert turns.p4_turns(spark, str(folder)).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, None])
+def test_runs_over_many_chunks_and_one_key(spark, chunk, monkeypatch):
+    """One key holds all rows; runs span several chunks, batches and partitions; the prefix works in blocks of two chunks."""
+    monkeypatch.setattr("tapeloom.operators.prefix.FAN", 2)
+    rnd = random.Random(4)
+    values = [v for v in rnd.choices("abc", k=60) for _ in range(rnd.choice([1, 1, 2, 9, 25]))]
+    rows = [("k", v, i, i + 1, i) for i, v in enumerate(values)] + [("k", None, 3, 4, 900), ("k", "a", None, 4, 901)]
+    df = spark.createDataFrame(rows, "k string, v string, s long, e long, id long").repartition(5)
+    want, last = [], None
+    for i, v in enumerate(values):
+        if last and last[1] == v:
+            last[3] += 1
+            last[5] = i + 1
+        else:
+            last = ["k", v, i, 1, i, i + 1]
+            want.append(last)
+    got = sorted(tuple(r)[:6] for r in runs(df, "k", "v", ["s", "e", "id"], "s", "e", chunk).collect())
+    assert got == sorted(map(tuple, want))
+    assert runs(df.limit(0), "k", "v", ["s", "e", "id"], "s", "e", chunk).count() == 0
+
+
+def test_one_recording_spreads_over_partitions(spark):
+    import pyspark.sql.functions as F
+
+    df = spark.range(200_000).select(F.lit("f").alias("k"), F.lit("x").alias("v"), F.col("id").alias("s"), F.col("id").alias("e"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = df.repartitionByRange("k", "s").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 4 and max(r["count"] for r in parts) < 80_000
+        assert [(r.n, r.s, r.e) for r in runs(df, "k", "v", ["s", "id"], "s", "e").collect()] == [(200_000, 0, 199_999)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
