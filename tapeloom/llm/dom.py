@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from importlib import resources
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -250,12 +251,15 @@ def features(title: str, root: Node, leaves: list[Leaf]) -> tuple[list[tuple], l
             rules += leaves[i].before == "hr" or leaves[i - 1].ahead == "hr"
         ended[i], ruled[i] = e, rules
     spans: dict[int, tuple[int, int]] = {}
-    for x in leaves:
-        m = x.node
-        while m is not None:
-            a, b = spans.get(id(m), (x.index, x.index))
-            spans[id(m)] = (min(a, x.index), max(b, x.index))
-            m = m.up
+    for m in reversed(nodes):  # children come after their parents: one fold upwards
+        if m.leaf:
+            a, b = spans.get(id(m), (m.leaf.index, m.leaf.index))
+            spans[id(m)] = (min(a, m.leaf.index), max(b, m.leaf.index))
+        if m.up is not None and id(m) in spans:
+            a, b = spans[id(m)]
+            c, d = spans.get(id(m.up), (a, b))
+            spans[id(m.up)] = (min(a, c), max(b, d))
+    upto = list(accumulate(furn, initial=0))
     out: list[tuple] = []
     kin: dict[int, dict[str, int]] = {}
     above: dict[int, tuple[int, int]] = {}
@@ -284,7 +288,7 @@ def features(title: str, root: Node, leaves: list[Leaf]) -> tuple[list[tuple], l
             told & 127, chain & 127, inside, 0 if mid < 0 else 1 if b < mid else 2 if a == mid else 3 if a > mid else 4,
             abs(a - mid) if mid >= 0 else 15, ended[a], ended[b], ruled[a], since[a], until[b],
             tags.get(m.tag, 0), len(up.children), up.linked / max(1, up.chars), up.sited / max(1, up.chars), up.chars, up.pieces,
-            int(furn[a]), int(any(furn[a : b + 1])) if b - a < 400 else 1, int(leaf.bold) if leaf else 0, int(bool(PROSE_END.search(text))) if leaf else 2, text.count(" ") if leaf else 15,
+            int(furn[a]), int(upto[b + 1] > upto[a]), int(leaf.bold) if leaf else 0, int(bool(PROSE_END.search(text))) if leaf else 2, text.count(" ") if leaf else 15,
             TAG_AT.get(leaf.before, 0) if leaf else 30, TAG_AT.get(leaf.ahead, 0) if leaf else 30, n - b, a, int(hot[a - 1]) if a else 2, int(hot[b + 1]) if b + 1 < n else 2,
             int(leaves[a - 1].sited > 0) if a else 2, len(DIGITS.findall(text)) / c if leaf else 9, int("©" in text or "|" in text or "::" in text) if leaf else 2, int(guess == head) if guess >= 0 else 2,
         ))

@@ -31,15 +31,16 @@ from tapeloom.llm.spread import spread
 # Encodings under which pages of these languages are read or written.
 READ_AS = ("cp1251", "cp1252", "latin-1", "koi8-r", "cp866", "mac_cyrillic")
 WRITTEN_IN = ("utf-8", "cp1251", "koi8-r", "cp866", "cp1252", "mac_cyrillic")
-LAYERS = 4
 #: A word at least this costly (nats a character) makes its run a candidate.
 WORD_COST = 4.4
 #: A repair must save this much, in all and for each character that it changes.
 SAVE_ALL, SAVE_EACH = 8.0, 0.7
 #: Signs of two characters or more that read as UTF-8 need save only this much.
 SAVE_SIGNS = 4.0
-#: Characters of a run by which the repair is chosen; it is then applied to all of it.
-PROBE = 600
+#: Readings by single-byte encodings that are followed at each layer; UTF-8 readings, which hardly come by chance, all are.
+BEAM = 5
+#: Runs and words up to this length whose repair a worker remembers; longer ones are worked out anew, to the same result.
+SHORT, KEEP = 300, 100_000
 
 _BORDER = re.compile(r"[<>]")
 _ENTITY = re.compile(r"&(?!(?:lt|gt|amp|quot|apos);)#?\w+;")
@@ -123,39 +124,42 @@ def _layers(text: str, single: bool) -> list[tuple[str, tuple[str, str]]]:
     return out
 
 
-@lru_cache(100_000)
 def _choose(text: str, costs: Costs) -> list[tuple[str, str]]:
+    return _short_choice(text, costs) if len(text) <= SHORT else _choice(text, costs)
+
+
+def _choice(text: str, costs: Costs) -> list[tuple[str, str]]:
     """The layers whose removal gives text its least cost; none if nothing drops enough."""
     whole = costs.total(text)
     odd, strange = sum(c > "\x7f" for c in text) or 1, costs.strange(text)
     best, how = whole, []
     seen = {text}
     front = [(whole, text, [])]
-    for _ in range(LAYERS):
+    while front:  # a UTF-8 layer has fewer characters each time and a single-byte one comes once, so this ends
         ahead = []
         for _, t, steps in front:
-            for got, step in _layers(t, any(w != "utf-8" for _, w in steps)):
+            # words with one strange letter each, read by a single-byte encoding, are too little evidence, unless it stands among letters of another script
+            told = max((len({c for c in w if c > "\x7f"}) for w in t.split()), default=0)
+            for got, step in _layers(t, told < 2 and not _MIXED.search(t) or any(w != "utf-8" for _, w in steps)):
                 if got not in seen:
                     seen.add(got)
                     ahead.append((costs.total(got), got, [*steps, step]))
         # a strict UTF-8 reading of non-ASCII text is hardly chance: it is followed even where the cost has not dropped yet
         ahead.sort(key=lambda x: (x[2][-1][1] != "utf-8", x[0]))
-        front = ahead[:3] + [x for x in ahead[3:] if x[0] < best][:2]
+        sure = sum(x[2][-1][1] == "utf-8" for x in ahead)
+        front = ahead[: sure + BEAM]
         for cost, got, steps in front:
             if cost < best - 2.0 and costs.strange(got) <= strange:
                 best, how = cost, steps
-        if not front:
-            break
     if not how or whole - best < max(SAVE_ALL, SAVE_EACH * odd):
         return []
-    # words with one strange letter each, read by a single-byte encoding, are too little evidence, unless it stands among letters of another script
-    told = max((len({c for c in w if c > "\x7f"}) for w in text.split()), default=0)
-    if told < 2 and all(w != "utf-8" for _, w in how) and not _MIXED.search(text):
-        return []
     got = _apply(text, how) or ""
     return [] if _PRIVATE.search(got) or len(_MIXED.findall(got)) > len(_MIXED.findall(text)) else how
 
 
+_short_choice = lru_cache(KEEP)(_choice)
+
+
 def _apply(text: str, steps: list[tuple[str, str]]) -> str | None:
     for read, written in steps:
         try:
@@ -192,12 +196,16 @@ def repair_run(text: str, costs: Costs, known: list[list[tuple[str, str]]] | Non
     for steps in known:
         if (got := _apply(text, steps)) is not None and (cost := costs.total(got)) < GOOD_COST * (len(got) + 1) and whole - cost >= SAVE_ALL:
             return got, len(steps)
-    probe = text if len(text) <= PROBE else text[: text.rfind(" ", 0, PROBE) if " " in text[1:PROBE] else PROBE]
-    for sample in dict.fromkeys((probe, text)):
-        if (steps := _choose(sample, costs)) and (got := _apply(text, steps)) is not None:
-            if steps not in known:
-                known.append(steps)
-            return got, len(steps)
+    got, layers, steps = _short_repair(text, costs) if len(text) <= SHORT else _alone(text, costs)
+    if steps and steps not in known:
+        known.append(steps)
+    return got, layers
+
+
+def _alone(text: str, costs: Costs) -> tuple[str, int, list[tuple[str, str]]]:
+    """(text, layers, the reading of the whole): what repairs a run, whatever else its page holds."""
+    if (steps := _choose(text, costs)) and (got := _apply(text, steps)) is not None:
+        return got, len(steps), steps
     # in part: stretches of costly words
     run = costs.running(text + " ")
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -223,11 +231,10 @@ def repair_run(text: str, costs: Costs, known: list[list[tuple[str, str]]] | Non
                 if (a, b) == pieces[0]:
                     break
         i = j + 1
-    return "".join([*out, text[at:]]), most
+    return "".join([*out, text[at:]]), most, []
 
 
-#: Runs found right before; pages of one host share them.
-_RIGHT: set[str] = set()
+_short_repair = lru_cache(KEEP)(_alone)
 
 
 def _words(text: str) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
@@ -254,22 +261,22 @@ def repair(page: str | None, costs: Costs) -> tuple[str | None, int, int]:
     x, y = bounds
     costly = np.flatnonzero(((run[np.minimum(y + 1, len(text))] - run[x]) / (y - x + 1) >= WORD_COST) & (odd[y] > odd[x]))
     known: list[list[tuple[str, str]]] = []
-    out, at, n, done = [], 0, 0, 0
+    runs, done = [], 0
     for k in costly:
         if x[k] < done:
             continue
         a = max(text.rfind("<", 0, x[k]), text.rfind(">", 0, x[k])) + 1
         end = _BORDER.search(text, y[k])
         b = done = end.start() if end else len(text)
-        chunk = text[a:b]
-        if chunk in _RIGHT:
-            continue
-        got, layers = repair_run(chunk, costs, known)
+        runs.append((a, b))
+    got = [repair_run(text[a:b], costs, known) for a, b in runs]
+    if known:  # what a later run taught may restore an earlier one
+        got = [g if g[1] else repair_run(text[a:b], costs, known) for g, (a, b) in zip(got, runs, strict=True)]
+    out, at, n = [], 0, 0
+    for (a, b), (new, layers) in zip(runs, got, strict=True):
         if layers:
-            out += [text[at:a], got]
+            out += [text[at:a], new]
             at, n = b, n + 1
-        elif len(chunk) < 300 and len(_RIGHT) < 100_000:
-            _RIGHT.add(chunk)
     return ("".join([*out, text[at:]]) if n else page), n, lost
 
 

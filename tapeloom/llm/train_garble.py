@@ -16,7 +16,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow.parquet as pq
 
-from tapeloom.llm.garble import Costs
+from tapeloom.llm.garble import _SIGNS, Costs, _layers
 
 SAMPLE = 20_000
 #: A run as frequent as this among the pages is right: wrong decodings are many and each is rare.
@@ -34,12 +34,18 @@ def counts(texts: list[str], chars: dict[str, int]) -> np.ndarray:
     return out
 
 
+def signs_of_utf8(run: str) -> bool:
+    """Whether signs in a run read strictly as UTF-8: such a run is garbled, however often it stands."""
+    return any(_layers(m.group(), True) for m in _SIGNS.finditer(run))
+
+
 def main(folder: str) -> None:
     read = lambda t, c: [x for x in pq.read_table(f"{folder}/{t}.parquet", columns=[c])[c].to_pylist()[:SAMPLE] if x]
     htmls = read("rkka", "html")
     runs = [re.sub(r"[ \t\r]+", " ", r) for p in htmls for r in re.findall(r"[^<>]+", p) if r.strip()]
     texts = read("documents", "text")
     texts += [t.upper() for t in texts[::25]]
+    runs = [r for r in runs if r.isascii() or not signs_of_utf8(r)]
     often, pages = Counter(runs), len(htmls)
     chars = "".join(sorted({c for c in GOOD + "".join(RARE)}))
     of = {c: i + 1 for i, c in enumerate(chars)}

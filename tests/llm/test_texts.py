@@ -236,3 +236,53 @@ def test_p7_many_items_of_one_length(spark, folder, put, monkeypatch):
             room[r.bin_id] += r.n_tokens
     assert whole == {i: 2 * n for i in range(200) if (n := len(t.encode("танки " * (40 if i % 3 == 0 else i % 9))))} and max(room.values()) <= 64
     assert {r.bin_id for r in rows if r.pack_id == 2} == {0}
+
+
+def _garbled(text: str, written: str, read: str) -> str:
+    return "".join(bytes([b]).decode(read, "ignore") or chr(b) for b in text.encode(written))
+
+
+@pytest.mark.parametrize("layers", [3, 4, 5, 6])
+def test_any_number_of_layers_comes_back(layers):
+    bad = RIGHT
+    for _ in range(layers):
+        bad = _garbled(bad, "utf-8", "cp1251")
+    assert garble.repair(f"<p>{bad}</p>", garble.Costs.load())[0] == f"<p>{RIGHT}</p>"
+
+
+def test_long_runs_are_judged_whole():
+    """The first part of a run is right or ASCII; what is garbled lies far behind it."""
+    costs = garble.Costs.load()
+    bad = _garbled(RIGHT + " ", "utf-8", "cp1251")
+    assert garble.repair("<p>" + bad * 60 + "</p>", costs)[0] == "<p>" + (RIGHT + " ") * 60 + "</p>"
+    assert garble.repair("<p>" + "word and word " * 200 + bad + "</p>", costs)[0] == "<p>" + "word and word " * 200 + RIGHT + " </p>"
+
+
+def test_repair_does_not_depend_on_pages_seen_before():
+    costs = garble.Costs.load()
+    first, alone = "<p>" + _garbled(RIGHT, "cp866", "cp1251") + "</p>", "<p>" + _garbled("Да", "cp866", "cp1251") + "</p>"
+    garble._short_choice.cache_clear()
+    garble._short_repair.cache_clear()
+    fresh = garble.repair(first + alone, costs)
+    garble.repair(alone, costs)
+    assert garble.repair(first + alone, costs) == fresh == (f"<p>{RIGHT}</p><p>Да</p>", 2, 0)
+    # a run that only a later one of its page explains is restored too
+    assert garble.repair(alone + first, costs) == (f"<p>Да</p><p>{RIGHT}</p>", 2, 0)
+
+
+@pytest.mark.parametrize("sign", ["—", "–", "«", "…", "“", "№"])
+def test_lone_signs_read_by_another_encoding(sign):
+    for text in (f"<title>The road was lost {sign} host.example</title>", f"<title>Рубеж держали до утра {sign} host.example</title>"):
+        bad = text.replace(sign, _garbled(sign, "utf-8", "cp1252"))
+        assert garble.repair(bad, garble.Costs.load())[:2] == (text, 1)
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    trees, took = dom.Trees.load(), []
+    for n in (2000, 16_000):
+        began = time.process_time()
+        dom.body_pieces(["<div>text here " * n], trees)
+        took.append(time.process_time() - began)
+    assert took[1] < 40 * max(took[0], 0.05)
