@@ -17,6 +17,19 @@ QUESTION = [r"\?$", r"^первый вопрос", r"^второй вопрос"
 CONFIRMATION = [r"^ну\s+да", r"^да[-,\s]", r"^да\.", r"^угу", r"^ага", r"^мм[-\s]?хм", r"^верно", r"^правильно", r"^точно", r"^именно", r"^конечно", r"^хорошо$", r"^ладно$"]
 SPLIT_COMMANDS = [r"\bне\s+переговорите\b", r"\bпереговорите\b", r"\bповторите\b", r"\bеще\s+раз\b", r"\bс\s+начала\b", r"\bзаново\b"]
 
+# speech of the expert, beside the expert's surname
+EXPERT = [r"\bя\s+(считаю|думаю|полагаю)\b", r"\bна\s+мой\s+взгляд\b", r"\bпо\s+моему\s+мнению\b"]
+# introductions of the expert, beside the surname
+INTRODUCTION = [r"меня\s+зовут", r"профессор", r"доктор\s+(наук|исторических)", r"кандидат\s+(наук|исторических)"]
+# the first words of a camera operator and of an interviewer
+OPERATOR_FIRST = r"(?:камера\s+(?:идет|идёт|пошла)|поехали|пишем|начали|записываем|камера(?:\s|$)|запись)"
+JOURNALIST_FIRST = r"(?:\d+\s+вопрос|первый\s+вопрос|второй\s+вопрос|третий\s+вопрос|представьтесь?\s+пожалуйста|как\s+вас\s+будут\s+расписывать|мы\s+сейчас\s+отвечаем\s+на\s+вопросы|у\s+нас\s+сериал|тема\s+нашего|представляетесь|расскажите?|опишите|объясните|что\s+вы\s+(?:думаете|считаете)|как\s+вы\s+(?:думаете|считаете))\b|\?$"
+
+# words without weight of their own, for the merge of replicas and its guards
+MERGE_STOP = "был была было были буду будет будут будем будете бывает есть быть в во на с со к ко по из за до при через об о у для от под над про без между среди и а но или что как если когда где чтобы потому тоже также либо ни хотя зато однако вот же ли бы ну не да то так лишь только даже уж я ты он она оно мы вы они меня тебя его её ее нас вас их мне тебе ему ей нам вам им это этот эта эти там тут здесь тогда уже еще ещё очень совсем весьма".split()
+# prepositions after which nothing is cut off
+HANGING = "на в во с со к по из за до при через о об у для от под над".split()
+
 # weighted evidence of who speaks: (side, pattern, weight)
 SCORES = [
     ("j", r"\b(расскажите|объясните|поясните|уточните|скажите)\b", 3), ("j", r"\b(вы\s+(?:можете|знаете|помните|считаете|думаете))\b", 2), ("j", r"\b(как\s+вы\s+(?:считаете|думаете|оцениваете))\b", 3), ("j", r"\bпредставьтесь\b", 5), ("j", r"\b(давайте|переходим|начнем|продолжим)\b", 2),

@@ -3,23 +3,41 @@
 from __future__ import annotations
 
 import re
+from collections import deque
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 from tapeloom.functions import lexicon as X
 
-_STOP = frozenset(X.STOP)
-PREPOSITIONS = frozenset("в на по из от до для при через под над между перед после во со ко без у около вокруг против среди о об с к за".split())
+_STOP, _HANGING = frozenset(X.MERGE_STOP), frozenset(X.HANGING)
 _PUNCT = ".,!?;:…«»\"()-—"
+#: Signs that are taken out of words before their weight is judged.
+_SIGNS = str.maketrans("", "", ".,!?;:«»\"'()[]")
 
 
 def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+@lru_cache(100_000)
+def _letters(text: str) -> int:
+    """A bit for each letter of a text (letters may share one)."""
+    out = 0
+    for c in set(text):
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
 def likely(a: str, b: str, least: float) -> bool:
-    """ratio(a, b) >= least, ruled out by its upper bounds (lengths, then letter counts) where they are below."""
-    m = SequenceMatcher(None, a, b)
-    return m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least
+    """ratio(a, b) >= least, ruled out by its upper bounds (lengths, letters that the other lacks, letter counts) where they are below."""
+    n, m = len(a), len(b)
+    if n + m and 2.0 * min(n, m) / (n + m) < least:
+        return False
+    x, y = _letters(a), _letters(b)
+    if n + m and 2.0 * min(n - (x & ~y).bit_count(), m - (y & ~x).bit_count()) / (n + m) < least:
+        return False
+    s = SequenceMatcher(None, a, b)
+    return s.quick_ratio() >= least and s.ratio() >= least
 
 
 def similarity(a: str | None, b: str | None) -> float:
@@ -32,20 +50,23 @@ def core(word: str) -> str:
     return word.strip(_PUNCT).lower()
 
 
-def meaningful(words: list[str]) -> list[str]:
-    return [c for w in words if len(c := core(w)) > 3 and c not in _STOP]
+def weighty(phrase: str) -> list[str]:
+    """MG2: the words of a phrase, signs taken out, that carry weight."""
+    return [w for w in phrase.lower().translate(_SIGNS).split() if w not in _STOP]
+
+
+def meaningful(text: str) -> list[str]:
+    """The weighty words of more than three letters."""
+    return [w for w in weighty(text) if len(w) > 3]
 
 
-def corrupted(gap: str, before: list[str]) -> bool:
-    """MG1: some run of meaningful words of a filled gap says again, nearly, what was said before."""
-    mine = meaningful(gap.split())
-    for text in before:
-        theirs = meaningful(text.split())
-        for k in range(min(len(mine), 6), 2, -1):
-            a = [" ".join(mine[i : i + k]) for i in range(len(mine) - k + 1)]
-            b = [" ".join(theirs[i : i + k]) for i in range(len(theirs) - k + 1)]
-            if any(likely(x, y, 0.85) for x in a for y in b):
-                return True
+def corrupted(gap: str, before: list[str], look_back: int = 5) -> bool:
+    """MG1: some run of three to six meaningful words of a filled gap says again, nearly, what the last texts said, seams between them included."""
+    mine, theirs = meaningful(gap), meaningful(" ".join(before[-look_back:]))
+    for k in range(min(len(mine), len(theirs), 6), 2, -1):
+        grams = [{" ".join(w[i : i + k]) for i in range(len(w) - k + 1)} for w in (mine, theirs)]
+        if grams[0] & grams[1] or any(likely(x, y, 0.85) for x in grams[0] for y in grams[1]):
+            return True
     return False
 
 
@@ -62,49 +83,124 @@ def joined(texts: list[str]) -> str:
     return " ".join(out).strip()
 
 
-def without_loops(text: str) -> str:
-    """TX5: runs of three words that come again within thirty are taken out word by word, unless what follows differs."""
-    words, out, seen, i = text.split(), [], [], 0
+def _after(said: list[str], anchor: str) -> str:
+    """The three words that follow the last place where an anchor's first word was said."""
+    head = anchor.translate(_SIGNS).split()
+    at = next((i for i in range(len(said) - 1, -1, -1) if head and said[i].lower().translate(_SIGNS) == head[0]), None)
+    return "" if at is None else " ".join(said[at + len(head) : at + len(head) + 3]).lower()
+
+
+def without_loops(text: str, window: int = 30) -> str:
+    """TX5: three words that nearly repeat one of the last thirty such runs are taken out word by word.
+
+    They stay where what follows them differs from what followed the run before, or a preposition would be left hanging.
+    Runs with fewer than two weighty words pass and are not remembered."""
+    words, out, seen, i = text.split(), [], deque(maxlen=window), 0
     while i < len(words):
         gram = words[i : i + 3]
-        if len(gram) < 3:
-            out += gram
-            break
-        if len(meaningful(gram)) < 2:
-            out += gram
-            i += 3
-            continue
         key = " ".join(gram).lower()
-        anchor = next((p for k, p in seen[-30:] if k == key or likely(k, key, 0.75)), None)
-        keep = anchor is None
-        if not keep:
-            then, now = " ".join(out[anchor + 3 : anchor + 6]).lower(), " ".join(words[i + 3 : i + 6]).lower()
-            keep = bool(then and now and ratio(then, now) < 0.70) or bool(out and core(out[-1]) in PREPOSITIONS)
-        if keep:
-            seen.append((key, len(out)))
-            out += gram
-            i += 3
+        if len(weighty(key)) >= 2:
+            anchor = next((k for k in seen if k == key or likely(key, k, 0.75)), None)
+            if anchor is not None:
+                then, now = _after(out, anchor), " ".join(words[i + 3 : i + 6]).lower()
+                another = bool(then and now) and not likely(then, now, 0.70)
+                if not another and not (out and out[-1].lower().rstrip(".,!?«»") in _HANGING):
+                    i += 1
+                    continue
+            seen.append(key)
+        out += gram
+        i += 3
+    return re.sub(r"([.,!?])\1{2,}", r"\1", " ".join(out)).strip()
+
+
+def without_repeated_sentences(text: str) -> str:
+    """TX6: of two sentences in a row of which the second ends the first or which are nearly equal, the longer stays; a pair is used up."""
+    parts = [p.strip() for p in re.split(r"([.!?]+)\s*", text)]
+    parts = [p for p in parts if p and p not in ".!?"]
+    out, i, hit = [], 0, False
+    while i < len(parts):
+        a, b = parts[i], parts[i + 1] if i + 1 < len(parts) else None
+        x, y = a.lower(), (b or "").lower()
+        tail = b is not None and 2 <= len(y.split()) < len(x.split()) and x.split()[-len(y.split()) :] == y.split()
+        if tail or b is not None and (x == y or likely(x, y, 0.95) and ratio(x, y) > 0.95):
+            out.append(a if tail or len(b) <= len(a) else b)
+            i, hit = i + 2, True
         else:
+            out.append(a)
             i += 1
-    return re.sub(r"([.,!?])\1{2,}", r"\1", " ".join(out))
+    return ". ".join(out) + "." if hit else text
 
 
-def without_repeated_sentences(text: str) -> str:
-    """TX6: of two sentences in a row of which one ends the other or which are nearly equal, the longer stays."""
-    parts = [p.strip() for p in re.split(r"[.!?]+\s*", text) if p.strip()]
-    if len(parts) < 2:
+_LEADINGS, _ENDINGS = ([re.compile(p, re.I) for p in ps] for ps in (X.LEADINGS, X.ENDINGS))
+
+
+def cleaned(text: str) -> str:
+    """TX9: invented leadings off, repeated sentences said once, the first ending that fits off, blanks and signs squeezed."""
+    if not text.strip():
         return text
-    out, hit = [parts[0]], False
-    for p in parts[1:]:
-        a, b = out[-1].lower().split(), p.lower().split()
-        if 2 <= len(b) < len(a) and a[-len(b) :] == b:
-            hit = True
-        elif out[-1] == p or likely(out[-1].lower(), p.lower(), 0.9500001):
-            hit = True
-            out[-1] = max(out[-1], p, key=len)
+    for p in _LEADINGS:
+        text = p.sub("", text).strip()
+    text = without_repeated_sentences(text)
+    for p in _ENDINGS:
+        if p.search(text.lower()):
+            text = p.sub("", text).strip()
+            break
+    return re.sub(r"([.!?]){2,}", r"\1", re.sub(r"\s+", " ", text)).strip()
+
+
+def _rules(patterns: list[str]) -> re.Pattern[str]:
+    return re.compile("|".join(f"(?:{p})" for p in patterns))
+
+
+_QUOTED, _STRONG, _WEAK, _EXPERT, _CONTINUES, _ANNOUNCED = (_rules(p) for p in (X.QUOTATION, X.STRONG, X.WEAK, X.EXPERT, X.CONTINUATION_SPLIT, X.ANNOUNCEMENT))
+
+
+def journalist_says(text: str, context_words: int = 0) -> bool:
+    """PRD1: the interviewer's words; weak marks do not count after much speech."""
+    t = text.lower()
+    return not _QUOTED.search(t) and bool(_STRONG.search(t) or context_words <= X.CONTEXT_WORDS and _WEAK.search(t))
+
+
+def expert_says(text: str, surname: str | None) -> bool:
+    """PRD2: the expert's words, or the expert's name."""
+    t = text.lower()
+    return bool(surname) and (surname.lower() in t or bool(_EXPERT.search(t)))
+
+
+def announces(text: str) -> bool:
+    """PRD5: a short announcement of a question."""
+    return bool(_ANNOUNCED.search(text.lower())) and len(text.split()) < X.ANNOUNCEMENT_WORDS
+
+
+def split_speakers(text: str, speaker: str, surname: str | None, start: int, end: int) -> list[tuple[str, str, int, int]]:
+    """EX2: (speaker, text, start, end) of the parts of a replica in which two people speak.
+
+    Each sentence is the interviewer's, the expert's, a continuation (of whoever spoke last) or neutral (of the replica's
+    speaker); a part ends where the next sentence is another's, and takes the time of its share of the words."""
+    said = [x for x in (x.strip() for x in re.split(r"[.!?]+\s+", text)) if x]
+    if len(said) < 2 or announces(text):
+        return [(speaker, text, start, end)]
+    total = sum(len(x.split()) for x in said)
+    parts: list[tuple[str, list[str]]] = [(speaker, [])]
+    for x in said:
+        now, group = parts[-1]
+        if journalist_says(x, sum(len(g.split()) for g in group)):
+            who = "Журналист"
+        elif expert_says(x, surname):
+            who = surname
         else:
-            out.append(p)
-    return ". ".join(out) + "." if hit else text
+            who = now if _CONTINUES.search(x.lower()) else speaker
+        if who != now and group:
+            parts.append((who, [x]))
+        else:
+            group.append(x)
+    out, at = [], float(start)
+    for k, (who, group) in enumerate(parts):
+        joint = ". ".join(group) + "."
+        until = float(end) if k == len(parts) - 1 else at + len(joint.split()) / total * (end - start)
+        out.append((who, joint, int(at), int(until)))
+        at = until
+    return out
 
 
 def trim_before(gap: str, following: str, most: int = 5) -> str:

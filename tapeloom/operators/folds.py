@@ -8,6 +8,7 @@ and no call per group from the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import matching as M
 from tapeloom.operators.intervals import periods
-from tapeloom.operators.ordered import interval_join, with_islands, with_running_sum
+from tapeloom.operators.ordered import interval_join, with_greatest_before, with_islands, with_running_sum
 from tapeloom.session import cut
 
 ORDER = ["start_us", "seg_id"]
@@ -62,47 +63,49 @@ def _columns(schema: str) -> list[str]:
 REPLICA = "file_id string, seg_id bigint, start_us bigint, end_us bigint, speaker string, raw_speaker_id string, text string, n int, sub_segments array<struct<start_us bigint, end_us bigint, words int>>"
 
 
+def _joins(group: dict, r: dict, texts: list[str], pause: float) -> str:
+    """What a row does to a group of one speaker: "same" (says the last text again), "next" or "stop"."""
+    if pause < 0:
+        like = M.ratio(texts[-1], r["text"] or "")
+        return "same" if like > 0.85 else "next" if like > 0.60 or -pause <= 2.0 else "stop"
+    if group["speaker"] == JOURNALIST:
+        return "next" if pause <= 3.0 else "stop"
+    return "next" if pause <= 2.0 or pause <= 5.0 and any(M.similarity(r["text"], t) > 0.75 for t in texts[-2:]) else "stop"
+
+
 def merge_run(rows: list[dict]) -> list[dict]:
-    """The replica merge on rows of one speaker in a row: guards, pauses and likeness decide what joins."""
+    """The replica merge on rows of one speaker in a row: guards, pauses and likeness decide what joins.
+
+    A row that says the last text again takes its place if it is longer and is absorbed if not; either way it counts as no member more."""
     out, i = [], 0
     while i < len(rows):
         first = rows[i]
-        strict = first["speaker"] in (JOURNALIST, OPERATOR)
-        texts, members, end = [first["text"] or ""], [first], first["end_us"]
-        gap_end = first["end_us"] if first["from_gap"] else None
-        j = i + 1
-        while j < len(rows):
+        apart = first["speaker"] in (JOURNALIST, OPERATOR)
+        texts, members, end, gap_end = [first["text"] or ""], [first], first["end_us"], None
+        for j in range(i + 1, len(rows) + 1):
+            if j == len(rows):
+                break
             r = rows[j]
             text, pause = r["text"] or "", (r["start_us"] - end) / 1e6
-            if strict and first["raw_speaker_id"] and r["raw_speaker_id"] and first["raw_speaker_id"] != r["raw_speaker_id"]:
+            if apart and first["raw_speaker_id"] and r["raw_speaker_id"] and first["raw_speaker_id"] != r["raw_speaker_id"]:
                 break
             lost = r["end_us"] < r["start_us"] or gap_end is not None and r["start_us"] < gap_end
             if not lost and r["from_gap"]:
                 gap_end = r["end_us"]
-                lost = M.corrupted(text, texts[-5:])
+                lost = M.corrupted(text, texts)
             if lost:
-                end, j = max(end, r["end_us"]), j + 1
+                end = max(end, r["end_us"])
                 continue
-            if pause < 0:
-                like = M.ratio(texts[-1], text) if texts[-1] and text else 0.0
-                if like > 0.85:
-                    texts[-1] = max(texts[-1], text, key=len)
-                elif like > 0.60 or -pause <= 2.0:
-                    texts.append(text)
-                else:
-                    break
-            elif first["speaker"] == JOURNALIST:
-                if pause > 3.0:
-                    break
-                texts.append(text)
-            elif pause <= 2.0 or pause <= 5.0 and max(M.similarity(t, text) for t in texts[-2:]) > 0.75:
-                texts.append(text)
-            else:
+            does = _joins(first, r, texts, pause)
+            if does == "stop":
                 break
+            if does == "next":
+                texts.append(text)
+                members.append(r)
+            elif len(text) > len(texts[-1]):
+                texts[-1], members[-1] = text, r
             end = r["end_us"]
-            members.append(r)
-            j += 1
-        said = M.without_repeated_sentences(M.without_loops(M.joined(texts))).strip()
+        said = M.cleaned(M.without_loops(M.joined(texts)))
         if said:
             longest = max(members, key=lambda r: len(r["text"] or ""))
             out.append({"file_id": first["file_id"], "seg_id": first["seg_id"], "start_us": first["start_us"], "end_us": end, "speaker": longest["speaker"], "raw_speaker_id": longest["raw_speaker_id"], "text": said, "n": len(members), "sub_segments": [{"start_us": r["start_us"], "end_us": r["end_us"], "words": len((r["text"] or "").split())} for r in members]})
@@ -111,8 +114,12 @@ def merge_run(rows: list[dict]) -> list[dict]:
 
 
 def merge_replicas(segments: DataFrame) -> DataFrame:
-    """WN8 on (file_id, seg_id, start_us, end_us, speaker, raw_speaker_id, text, from_gap): a change of speaker always ends a replica."""
-    runs = with_islands(segments, "file_id", ORDER, ["speaker"], F.coalesce(F.col("prev_speaker") != F.col("speaker"), F.lit(True)), "run")
+    """WN8 on (file_id, seg_id, start_us, end_us, speaker, raw_speaker_id, text, from_gap).
+
+    A change of speaker ends a replica, and so does a start more than 5 s after all ends before it, whatever the rules have kept; groups part at both, so speech without such pauses bounds a group."""
+    rows = with_greatest_before(segments, "file_id", ORDER, F.col("end_us"), "_reach")
+    ends = (F.col("prev_speaker") != F.col("speaker")) | (F.col("start_us") - F.col("_reach") > 5_000_000)
+    runs = with_islands(rows, "file_id", ORDER, ["speaker"], F.coalesce(ends, F.lit(True)), "run").drop("_reach")
     return fold(runs, ["file_id", "run"], ORDER, merge_run, REPLICA)
 
 
@@ -120,27 +127,23 @@ def merge_replicas(segments: DataFrame) -> DataFrame:
 
 
 def carry_run(rows: list[dict]) -> list[dict]:
-    """A short last sentence goes over to the next speaker's replica where it sounds like them."""
-    import re
-
+    """A short last sentence goes over to the next speaker's replica, unless it speaks against that: the interviewer's words to another, the expert's to the interviewer."""
     texts = [r["text"] or "" for r in rows]
-    for i in range(len(rows) - 1):
-        a, b = rows[i], rows[i + 1]
-        if a["speaker"] == b["speaker"] or (b["start_us"] - a["end_us"]) > 500_000:
+    for i, (a, b) in enumerate(zip(rows, rows[1:], strict=False)):
+        parts = re.split(r"[.!?]+\s+", texts[i])
+        last, asks_next = parts[-1].strip(), b["speaker"] == JOURNALIST
+        if a["speaker"] == b["speaker"] or b["start_us"] - a["end_us"] > 500_000 or len(parts) < 2 or len(last.split()) > 10:
             continue
-        parts = [p for p in re.split(r"[.!?]+\s*", texts[i]) if p.strip()]
-        if len(parts) < 2 or len(parts[-1].split()) > 10:
+        if M.journalist_says(last) and not asks_next or M.expert_says(last, a["surname"]) and asks_next:
             continue
-        asks = bool(re.search(r"\b(расскажите|объясните|как вы|почему вы|что вы|давайте)\b", parts[-1].lower()))
-        if asks and b["speaker"] != JOURNALIST or not asks and b["speaker"] == JOURNALIST:
-            continue
-        texts[i] = ". ".join(parts[:-1]) + "."
-        texts[i + 1] = f"{parts[-1]}. {texts[i + 1]}"
+        if rest := ". ".join(parts[:-1]).strip():
+            texts[i] = rest + "."
+        texts[i + 1] = f"{last} {texts[i + 1]}".strip()
     return [{"seg_id": r["seg_id"], "text": t} for r, t in zip(rows, texts, strict=True)]
 
 
 def boundary_carry(segments: DataFrame) -> DataFrame:
-    """WN9: sentences move only over pauses of at most half a second, so longer ones part the groups."""
+    """WN9 on (file_id, seg_id, start_us, end_us, speaker, surname, text): sentences move only over pauses of at most half a second, so longer ones part the groups."""
     near = with_islands(segments, "file_id", ORDER, ["end_us"], F.coalesce(F.col("start_us") - F.col("prev_end_us") > 500_000, F.lit(True)), "near")
     return fold(near, ["file_id", "near"], ORDER, carry_run, "seg_id bigint, text string")
 
@@ -207,18 +210,21 @@ def alike_pairs(segments: DataFrame, across: bool, reach: int) -> DataFrame:
     p = a.join(b, ["file_id", "bin"]).filter(f"b_rn between a_rn + 1 and a_rn + {reach}")
     p = p.filter("a_speaker <> b_speaker and abs(b_start_us - a_start_us) < 5000000" if across else "a_speaker = b_speaker")
     p = p.filter(f"2.0 * least(length(a_text), length(b_text)) / (length(a_text) + length(b_text)) > {floor}")
-    over = F.greatest(F.lit(0), F.least("a_end_us", "b_end_us") - F.greatest("a_start_us", "b_start_us")) / F.greatest(F.lit(1), F.least(F.col("a_end_us") - F.col("a_start_us"), F.col("b_end_us") - F.col("b_start_us")))
-    p = p.withColumn("ov", over)
+    over = F.greatest(F.lit(0), F.least("a_end_us", "b_end_us") - F.greatest("a_start_us", "b_start_us")) / F.col("a_dur")
+    p = p.withColumn("a_dur", F.col("a_end_us") - F.col("a_start_us")).withColumn("ov", F.when(F.col("a_dur") > 0, over).otherwise(0.0))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from difflib import SequenceMatcher
-
+        known: dict[tuple[str, str, float], bool] = {}
         for x in batches:
             keep_it = []
-            for s, t, ov in zip(x["a_text"], x["b_text"], x["ov"], strict=True):
+            for s, t, ov in zip(x["a_text"].str.lower().str.strip(), x["b_text"].str.lower().str.strip(), x["ov"], strict=True):
                 need = 0.70 if not across and ov > 0.95 else 0.85
-                m = SequenceMatcher(None, s.lower().strip(), t.lower().strip())
-                keep_it.append(m.quick_ratio() > need and m.ratio() > need)
+                alike = s == t or known.get((s, t, need))
+                if alike is None:
+                    if len(known) > 100_000:
+                        known.clear()
+                    alike = known[s, t, need] = M.likely(s, t, need) and M.ratio(s, t) > need
+                keep_it.append(alike)
             x = x[keep_it]
             yield pd.DataFrame({"file_id": x["file_id"], "ra": x["a_rn"], "rb": x["b_rn"], "seg_a": x["a_seg_id"], "seg_b": x["b_seg_id"], "same": x["a_speaker"] == x["b_speaker"], "a_start": x["a_start_us"], "b_start": x["b_start_us"], "a_len": x["a_text"].str.len().astype("int32"), "b_len": x["b_text"].str.len().astype("int32")})
 
@@ -226,21 +232,31 @@ def alike_pairs(segments: DataFrame, across: bool, reach: int) -> DataFrame:
 
 
 def greedy(rows: list[dict]) -> list[dict]:
-    """Pairs in the order of their rows: a row that is gone removes no other; of two speakers the one that others hide goes, else the later; of one the shorter."""
+    """DD1: pairs in the order of their rows; a row that is gone removes no other; the one that others hide goes, else the later."""
     gone: set[int] = set()
     out = []
     for r in rows:
         if r["seg_a"] in gone or r["seg_b"] in gone:
             continue
-        if r["same"]:
-            lose_a = r["a_len"] < r["b_len"]
-        elif r["a_hidden"] != r["b_hidden"]:
-            lose_a = r["a_hidden"]
-        else:
-            lose_a = r["a_start"] > r["b_start"]
-        lost = r["seg_a"] if lose_a else r["seg_b"]
-        gone.add(lost)
-        out.append({"file_id": r["file_id"], "removed": lost, "kept": r["seg_b"] if lose_a else r["seg_a"]})
+        lose_a = r["a_hidden"] if r["a_hidden"] != r["b_hidden"] else r["a_start"] > r["b_start"]
+        lost, kept = ("seg_a", "seg_b") if lose_a else ("seg_b", "seg_a")
+        gone.add(r[lost])
+        out.append({"file_id": r["file_id"], "removed": r[lost], "kept": r[kept]})
+    return out
+
+
+def stars(rows: list[dict]) -> list[dict]:
+    """DD2: pairs in the order of their rows; a row that no earlier one took takes all its duplicates that are free; of such a group the longest text stays, the first of equals."""
+    taken: set[int] = set()
+    groups: dict[int, list[tuple[int, int]]] = {}
+    for r in rows:
+        if r["seg_a"] not in taken and r["seg_b"] not in taken:
+            groups.setdefault(r["seg_a"], [(r["a_len"], r["seg_a"])]).append((r["b_len"], r["seg_b"]))
+            taken.add(r["seg_b"])
+    out = []
+    for group in groups.values():
+        kept = max(group, key=lambda x: x[0])[1]
+        out += [{"file_id": rows[0]["file_id"], "removed": x, "kept": kept} for _, x in group if x != kept]
     return out
 
 
@@ -268,7 +284,7 @@ def near_duplicates(segments: DataFrame, across: bool) -> DataFrame:
     clusters = periods(p, ["file_id"], "ra", "rb", chunk_us=100_000).select("file_id", F.col("ra").alias("c_from"), F.col("rb").alias("c_to"))
     c = clusters.withColumn("bin", F.explode(F.sequence(F.expr("c_from div 1000"), F.expr("c_to div 1000"))))
     p = p.withColumn("bin", F.expr("ra div 1000")).join(c, ["file_id", "bin"]).filter("ra between c_from and c_to")
-    return fold(p, ["file_id", "c_from"], ["ra", "rb"], greedy, "file_id string, removed bigint, kept bigint")
+    return fold(p, ["file_id", "c_from"], ["ra", "rb"], greedy if across else stars, "file_id string, removed bigint, kept bigint")
 
 
 # JN10 -------------------------------------------------------------------------------------------------------------

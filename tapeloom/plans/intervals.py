@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tapeloom.functions import lexicon as X
-from tapeloom.functions.text import hms, n_words, tokens
+from tapeloom.functions.text import any_hit, hms, n_words, sql_any, tokens
 from tapeloom.operators.intervals import gaps, periods
-from tapeloom.operators.ordered import interval_join, with_islands, with_last, with_neighbours, with_running_sum
+from tapeloom.operators.ordered import chunked, interval_join, with_islands, with_last, with_neighbours, with_running_sum
+from tapeloom.operators.prefix import prefixed
 from tapeloom.plans.base import ORDER, SEG, TURNS, W_FILE, read, segments, turns
 
 QUERIES: dict = {}
@@ -165,11 +166,19 @@ def ag5(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy("file_id", "g").agg(F.min("start_us").alias("start_us"), F.min_by("confidence", at).alias("confidence"), F.max_by("speaker", longest).alias("speaker"), subs.alias("sub_segments")).drop("g")
 
 
+def first_rows(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The first n rows of each key in ORDER: first those of each chunk of a key, then of what the chunks have left."""
+    w = W.partitionBy(*keys, "_c").orderBy(*ORDER)
+    few = chunked(df, ORDER[0]).withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n)
+    # chunks after the first n of a key can hold none of its first rows
+    rank = few.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_k"))
+    rank = prefixed(rank, keys, "_c", {"_before": ("sum", "_k")}).filter(F.col("_before") < n).drop("_k")
+    return few.join(rank, [*keys, "_c"]).filter(F.col("_before") + F.col("_n") <= n).drop("_c", "_n", "_before")
+
+
 @query("wn14_first_ten_per_speaker", "SELECT file_id, speaker, seg_id FROM seg QUALIFY row_number() OVER (PARTITION BY file_id, speaker ORDER BY start_us, seg_id) <= 10")
 def wn14(spark: SparkSession, d: str) -> DataFrame:
-    r = segments(spark, d, "speaker")
-    w = W.partitionBy("file_id", "speaker").orderBy(*ORDER)
-    return r.withColumn("rn", F.row_number().over(w)).filter("rn <= 10").select("file_id", "speaker", "seg_id")
+    return first_rows(segments(spark, d, "speaker"), ["file_id", "speaker"], 10).select("file_id", "speaker", "seg_id")
 
 
 @query("wn15_last_known_raw_label", f"SELECT seg_id, last_value(nullif(raw_speaker_id, '') IGNORE NULLS) OVER (PARTITION BY file_id ORDER BY start_us, seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_label FROM seg")
@@ -178,10 +187,12 @@ def wn15(spark: SparkSession, d: str) -> DataFrame:
     return with_last(r, "file_id", ORDER, F.nullif("raw_speaker_id", F.lit("")), "last_label").select("seg_id", "last_label")
 
 
-@query("wn16_announcement_neighbours", "SELECT seg_id, regexp_matches(lower(n_text), '^(да|угу|ага|верно|правильно|точно|именно|конечно)') AS confirmed FROM nb WHERE regexp_matches(lower(text), 'следующий вопрос') AND n_text IS NOT NULL", NEXT)
+@query("wn16_announcement_neighbours", f"SELECT seg_id, {sql_any('lower(trim(n_text))', X.CONFIRMATION)} AS confirmed FROM nb WHERE {sql_any('lower(text)', X.ANNOUNCEMENT)} AND len(list_filter(string_split(text, ' '), lambda x: x <> '')) < {X.ANNOUNCEMENT_WORDS} AND n_text IS NOT NULL", NEXT)
 def wn16(spark: SparkSession, d: str) -> DataFrame:
-    r = pairs(spark, d, "text").filter(F.lower("text").contains("следующий вопрос") & F.col("next_text").isNotNull())
-    return r.select("seg_id", F.lower("next_text").rlike("^(да|угу|ага|верно|правильно|точно|именно|конечно)").alias("confirmed"))
+    """Announcements of a question and whether the next row confirms them."""
+    said = any_hit(F.lower("text"), X.ANNOUNCEMENT) & (F.size(F.filter(F.split("text", " "), lambda x: x != "")) < X.ANNOUNCEMENT_WORDS)
+    r = pairs(spark, d, "text").filter(said & F.col("next_text").isNotNull())
+    return r.select("seg_id", any_hit(F.lower(F.trim("next_text")), X.CONFIRMATION).alias("confirmed"))
 
 
 # joins ------------------------------------------------------------------------------------------------------------
@@ -209,7 +220,7 @@ def jn1(spark: SparkSession, d: str) -> DataFrame:
     return dominant(spark, d).select("seg_id", "label", "ov", F.round(100.0 * F.col("ov") / (F.col("l_end") - F.col("l_start")), 6).alias("coverage_pct"))
 
 
-ROLES = "ro AS (SELECT file_id, label, max(role_name) AS role FROM speaker_roles WHERE tape_no = 1 GROUP BY file_id, label)"
+ROLES = "ro AS (SELECT file_id, tape_no, label, max(role_name) AS role FROM speaker_roles GROUP BY file_id, tape_no, label)"
 
 
 def tape_roles(spark: SparkSession, d: str) -> DataFrame:
@@ -217,11 +228,6 @@ def tape_roles(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "speaker_roles").groupBy("file_id", "tape_no", "label").agg(F.max("role_name").alias("role"))
 
 
-def roles(spark: SparkSession, d: str) -> DataFrame:
-    """The roles of first tapes only, as the SQL of jn4 and jn9 has them: segments of later tapes get a wrong role or none."""
-    return read(spark, d, "speaker_roles").filter("tape_no = 1").groupBy("file_id", "label").agg(F.max("role_name").alias("role"))
-
-
 @query("jn2_align_with_carry", f"SELECT s.seg_id, coalesce(do_.label, last_value(do_.label IGNORE NULLS) OVER (PARTITION BY s.file_id ORDER BY s.start_us, s.seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'UNKNOWN') AS label FROM seg s LEFT JOIN (SELECT seg_id AS sid, label FROM ({DOM})) do_ ON s.seg_id = do_.sid", f"{TURNS}, {OVER}")
 def jn2(spark: SparkSession, d: str) -> DataFrame:
     """Left outer: a segment that no turn overlaps takes the label before it, the first ones UNKNOWN."""
@@ -229,9 +235,11 @@ def jn2(spark: SparkSession, d: str) -> DataFrame:
     return with_last(r, "file_id", ORDER, F.col("label"), "before").select("seg_id", F.coalesce("label", "before", F.lit("UNKNOWN")).alias("label"))
 
 
-@query("jn4_dominant_role", f"SELECT x.seg_id, coalesce(ro.role, x.label) AS role FROM ({DOM}) x JOIN seg USING (seg_id) LEFT JOIN ro ON ro.file_id = seg.file_id AND ro.label = x.label WHERE x.ov > 1000000", f"{TURNS}, {OVER}, {ROLES}")
+@query("jn4_dominant_role", f"SELECT x.seg_id, coalesce(ro.role, x.label) AS role FROM ({DOM}) x JOIN seg USING (seg_id) LEFT JOIN ro ON ro.file_id = seg.file_id AND ro.tape_no = seg.tape_no AND ro.label = x.label WHERE x.ov > 1000000", f"{TURNS}, {OVER}, {ROLES}")
 def jn4(spark: SparkSession, d: str) -> DataFrame:
-    r = dominant(spark, d).filter("ov > 1000000").join(roles(spark, d), ["file_id", "label"], "left")
+    """The role, on the segment's own tape, of the label that most of a segment's time overlaps, for more than a second."""
+    r = dominant(spark, d).filter("ov > 1000000").join(segments(spark, d, "tape_no").select("seg_id", "tape_no"), "seg_id")
+    r = r.join(tape_roles(spark, d), ["file_id", "tape_no", "label"], "left")
     return r.select("seg_id", F.coalesce("role", "label").alias("role"))
 
 
@@ -262,12 +270,16 @@ def jn7(spark: SparkSession, d: str) -> DataFrame:
     return r.select("seg_id", F.when(F.col("end_us") <= F.col("start_us"), 100.0).otherwise(pct).alias("coverage_pct"))
 
 
-@query("jn9_roles_both_ways", f"SELECT s.seg_id, ro.role, rv.label AS label_of_speaker FROM seg s LEFT JOIN ro ON ro.file_id = s.file_id AND ro.label = s.raw_speaker_id LEFT JOIN (SELECT file_id, role, max(label) AS label FROM ro GROUP BY file_id, role) rv ON rv.file_id = s.file_id AND rv.role = s.speaker", ROLES)
+@query("jn9_roles_both_ways", f"SELECT s.seg_id, ro.role, rv.label AS label_of_speaker FROM seg s LEFT JOIN ro ON ro.file_id = s.file_id AND ro.tape_no = s.tape_no AND ro.label = s.raw_speaker_id LEFT JOIN (SELECT file_id, tape_no, role, max(label) AS label FROM ro GROUP BY file_id, tape_no, role) rv ON rv.file_id = s.file_id AND rv.tape_no = s.tape_no AND rv.role = s.speaker", ROLES)
 def jn9(spark: SparkSession, d: str) -> DataFrame:
-    ro = roles(spark, d)
-    back = ro.groupBy("file_id", F.col("role").alias("speaker")).agg(F.max("label").alias("label_of_speaker"))
-    r = segments(spark, d, "speaker", "raw_speaker_id").join(ro.withColumnRenamed("label", "raw_speaker_id"), ["file_id", "raw_speaker_id"], "left").join(back, ["file_id", "speaker"], "left")
-    return r.select("seg_id", "role", "label_of_speaker")
+    """On each tape, the role of a segment's label and the label (the last of several) of its speaker."""
+    ro = tape_roles(spark, d)
+    r = segments(spark, d, "tape_no", "speaker", "raw_speaker_id").join(ro.withColumnRenamed("label", "raw_speaker_id"), ["file_id", "tape_no", "raw_speaker_id"], "left")
+    return r.join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left").select("seg_id", "role", "label_of_speaker")
+
+
+def label_of(spark: SparkSession, d: str) -> DataFrame:
+    return tape_roles(spark, d).groupBy("file_id", "tape_no", F.col("role").alias("speaker")).agg(F.max("label").alias("label_of_speaker"))
 
 
 # aggregations -----------------------------------------------------------------------------------------------------
@@ -284,25 +296,39 @@ def ag2(spark: SparkSession, d: str) -> DataFrame:
 
 
 RANK = "tt AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY t DESC, label) AS rk, count(*) OVER (PARTITION BY file_id) AS n FROM (SELECT file_id, label, sum(end_us - start_us) AS t FROM turns GROUP BY file_id, label))"
+#: The closing word border, spelled out for an engine whose own knows ASCII only.
+_JOURNALIST_SQL = X.JOURNALIST_FIRST.replace(r"\b", r"(?:$|[^\p{L}\p{N}_])")
+FIRST = f"fs AS (SELECT file_id, raw_speaker_id AS label, CAST(sum(CASE WHEN rn <= 10 AND {sql_any('lower(text)', [X.OPERATOR_FIRST])} THEN 3 ELSE 0 END) AS BIGINT) AS operator_score, CAST(sum(CASE WHEN rn <= 10 AND {sql_any('lower(text)', [_JOURNALIST_SQL])} THEN 2 ELSE 0 END) AS BIGINT) AS journalist_score, min(start_us) < 30000000 AS early, count(*) AS n_segments FROM (SELECT *, row_number() OVER (PARTITION BY file_id, raw_speaker_id ORDER BY start_us, seg_id) AS rn FROM seg WHERE raw_speaker_id <> '') GROUP BY file_id, raw_speaker_id)"
 
 
-@query("ag3_role_assignment", "SELECT tt.file_id, label, CASE WHEN rk = 1 THEN surname ELSE 'Журналист' END AS role FROM tt JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) a ON a.file_id = tt.file_id WHERE n >= 2", f"{TURNS}, {RANK}")
-def ag3(spark: SparkSession, d: str) -> DataFrame:
-    """By talk time: the first is the expert, the others journalists; one label alone gets no role."""
-    by = ag1(spark, d)
-    w = W.partitionBy("file_id")
-    r = by.withColumns({"rk": F.row_number().over(w.orderBy(F.desc("talk_us"), "label")), "n": F.count(F.lit(1)).over(w)}).filter("n >= 2")
-    r = r.join(read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname")), "file_id")
-    return r.select("file_id", "label", F.when(F.col("rk") == 1, F.col("surname")).otherwise("Журналист").alias("role"))
+@query("ag4_first_ten_evidence", "SELECT * FROM fs", FIRST)
+def ag4(spark: SparkSession, d: str) -> DataFrame:
+    """Of each raw label: how its first ten segments sound, whether it speaks in the first 30 s, and how many segments it has."""
+    r = segments(spark, d, "raw_speaker_id", "text").filter("raw_speaker_id <> ''").withColumnRenamed("raw_speaker_id", "label")
+    sounds = lambda p, n: F.sum(F.when(any_hit(F.lower("text"), [p]), n).otherwise(0))
+    first = first_rows(r, ["file_id", "label"], 10).groupBy("file_id", "label").agg(sounds(X.OPERATOR_FIRST, 3).alias("operator_score"), sounds(X.JOURNALIST_FIRST, 2).alias("journalist_score"))
+    all_ = r.groupBy("file_id", "label").agg((F.min("start_us") < 30_000_000).alias("early"), F.count(F.lit(1)).alias("n_segments"))
+    return first.join(all_, ["file_id", "label"]).select("file_id", "label", "operator_score", "journalist_score", "early", "n_segments")
 
 
-@query("ag4_first_ten_evidence", "SELECT file_id, speaker, CAST(sum(CASE WHEN regexp_matches(lower(text), '(камера|пишем|стоп|запись|kamera|camera)') THEN 3 ELSE 0 END) AS BIGINT) AS operator_score, CAST(sum(CASE WHEN regexp_matches(lower(text), '(расскажите|почему|вопрос|warum|what)') THEN 2 ELSE 0 END) AS BIGINT) AS journalist_score, bool_or(start_us < 30000000) AS early FROM (SELECT * FROM seg QUALIFY row_number() OVER (PARTITION BY file_id, speaker ORDER BY start_us, seg_id) <= 10) GROUP BY file_id, speaker")
-def ag4(spark: SparkSession, d: str) -> DataFrame:
-    w = W.partitionBy("file_id", "speaker").orderBy(*ORDER)
-    r = segments(spark, d, "speaker", "text").withColumn("rn", F.row_number().over(w)).filter("rn <= 10")
-    t = F.lower("text")
-    score = lambda p, n: F.sum(F.when(t.rlike(p), n).otherwise(0))
-    return r.groupBy("file_id", "speaker").agg(score("(камера|пишем|стоп|запись|kamera|camera)", 3).alias("operator_score"), score("(расскажите|почему|вопрос|warum|what)", 2).alias("journalist_score"), F.bool_or(F.col("start_us") < 30_000_000).alias("early"))
+LIKELY = "lk AS (SELECT tt.*, CASE WHEN rk > 1 THEN (CASE WHEN coalesce(talk_us / CAST(n_segments AS DOUBLE), 0) < 5000000 THEN 3 ELSE 0 END) + coalesce(operator_score, 0) + (CASE WHEN coalesce(early, false) THEN 2 ELSE 0 END) + (CASE WHEN talk_us < 15000000 THEN 2 ELSE 0 END) END AS likelihood FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY talk_us DESC, label) AS rk, count(*) OVER (PARTITION BY file_id) AS n FROM (SELECT file_id, label, CAST(sum(end_us - start_us) AS BIGINT) AS talk_us FROM turns GROUP BY file_id, label)) tt LEFT JOIN fs ON fs.file_id = tt.file_id AND fs.label = tt.label)"
+
+
+@query("ag3_role_assignment", "SELECT lk.file_id, lk.label, CASE WHEN rk = 1 THEN surname WHEN n >= 3 AND likelihood > 5 AND row_number() OVER (PARTITION BY lk.file_id ORDER BY likelihood DESC NULLS LAST, rk) = 1 THEN 'Оператор' ELSE 'Журналист' END AS role FROM lk JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) a ON a.file_id = lk.file_id WHERE n >= 2", f"{TURNS}, {FIRST}, {LIKELY}")
+def ag3(spark: SparkSession, d: str) -> DataFrame:
+    """By talk time the first label is the expert's.  Of three or more, the most likely of the others is the operator's, if likely enough; the rest are journalists.  One label alone gets no role.
+
+    Short segments on the average, an operator's words, an early start and little talk speak for an operator.  Labels of a recording are few, so these windows are small."""
+    w = W.partitionBy("file_id")
+    r = ag1(spark, d).withColumns({"rk": F.row_number().over(w.orderBy(F.desc("talk_us"), "label")), "n": F.count(F.lit(1)).over(w)}).filter("n >= 2")
+    r = r.join(ag4(spark, d), ["file_id", "label"], "left").join(read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname")), "file_id")
+    points = lambda c, n: F.when(F.coalesce(c, F.lit(False)), n).otherwise(0)
+    short = F.coalesce(F.col("talk_us") / F.col("n_segments"), F.lit(0.0)) < 5_000_000
+    likelihood = F.when(F.col("rk") > 1, points(short, 3) + F.coalesce("operator_score", F.lit(0)) + points(F.col("early"), 2) + points(F.col("talk_us") < 15_000_000, 2))
+    r = r.withColumn("likelihood", likelihood)
+    best = F.row_number().over(w.orderBy(F.desc_nulls_last("likelihood"), "rk")) == 1
+    r = r.withColumn("best", best)
+    return r.select("file_id", "label", F.when(F.col("rk") == 1, F.col("surname")).when((F.col("n") >= 3) & (F.col("likelihood") > 5) & F.col("best"), "Оператор").otherwise("Журналист").alias("role"))
 
 
 @query("ag6_validation_report", "SELECT file_id, count(*) FILTER (WHERE n_spk = speaker AND speaker <> 'Журналист') AS n_adjacent, count(*) FILTER (WHERE n_id IS NOT NULL AND end_us - start_us < 2000000 AND speaker <> 'Журналист') AS n_short, count(*) FILTER (WHERE n_start - end_us > 10000000) AS n_pauses FROM nb GROUP BY file_id", NEXT)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,9 +15,9 @@ from tapeloom.functions import lexicon as X
 from tapeloom.functions import matching as M
 from tapeloom.functions.text import any_hit
 from tapeloom.operators import folds
-from tapeloom.operators.ordered import with_islands, with_neighbours
+from tapeloom.operators.ordered import with_islands, with_neighbours, with_running_sum
 from tapeloom.plans.base import ORDER, pages, read, segments
-from tapeloom.plans.intervals import tape_roles
+from tapeloom.plans.intervals import label_of, tape_roles
 from tapeloom.plans.texts import score, texts, txt_blocks
 
 QUERIES: dict = {}
@@ -41,6 +43,10 @@ def map_text(df: DataFrame, fn, columns: list[str], out: str = "text", kind: Y.D
     return df.select("seg_id", *columns).mapInPandas(run, schema)
 
 
+def surnames(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
+
+
 @query("wn8_replica_merge")
 def wn8(spark: SparkSession, d: str) -> DataFrame:
     return folds.merge_replicas(segments(spark, d, "speaker", "raw_speaker_id", "text", "from_gap"))
@@ -48,7 +54,7 @@ def wn8(spark: SparkSession, d: str) -> DataFrame:
 
 @query("wn9_boundary_carry")
 def wn9(spark: SparkSession, d: str) -> DataFrame:
-    return folds.boundary_carry(segments(spark, d, "speaker", "text"))
+    return folds.boundary_carry(segments(spark, d, "speaker", "text").join(surnames(spark, d), "file_id", "left"))
 
 
 @query("cl1_classification")
@@ -56,8 +62,7 @@ def cl1(spark: SparkSession, d: str) -> DataFrame:
     """The pass with its memory.
 
     Groups part only where the speaker changes whatever the memory holds: between two rows that are no continuations and whose speakers differ."""
-    a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
-    r = texts(spark, d, "speaker").join(a, "file_id").withColumns({"j": score("j"), "s": score("s"), "continues": any_hit(F.col("t"), X.CONTINUATION_CLASSIFY)})
+    r = texts(spark, d, "speaker").join(surnames(spark, d), "file_id").withColumns({"j": score("j"), "s": score("s"), "continues": any_hit(F.col("t"), X.CONTINUATION_CLASSIFY)})
     r = with_neighbours(r, "file_id", ORDER, ["end_us"], after=None).withColumnRenamed("prev_end_us", "prev_end")
     weighed = (F.col("nw") >= 5) & (F.col("speaker") != folds.OPERATOR)
     alone = F.when(weighed & (F.col("speaker") == F.col("surname")) & (F.col("j") - F.col("s") > 3), folds.JOURNALIST)
@@ -68,6 +73,52 @@ def cl1(spark: SparkSession, d: str) -> DataFrame:
     return folds.fold(r, ["file_id", "near"], ORDER, folds.classify_run, "seg_id bigint, speaker string")
 
 
+@query("cl1_labels_in_step")
+def cl1_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The classification pass with raw labels in step: whose speaker it changed takes the label of the new speaker on its tape, where there is one."""
+    r = segments(spark, d, "tape_no", "speaker", "raw_speaker_id").withColumnRenamed("speaker", "was").join(cl1(spark, d), "seg_id")
+    r = r.join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left")
+    raw = F.when(F.col("was") != F.col("speaker"), F.coalesce("label_of_speaker", "raw_speaker_id")).otherwise(F.col("raw_speaker_id"))
+    return r.select("seg_id", "speaker", raw.alias("raw_speaker_id"))
+
+
+def split_mixed(rows: DataFrame) -> DataFrame:
+    """EX2 on (file_id, tape_no, seg_id, start_us, end_us, speaker, raw_speaker_id, surname, text): the parts, numbered from 1; one row is one row where one person speaks."""
+    keep = ["file_id", "tape_no", "seg_id", "raw_speaker_id"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            parts = [M.split_speakers(t or "", s, n, int(x), int(y)) for t, s, n, x, y in zip(b["text"], b["speaker"], b["surname"], b["start_us"], b["end_us"], strict=True)]
+            many = b[keep].loc[b.index.repeat([len(p) for p in parts])].reset_index(drop=True)
+            flat = pd.DataFrame([(k + 1, len(p), *x) for p in parts for k, x in enumerate(p)], columns=["part", "n_parts", "speaker", "text", "start_us", "end_us"])
+            yield pd.concat([many, flat], axis=1)
+
+    shape = "file_id string, tape_no int, seg_id bigint, raw_speaker_id string, part int, n_parts int, speaker string, text string, start_us bigint, end_us bigint"
+    return rows.select(*keep, "start_us", "end_us", "speaker", "surname", "text").mapInPandas(run, shape)
+
+
+@query("ex2_mixed_speakers")
+def ex2(spark: SparkSession, d: str) -> DataFrame:
+    """Replicas in which two people speak, in parts with their speakers, shares of time and the labels of those speakers on the tape."""
+    r = segments(spark, d, "tape_no", "speaker", "raw_speaker_id", "text").filter("text is not null").join(surnames(spark, d), "file_id", "left")
+    r = split_mixed(r).filter("n_parts > 1").join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left")
+    return r.select("seg_id", "part", "speaker", F.coalesce("label_of_speaker", "raw_speaker_id").alias("raw_speaker_id"), "start_us", "end_us", "text")
+
+
+@query("ex5_sentence_times")
+def ex5(spark: SparkSession, d: str) -> DataFrame:
+    """The time of the first word of every sentence of a merged replica, along the word counts of all its members."""
+    kind = Y.ArrayType(Y.LongType())
+
+    def times(text: str, start: int, end: int, subs: str) -> list[int]:
+        said = [len(x.split()) for x in re.split(r"(?<=[.!?])\s+", text.strip())]
+        members = [(m["start_us"], m["end_us"], m["words"]) for m in json.loads(subs)]
+        return [int(M.time_of_word(sum(said[:k]), sum(said), int(start), int(end), members)) for k in range(len(said))]
+
+    r = wn8(spark, d).withColumn("subs", F.to_json("sub_segments"))
+    return map_text(r, times, ["text", "start_us", "end_us", "subs"], "times", kind).select("seg_id", F.posexplode("times").alias("sentence", "at_us"))
+
+
 @query("jn3_map_speaker")
 def jn3(spark: SparkSession, d: str) -> DataFrame:
     a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
@@ -147,15 +198,24 @@ def tx6(spark: SparkSession, d: str) -> DataFrame:
 
 @query("mg1_corrupted_gaps")
 def mg1(spark: SparkSession, d: str) -> DataFrame:
-    return map_text(trims(spark, d).filter("prev_text is not null"), lambda a, b: M.corrupted(a, [b]), ["text", "prev_text"], "corrupted", Y.BooleanType())
+    """Segments from gaps and whether they say again what the five texts before them said."""
+    r = with_running_sum(segments(spark, d, "text", "from_gap").filter("text is not null"), "file_id", ORDER, F.lit(1), "rn")
+    back = r.filter("from_gap").select("file_id", "seg_id", F.col("text").alias("gap"), F.explode(F.sequence(F.lit(1), F.lit(5))).alias("k"), "rn")
+    back = back.withColumn("rn", F.col("rn") - F.col("k")).join(r.select("file_id", "rn", "text"), ["file_id", "rn"])
+    told = back.groupBy("seg_id").agg(F.first("gap").alias("gap"), F.array_join(F.array_sort(F.collect_list(F.struct("rn", "text")))["text"], " ").alias("before"))
+    return map_text(told, lambda a, b: M.corrupted(a, [b]), ["gap", "before"], "corrupted", Y.BooleanType())
+
+
+@query("tx9_full_clean")
+def tx9(spark: SparkSession, d: str) -> DataFrame:
+    """TX9 and TX10: leadings, repeated sentences and endings off every text; texts of which nothing is left are dropped."""
+    return map_text(segments(spark, d, "text").filter("text is not null"), M.cleaned, ["text"]).filter("text <> ''")
 
 
 @query("ex4_ex6_timestamps")
 def ex4(spark: SparkSession, d: str) -> DataFrame:
     """Merged replicas longer than 30 s with clock marks put in."""
     r = wn8(spark, d).filter("end_us - start_us > 30000000").withColumn("subs", F.to_json("sub_segments"))
-    import json
-
     put = lambda t, s, e, x: M.with_timestamps(t, int(s), int(e), [(m["start_us"], m["end_us"], m["words"]) for m in json.loads(x)])
     return map_text(r, put, ["text", "start_us", "end_us", "subs"])
 

@@ -57,10 +57,10 @@ def prd1(spark: SparkSession, d: str) -> DataFrame:
     return texts(spark, d).select("seg_id", journalist(T(), F.col("nw")).alias("is_journalist"))
 
 
-@query("prd2_expert_phrase", "SELECT tx.seg_id, contains(t, lower(surname)) AS is_expert FROM tx JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) a ON a.file_id = tx.file_id", TXT)
+@query("prd2_expert_phrase", f"SELECT tx.seg_id, contains(t, lower(surname)) OR {some(X.EXPERT)} AS is_expert FROM tx JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) a ON a.file_id = tx.file_id", TXT)
 def prd2(spark: SparkSession, d: str) -> DataFrame:
     a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
-    return texts(spark, d).join(a, "file_id").select("seg_id", F.contains(T(), F.lower("surname")).alias("is_expert"))
+    return texts(spark, d).join(a, "file_id").select("seg_id", (F.contains(T(), F.lower("surname")) | any_hit(T(), X.EXPERT)).alias("is_expert"))
 
 
 def flag(name: str, column: str, ps: list[str], short: bool = False) -> None:
@@ -158,23 +158,67 @@ def cl1(spark: SparkSession, d: str) -> DataFrame:
     return r.select("seg_id", flips.alias("speaker"))
 
 
-@query("cl2_text_correction", f"SELECT tx.seg_id, CASE WHEN NOT {some(X.COMMANDS)} AND NOT {some(X.QUESTION)} AND regexp_matches(t, '^(меня зовут|я родился|я служил|в нашем полку)') AND speaker <> surname THEN surname ELSE speaker END AS speaker FROM tx JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) a ON a.file_id = tx.file_id", TXT)
+INTRO = f"""nr AS (SELECT seg.*, surname, lower(coalesce(text, '')) AS t, len(list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> '')) AS nw, row_number() OVER {W_FILE} AS rn, lower(trim(lead(coalesce(text, '')) OVER {W_FILE})) AS nt, CASE WHEN lag(speaker) OVER {W_FILE} = speaker THEN 0 ELSE 1 END AS b
+ FROM seg JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) USING (file_id)),
+ ns AS (SELECT *, sum(b) OVER {W_FILE} AS run FROM nr),
+ nm AS (SELECT *, min(start_us) OVER (PARTITION BY file_id, run) AS f, last_value(end_us) OVER (PARTITION BY file_id, run ORDER BY start_us, seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l FROM ns)"""
+SPARED = f"rn <= 2 OR {some(X.COMMANDS)} OR {some(X.QUESTION)} OR l - f > 60000000 OR ({some(X.ANNOUNCEMENT)} AND nw < {X.ANNOUNCEMENT_WORDS} AND coalesce({some(X.CONFIRMATION, 'nt')}, false))"
+
+
+@query("cl2_text_correction", f"SELECT seg_id, CASE WHEN speaker <> surname AND NOT ({SPARED}) AND (contains(t, lower(surname)) OR {some(X.INTRODUCTION)}) THEN surname ELSE speaker END AS speaker FROM nm", INTRO)
 def cl2(spark: SparkSession, d: str) -> DataFrame:
+    """Who introduces themselves as the expert is the expert, but for the first two rows, commands, questions, rows inside a run of more than 60 s, and announcements that the next row confirms.
+
+    Runs are taken before the pass changes any speaker."""
+    from tapeloom.operators.ordered import with_islands, with_neighbours, with_running_sum
+
     a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
-    intro = ~any_hit(T(), X.COMMANDS) & ~any_hit(T(), X.QUESTION) & T().rlike("^(меня зовут|я родился|я служил|в нашем полку)")
-    return texts(spark, d, "speaker").join(a, "file_id").select("seg_id", F.when(intro & (F.col("speaker") != F.col("surname")), F.col("surname")).otherwise(F.col("speaker")).alias("speaker"))
+    r = segments(spark, d, "speaker", "text").withColumn("text", F.coalesce("text", F.lit(""))).join(a, "file_id")
+    r = with_running_sum(with_neighbours(r, "file_id", ORDER, ["text"], before=None), "file_id", ORDER, F.lit(1), "rn")
+    r = with_islands(r, "file_id", ORDER, ["speaker"], F.coalesce(F.col("prev_speaker") != F.col("speaker"), F.lit(True)), "run")
+    span = r.groupBy("file_id", "run").agg((F.max_by("end_us", F.struct(*ORDER)) - F.min("start_us") > 60_000_000).alias("inside"))
+    r = r.join(span, ["file_id", "run"]).withColumns({"t": F.lower("text"), "nw": F.size(F.filter(F.split("text", " "), lambda x: x != ""))})
+    confirmed = any_hit(T(), X.ANNOUNCEMENT) & (F.col("nw") < X.ANNOUNCEMENT_WORDS) & F.coalesce(any_hit(F.lower(F.trim("next_text")), X.CONFIRMATION), F.lit(False))
+    spared = (F.col("rn") <= 2) | any_hit(T(), X.COMMANDS) | any_hit(T(), X.QUESTION) | F.col("inside") | confirmed
+    named = F.contains(T(), F.lower("surname")) | any_hit(T(), X.INTRODUCTION)
+    return r.select("seg_id", F.when((F.col("speaker") != F.col("surname")) & ~spared & named, F.col("surname")).otherwise(F.col("speaker")).alias("speaker"))
 
 
-SPLIT = "|".join(p.replace(r"\b", "") for p in X.SPLIT_COMMANDS)
+def _place(pattern: str) -> str:
+    """Where a pattern between word borders begins in t, null where it does not stand."""
+    out = r"[^\p{L}\p{N}_]"
+    core = rf"(?s)^((?:.*?{out})??)(?:{pattern.replace(chr(92) + 'b', '')})(?:$|{out})"
+    return f"CASE WHEN regexp_matches(t, '{core}') THEN length(regexp_extract(t, '{core}', 1)) + 1 END"
 
 
-@query("ex1_command_split", rf"SELECT seg_id, start_us + (end_us - start_us) // 2 AS mid_us, a AS n_before, b AS n_after FROM (SELECT *, len(list_filter(string_split(t[:p - 1], ' '), lambda x: x <> '')) AS a, len(list_filter(string_split(t[p:], ' '), lambda x: x <> '')) AS b FROM (SELECT *, strpos(t, regexp_extract(t, '{SPLIT}')) AS p FROM tx WHERE regexp_matches(t, '{SPLIT}') AND end_us >= start_us)) WHERE a > 3 AND b > 3", TXT)
+_AROUND = "CASE WHEN len(list_filter(string_split(substr(text, 1, p{0} - 1), ' '), lambda x: x <> '')) > 3 AND len(list_filter(string_split(substr(text, p{0}), ' '), lambda x: x <> '')) > 3 THEN p{0} END"
+COMMAND_AT = f"cm AS (SELECT *, coalesce({', '.join(_AROUND.format(i) for i in range(len(X.SPLIT_COMMANDS)))}) AS p FROM (SELECT seg.*, lower(text) AS t, {', '.join(f'{_place(q)} AS p{i}' for i, q in enumerate(X.SPLIT_COMMANDS))} FROM seg JOIN (SELECT file_id, max(surname) AS surname FROM audio_files GROUP BY file_id) USING (file_id) WHERE text IS NOT NULL AND speaker = surname))"
+
+
+@query("ex1_command_split", "SELECT seg_id, CAST(part AS INTEGER) AS part, CASE WHEN part = 1 THEN speaker ELSE 'Журналист' END AS speaker, CASE WHEN part = 1 THEN raw_speaker_id ELSE 'JOURNALIST_COMMAND' END AS raw_speaker_id, CASE WHEN part = 1 THEN start_us ELSE start_us + CAST(floor((end_us - start_us) / 2.0) AS BIGINT) END AS start_us, CASE WHEN part = 1 THEN start_us + CAST(floor((end_us - start_us) / 2.0) AS BIGINT) ELSE end_us END AS end_us, CASE WHEN part = 1 THEN trim(substr(text, 1, p - 1)) ELSE trim(substr(text, p)) END AS text FROM cm, (SELECT unnest([1, 2]) AS part) WHERE p IS NOT NULL", COMMAND_AT)
 def ex1(spark: SparkSession, d: str) -> DataFrame:
-    """Replicas split at a command of the journalist, both halves meeting at the middle of its time."""
-    r = texts(spark, d).filter(T().rlike(SPLIT) & (F.col("end_us") >= F.col("start_us"))).withColumn("p", F.expr(f"instr(t, regexp_extract(t, r'{SPLIT}', 0))"))
-    n = lambda c: F.size(F.filter(F.split(c, " "), lambda x: x != "")).cast("long")
-    r = r.withColumns({"n_before": n(F.expr("substr(t, 1, p - 1)")), "n_after": n(F.expr("substr(t, p)"))}).filter("n_before > 3 and n_after > 3")
-    return r.select("seg_id", F.expr("start_us + (end_us - start_us) div 2").alias("mid_us"), "n_before", "n_after")
+    """The two halves of the expert's replicas that hold a command of the journalist with more than three words on both sides; they meet at the middle of its time."""
+    a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
+    r = segments(spark, d, "speaker", "raw_speaker_id", "text").filter("text is not null").join(a, "file_id").filter("speaker = surname")
+    return command_halves(r)
+
+
+def command_halves(r: DataFrame, others: list[str] | None = None) -> DataFrame:
+    """EX1 on rows of the expert (seg_id, start_us, end_us, speaker, raw_speaker_id, text): the halves of those that are split."""
+    n = lambda c: F.size(F.filter(F.split(c, " "), lambda x: x != ""))
+    low = F.lower("text")
+    # the first command in the order of the list that has words enough around it
+    at = []
+    for p in X.SPLIT_COMMANDS:
+        k = F.when(hit(low, p), F.length(F.regexp_extract(low, "(?isuU)^(.*?)" + p, 1)) + 1)
+        at.append(F.when((n(F.substring("text", F.lit(1), k - 1)) > 3) & (n(F.substring("text", k, F.length("text"))) > 3), k))
+    r = r.withColumn("p", F.coalesce(*at)).filter("p is not null").withColumn("part", F.explode(F.array(F.lit(1), F.lit(2))))
+    first, mid = F.col("part") == 1, F.col("start_us") + F.floor((F.col("end_us") - F.col("start_us")) / 2.0).cast("long")
+    return r.select(
+        "seg_id", *(others or []), "part", F.when(first, F.col("speaker")).otherwise("Журналист").alias("speaker"), F.when(first, F.col("raw_speaker_id")).otherwise("JOURNALIST_COMMAND").alias("raw_speaker_id"),
+        F.when(first, F.col("start_us")).otherwise(mid).alias("start_us"), F.when(first, mid).otherwise(F.col("end_us")).alias("end_us"),
+        F.trim(F.when(first, F.substring("text", F.lit(1), F.col("p") - 1)).otherwise(F.substring("text", F.col("p"), F.length("text")))).alias("text"),
+    )
 
 
 # cleaning ---------------------------------------------------------------------------------------------------------
@@ -264,13 +308,16 @@ def tx4(spark: SparkSession, d: str) -> DataFrame:
     return r.select("seg_id", ((F.size("g") > 0) & (F.size(F.array_intersect("g", "n")) >= 0.5 * F.size("g"))).alias("restarts"))
 
 
-LIST_STOP = "[" + ", ".join(f"'{w}'" for w in X.STOP) + "]"
+LIST_STOP = "[" + ", ".join(f"'{w}'" for w in X.MERGE_STOP) + "]"
 
 
-@query("mg2_meaningful_words", rf"SELECT seg_id, len(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: length(x) > 3 AND NOT list_contains({LIST_STOP}, x))) AS n FROM tx", TXT)
+@query("mg2_meaningful_words", rf"SELECT seg_id, len(list_filter(w, lambda x: NOT list_contains({LIST_STOP}, x))) AS n_weighty, len(list_filter(w, lambda x: length(x) > 3 AND NOT list_contains({LIST_STOP}, x))) AS n_meaningful FROM (SELECT seg_id, list_filter(regexp_split_to_array(regexp_replace(t, '[.,!?;:«»\"''()\[\]]', '', 'g'), '[\s\p{{Z}}]+'), lambda x: x <> '') AS w FROM tx)", TXT)
 def mg2(spark: SparkSession, d: str) -> DataFrame:
-    stop = F.array(*[F.lit(w) for w in X.STOP])
-    return texts(spark, d).select("seg_id", F.size(F.filter(F.split(T(), r"[^\p{L}\p{N}]+"), lambda x: (F.length(x) > 3) & ~F.array_contains(stop, x))).cast("long").alias("n"))
+    """Words that are no stop words of the merge, and those of them longer than three letters."""
+    stop = F.array(*[F.lit(w) for w in X.MERGE_STOP])
+    w = F.filter(F.split(F.regexp_replace(T(), r"[.,!?;:«»\"'()\[\]]", ""), r"[\s\p{Z}]+"), lambda x: (x != "") & ~F.array_contains(stop, x))
+    r = texts(spark, d).withColumn("w", w)
+    return r.select("seg_id", F.size("w").cast("long").alias("n_weighty"), F.size(F.filter("w", lambda x: F.length(x) > 3)).cast("long").alias("n_meaningful"))
 
 
 # checks -----------------------------------------------------------------------------------------------------------

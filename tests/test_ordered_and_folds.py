@@ -61,7 +61,7 @@ def test_merge_parts_journalist_labels_and_keeps_longer_of_equal_texts():
     got = folds.merge_run([row(1, 0, 2, "Вопрос первый", "Журналист", "A"), row(2, 3, 4, "Вопрос второй", "Журналист", "B")])
     assert len(got) == 2
     got = folds.merge_run([row(1, 0, 5, "танки вышли к селу"), row(2, 4, 6, "танки вышли к селу.")])
-    assert [(r["text"], r["n"]) for r in got] == [("танки вышли к селу.", 2)]
+    assert [(r["text"], r["n"], r["sub_segments"][0]["end_us"]) for r in got] == [("танки вышли к селу.", 1, 6 * S)]
 
 
 def test_merge_in_spark_parts_speakers(spark):
