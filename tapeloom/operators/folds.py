@@ -108,19 +108,19 @@ def merge_run(rows: list[dict]) -> list[dict]:
         said = M.cleaned(M.without_loops(M.joined(texts)))
         if said:
             longest = max(members, key=lambda r: len(r["text"] or ""))
-            out.append({"file_id": first["file_id"], "seg_id": first["seg_id"], "start_us": first["start_us"], "end_us": end, "speaker": longest["speaker"], "raw_speaker_id": longest["raw_speaker_id"], "text": said, "n": len(members), "sub_segments": [{"start_us": r["start_us"], "end_us": r["end_us"], "words": len((r["text"] or "").split())} for r in members]})
+            out.append({"file_id": first["file_id"], "seg_id": first["seg_id"], "start_us": first["start_us"], "end_us": end, "speaker": longest["speaker"], "raw_speaker_id": longest["raw_speaker_id"], "tape_no": first.get("tape_no"), "text": said, "n": len(members), "sub_segments": [{"start_us": r["start_us"], "end_us": r["end_us"], "words": len((r["text"] or "").split())} for r in members]})
         i = j
     return out
 
 
-def merge_replicas(segments: DataFrame) -> DataFrame:
+def merge_replicas(segments: DataFrame, schema: str = REPLICA) -> DataFrame:
     """WN8 on (file_id, seg_id, start_us, end_us, speaker, raw_speaker_id, text, from_gap).
 
     A change of speaker ends a replica, and so does a start more than 5 s after all ends before it, whatever the rules have kept; groups part at both, so speech without such pauses bounds a group."""
     rows = with_greatest_before(segments, "file_id", ORDER, F.col("end_us"), "_reach")
     ends = (F.col("prev_speaker") != F.col("speaker")) | (F.col("start_us") - F.col("_reach") > 5_000_000)
     runs = with_islands(rows, "file_id", ORDER, ["speaker"], F.coalesce(ends, F.lit(True)), "run").drop("_reach")
-    return fold(runs, ["file_id", "run"], ORDER, merge_run, REPLICA)
+    return fold(runs, ["file_id", "run"], ORDER, merge_run, schema)
 
 
 # WN9, CL1, JN3 ----------------------------------------------------------------------------------------------------
@@ -139,13 +139,15 @@ def carry_run(rows: list[dict]) -> list[dict]:
         if rest := ". ".join(parts[:-1]).strip():
             texts[i] = rest + "."
         texts[i + 1] = f"{last} {texts[i + 1]}".strip()
-    return [{"seg_id": r["seg_id"], "text": t} for r, t in zip(rows, texts, strict=True)]
+    return [{**r, "text": t} for r, t in zip(rows, texts, strict=True)]
 
 
-def boundary_carry(segments: DataFrame) -> DataFrame:
-    """WN9 on (file_id, seg_id, start_us, end_us, speaker, surname, text): sentences move only over pauses of at most half a second, so longer ones part the groups."""
+def boundary_carry(segments: DataFrame, schema: str = "seg_id bigint, text string") -> DataFrame:
+    """WN9 on (file_id, seg_id, start_us, end_us, speaker, surname, text): sentences move only over pauses of at most half a second, so longer ones part the groups.
+
+    ``schema`` names the columns that come out."""
     near = with_islands(segments, "file_id", ORDER, ["end_us"], F.coalesce(F.col("start_us") - F.col("prev_end_us") > 500_000, F.lit(True)), "near")
-    return fold(near, ["file_id", "near"], ORDER, carry_run, "seg_id bigint, text string")
+    return fold(near, ["file_id", "near"], ORDER, carry_run, schema)
 
 
 def classify_run(rows: list[dict]) -> list[dict]:
@@ -162,7 +164,7 @@ def classify_run(rows: list[dict]) -> list[dict]:
                 speaker = r["surname"]
         if speaker != who:
             who, since = speaker, r["start_us"]
-        out.append({"seg_id": r["seg_id"], "speaker": speaker})
+        out.append({**r, "speaker": speaker})
     return out
 
 

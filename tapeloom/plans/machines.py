@@ -57,20 +57,27 @@ def wn9(spark: SparkSession, d: str) -> DataFrame:
     return folds.boundary_carry(segments(spark, d, "speaker", "text").join(surnames(spark, d), "file_id", "left"))
 
 
-@query("cl1_classification")
-def cl1(spark: SparkSession, d: str) -> DataFrame:
-    """The pass with its memory.
+def classified(r: DataFrame, schema: str = "seg_id bigint, speaker string") -> DataFrame:
+    """CL1 on (file_id, seg_id, start_us, end_us, speaker, surname, text): the pass with its memory; ``schema`` names the columns that come out.
 
     Groups part only where the speaker changes whatever the memory holds: between two rows that are no continuations and whose speakers differ."""
-    r = texts(spark, d, "speaker").join(surnames(spark, d), "file_id").withColumns({"j": score("j"), "s": score("s"), "continues": any_hit(F.col("t"), X.CONTINUATION_CLASSIFY)})
+    carried = [c.split()[0] for c in folds._columns(schema)]
+    r = r.withColumns({"t": F.lower("text"), "nw": F.size(F.filter(F.split("text", " "), lambda x: x != "")).cast("long")})
+    r = r.withColumns({"j": score("j"), "s": score("s"), "continues": any_hit(F.col("t"), X.CONTINUATION_CLASSIFY)})
     r = with_neighbours(r, "file_id", ORDER, ["end_us"], after=None).withColumnRenamed("prev_end_us", "prev_end")
     weighed = (F.col("nw") >= 5) & (F.col("speaker") != folds.OPERATOR)
     alone = F.when(weighed & (F.col("speaker") == F.col("surname")) & (F.col("j") - F.col("s") > 3), folds.JOURNALIST)
     alone = alone.when(weighed & (F.col("speaker") == folds.JOURNALIST) & (F.col("s") - F.col("j") > 3), F.col("surname")).otherwise(F.col("speaker"))
     r = r.withColumns({"alone": alone, "leans": F.coalesce(weighed & F.col("continues"), F.lit(False))})
     r = with_islands(r, "file_id", ORDER, ["alone", "leans"], F.coalesce(~F.col("prev_leans") & ~F.col("leans") & (F.col("prev_alone") != F.col("alone")), F.col("prev_leans").isNull()), "near")
-    r = r.select("file_id", "near", "start_us", "seg_id", "speaker", "surname", "nw", "j", "s", "continues", F.coalesce("prev_end", "start_us").alias("prev_end"))
-    return folds.fold(r, ["file_id", "near"], ORDER, folds.classify_run, "seg_id bigint, speaker string")
+    need = ["file_id", "near", "start_us", "seg_id", "speaker", "surname", "nw", "j", "s", "continues"]
+    r = r.select(*need, *[c for c in carried if c not in need], F.coalesce("prev_end", "start_us").alias("prev_end"))
+    return folds.fold(r, ["file_id", "near"], ORDER, folds.classify_run, schema)
+
+
+@query("cl1_classification")
+def cl1(spark: SparkSession, d: str) -> DataFrame:
+    return classified(texts(spark, d, "speaker").drop("t", "nw").join(surnames(spark, d), "file_id"))
 
 
 @query("cl1_labels_in_step")
@@ -83,7 +90,7 @@ def cl1_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split_mixed(rows: DataFrame) -> DataFrame:
-    """EX2 on (file_id, tape_no, seg_id, start_us, end_us, speaker, raw_speaker_id, surname, text): the parts, numbered from 1; one row is one row where one person speaks."""
+    """EX2 on (file_id, tape_no, seg_id, start_us, end_us, speaker, raw_speaker_id, surname, text), other columns carried along: the parts, numbered from 1; one row is one row where one person speaks."""
     keep = ["file_id", "tape_no", "seg_id", "raw_speaker_id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,7 +100,9 @@ def split_mixed(rows: DataFrame) -> DataFrame:
             flat = pd.DataFrame([(k + 1, len(p), *x) for p in parts for k, x in enumerate(p)], columns=["part", "n_parts", "speaker", "text", "start_us", "end_us"])
             yield pd.concat([many, flat], axis=1)
 
-    shape = "file_id string, tape_no int, seg_id bigint, raw_speaker_id string, part int, n_parts int, speaker string, text string, start_us bigint, end_us bigint"
+    extra = [f for f in rows.schema if f.name not in (*keep, "start_us", "end_us", "speaker", "surname", "text")]
+    keep += [f.name for f in extra]
+    shape = "file_id string, tape_no int, seg_id bigint, raw_speaker_id string, " + "".join(f"{f.name} {f.dataType.simpleString()}, " for f in extra) + "part int, n_parts int, speaker string, text string, start_us bigint, end_us bigint"
     return rows.select(*keep, "start_us", "end_us", "speaker", "surname", "text").mapInPandas(run, shape)
 
 
@@ -101,7 +110,7 @@ def split_mixed(rows: DataFrame) -> DataFrame:
 def ex2(spark: SparkSession, d: str) -> DataFrame:
     """Replicas in which two people speak, in parts with their speakers, shares of time and the labels of those speakers on the tape."""
     r = segments(spark, d, "tape_no", "speaker", "raw_speaker_id", "text").filter("text is not null").join(surnames(spark, d), "file_id", "left")
-    r = split_mixed(r).filter("n_parts > 1").join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left")
+    r = split_mixed(r.select("file_id", "tape_no", "seg_id", "start_us", "end_us", "speaker", "raw_speaker_id", "surname", "text")).filter("n_parts > 1").join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left")
     return r.select("seg_id", "part", "speaker", F.coalesce("label_of_speaker", "raw_speaker_id").alias("raw_speaker_id"), "start_us", "end_us", "text")
 
 

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.operators import speech_periods
-from tapeloom.plans import intervals, machines, more, texts, vocabulary
+from tapeloom.plans import intervals, machines, more, pipeline, texts, vocabulary
 from tapeloom.streaming import windows
 
 FLAGSHIP = "wn8_replica_islands"
 
-_MODULES: list = [intervals, texts, vocabulary, machines, more, windows]
+_MODULES: list = [intervals, texts, vocabulary, machines, more, pipeline, windows]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

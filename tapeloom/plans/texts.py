@@ -167,13 +167,19 @@ SPARED = f"rn <= 2 OR {some(X.COMMANDS)} OR {some(X.QUESTION)} OR l - f > 600000
 
 @query("cl2_text_correction", f"SELECT seg_id, CASE WHEN speaker <> surname AND NOT ({SPARED}) AND (contains(t, lower(surname)) OR {some(X.INTRODUCTION)}) THEN surname ELSE speaker END AS speaker FROM nm", INTRO)
 def cl2(spark: SparkSession, d: str) -> DataFrame:
-    """Who introduces themselves as the expert is the expert, but for the first two rows, commands, questions, rows inside a run of more than 60 s, and announcements that the next row confirms.
+    a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
+    r = segments(spark, d, "speaker", "text").withColumn("text", F.coalesce("text", F.lit(""))).join(a, "file_id")
+    return introduced(r).select("seg_id", "speaker")
+
 
+def introduced(r: DataFrame) -> DataFrame:
+    """CL2 on (file_id, seg_id, start_us, end_us, speaker, surname, text), other columns carried along.
+
+    Who introduces themselves as the expert is the expert, but for the first two rows, commands, questions, rows inside a run of more than 60 s, and announcements that the next row confirms.
     Runs are taken before the pass changes any speaker."""
     from tapeloom.operators.ordered import with_islands, with_neighbours, with_running_sum
 
-    a = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
-    r = segments(spark, d, "speaker", "text").withColumn("text", F.coalesce("text", F.lit(""))).join(a, "file_id")
+    own = r.columns
     r = with_running_sum(with_neighbours(r, "file_id", ORDER, ["text"], before=None), "file_id", ORDER, F.lit(1), "rn")
     r = with_islands(r, "file_id", ORDER, ["speaker"], F.coalesce(F.col("prev_speaker") != F.col("speaker"), F.lit(True)), "run")
     span = r.groupBy("file_id", "run").agg((F.max_by("end_us", F.struct(*ORDER)) - F.min("start_us") > 60_000_000).alias("inside"))
@@ -181,7 +187,7 @@ def cl2(spark: SparkSession, d: str) -> DataFrame:
     confirmed = any_hit(T(), X.ANNOUNCEMENT) & (F.col("nw") < X.ANNOUNCEMENT_WORDS) & F.coalesce(any_hit(F.lower(F.trim("next_text")), X.CONFIRMATION), F.lit(False))
     spared = (F.col("rn") <= 2) | any_hit(T(), X.COMMANDS) | any_hit(T(), X.QUESTION) | F.col("inside") | confirmed
     named = F.contains(T(), F.lower("surname")) | any_hit(T(), X.INTRODUCTION)
-    return r.select("seg_id", F.when((F.col("speaker") != F.col("surname")) & ~spared & named, F.col("surname")).otherwise(F.col("speaker")).alias("speaker"))
+    return r.withColumn("speaker", F.when((F.col("speaker") != F.col("surname")) & ~spared & named, F.col("surname")).otherwise(F.col("speaker"))).select(*own)
 
 
 def _place(pattern: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -37,9 +38,31 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + own
 
 
+_written: list[str] = []
+
+
+def forget(spark: SparkSession) -> None:
+    """Deletes the tables that ``cut`` wrote in this application; results that still read them are lost."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()  # noqa: SLF001 - the only way to the file system of the shared folder
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def _forget_at_end() -> None:
+    spark = SparkSession.getActiveSession() if _written else None
+    if spark is not None:
+        try:
+            forget(spark)
+        except Exception:  # noqa: BLE001 - the session is gone already; the folder's owner clears it
+            _written.clear()
+
+
 def cut(df: DataFrame, label: str = "cut", files: int | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: computed once, and executors may be lost afterwards."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tapeloom/{label}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
