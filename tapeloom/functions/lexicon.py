@@ -71,3 +71,12 @@ CHAPTER_LINK = r"^([a-zA-Z]*\d+|chapter\d*|part\d*|text\d*)\.html?$"
 URL_PATTERN = r"https?://[^\s\]>\"'<\)]+"
 WEIGHT_BANDS = [(0.5, 5), (0.2, 4), (0.05, 3), (0.01, 2)]
 VAD_STEPS = [(300, 0.65), (600, 0.70), (900, 0.75)]
+
+# cases of names and formations, brought back to the nominative one rule after the other: (pattern, replacement)
+CASE_ENDINGS = [
+    (r"(?<=\w)ского\b", "ский"), (r"(?<=\w)скому\b", "ский"), (r"(?<=\w)ским\b", "ский"), (r"(?<=\w)ском\b", "ский"), (r"(?<=\w)ской\b", "ская"), (r"(?<=\w)скую\b", "ская"), (r"(?<=\w)ского\b", "ское"),
+    (r"(?<=\w)ного\b", "ный"), (r"(?<=\w)ному\b", "ный"), (r"(?<=\w)ным\b", "ный"), (r"(?<=\w)ном\b", "ный"), (r"(?<=\w)ной\b", "ная"), (r"(?<=\w)ную\b", "ная"),
+    (r"\bарми(?:и|ю|ей|е|й)\b", "армия"), (r"\bфронта?\b", "фронт"), (r"\bфронт(?:у|ом|е)\b", "фронт"), (r"\bкорпус[ауоме]\b", "корпус"), (r"\bдивизи(?:и|ю|ей|е|й)\b", "дивизия"), (r"\bбригад[ыеуойою]\b", "бригада"),
+    (r"\bполк[ауоме]\b", "полк"), (r"\bбатальон[ауоме]\b", "батальон"), (r"\bфлот[ауоме]\b", "флот"), (r"\bокруг[ауоме]\b", "округ"), (r"\bштаб[ауоме]\b", "штаб"),
+    (r"([А-ЯЁ][а-яё]{3,})ого\b", r"\1"), (r"([А-ЯЁ][а-яё]{3,})ому\b", r"\1"), (r"([А-ЯЁ][а-яё]{3,})ым\b", r"\1"), (r"([А-ЯЁ][а-яё]{3,})ом\b", r"\1"), (r"([А-ЯЁ][а-яё]{3,})ему\b", r"\1"), (r"([А-ЯЁ][а-яё]{3,})ем\b", r"\1"),
+]

@@ -120,9 +120,10 @@ def clean_term(t: Column) -> Column:
 
 
 def normalize_case(t: Column) -> Column:
-    for a, b in (("дивизии", "дивизия"), ("бригады", "бригада"), ("армии", "армия"), ("роты", "рота")):
-        t = F.regexp_replace(t, f"(?iu){a}$", b)
-    return t
+    """TX15: the rules of the table one after the other, without regard to case."""
+    for p, to in X.CASE_ENDINGS:
+        t = F.regexp_replace(t, "(?iuU)" + p, to.replace("\\1", "$1"))
+    return F.trim(t)
 
 
 def normalize_term(t: Column) -> Column:
@@ -157,3 +158,22 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
     a, b = left.withColumn("k", without("w")), right.withColumn("k", without("v"))
     pairs = a.join(b, "k").select("w", "v").distinct()
     return pairs.withColumn("dist", F.levenshtein("w", "v")).filter(F.col("dist") <= most)
+
+
+# correctors: tokens of texts against the words of the dictionary
+
+# Cyrillic letters and what they are written as for distances counted in single signs.
+LETTERS = ("абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "abvgdeejzijklmnoprstufhc1234567890")
+VOWELS, VOICED, VOICELESS = "аеёиоуыэюяaeiouyäöü", "бдгвbdgv", "пткфptkf"
+
+
+def phonetic_key(word: Column) -> Column:
+    """VOC12: lower case, soft and hard signs gone, vowels after the first letter gone, voiced consonants as voiceless ones."""
+    low = F.translate(F.lower(word), "ьъ", "")
+    return F.translate(F.concat(F.substring(low, 1, 1), F.regexp_replace(F.substring(low, F.lit(2), F.length(low)), f"[{VOWELS}]", "")), VOICED, VOICELESS)
+
+
+def best_of(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """The candidate that corrects a word: the greatest weight, then the least distance, then the longest, then the first by its letters."""
+    rank = F.struct((-F.col("weight")).alias("a"), F.col("dist").alias("b"), (-F.length("v")).alias("c"), F.col("v").alias("d"))
+    return pairs.groupBy(*by).agg(F.min_by(F.struct("v", "dist", "weight"), rank).alias("x")).select(*by, "x.v", "x.dist", "x.weight")

@@ -81,12 +81,6 @@ def tx19(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).select("seg_id", hms(F.col("start_us")).alias("hms")).withColumn("sec", seconds_of(F.col("hms")))
 
 
-@query("voc7_frequency_weights", "SELECT v.term, coalesce(f.n, 0) AS n FROM (SELECT DISTINCT term FROM vocab WHERE term IS NOT NULL) v LEFT JOIN (SELECT term, count(*) AS n FROM terms GROUP BY 1) f ON f.term = v.term", TERMS)
-def voc7(spark: SparkSession, d: str) -> DataFrame:
-    f = terms(spark, d).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return read(spark, d, "vocab").select("term").filter("term is not null").distinct().join(f, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
-
-
 @query("voc8_url_audit", f"SELECT page_id, {PARSE} AS method, {PRIO} AS priority, CASE WHEN status_code IS NULL THEN 'error' WHEN status_code >= 400 THEN 'dead' ELSE 'live' END AS state FROM rkka WHERE url IS NOT NULL")
 def voc8(spark: SparkSession, d: str) -> DataFrame:
     u, s = F.col("url"), F.col("status_code")

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from tapeloom.functions import lexicon as X
 from tapeloom.functions.text import any_hit, hms, re2
 from tapeloom.operators import vocabulary as V
+from tapeloom.operators.term_counts import term_counts
 from tapeloom.plans.base import ORDER, SEG, TERMS, read, segments, terms
 from tapeloom.session import cut
 
@@ -74,7 +75,26 @@ per_term("prd22g_verb_inside", "verb", V.verb_inside, VERB)
 per_term("prd22h_sentence_fragment", "fragment", V.sentence_fragment, f"{NW} > 5 OR {VERB}")
 per_term("tx14_normalize_caps", "normal", V.normalize_caps, "array_to_string(list_transform(string_split(term, ' '), lambda x: CASE WHEN regexp_matches(x, '^\\p{Lu}{5,}$') THEN x[1] || lower(x[2:]) ELSE x END), ' ')")
 per_term("tx13_clean_term", "cleaned", V.clean_term, r"trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(term, '&\w+;|&#\d+;', ' ', 'g'), '\[[^\]]*\]', '', 'g'), '\([^A-Za-z)][^)]*\)', '', 'g'), '\s[—–-]\s', ' ', 'g'), '[«»\x22]|\s+', ' ', 'g')), '.,;: ')")
-per_term("tx15_normalize_case", "normal", V.normalize_case, r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(term, '(?i)дивизии$', 'дивизия'), '(?i)бригады$', 'бригада'), '(?i)армии$', 'армия'), '(?i)роты$', 'рота')")
+
+
+def _case_sql() -> str:
+    """The rules of TX15 for an engine without Unicode borders and looks behind; a border that two words share is given to the first, so such rules run twice."""
+    sql, other = "term", r"[^\p{L}\p{N}_]"
+    for p, to in X.CASE_ENDINGS:
+        body = p.removesuffix(r"\b")
+        if body.startswith("(?<="):
+            find, put = rf"([\p{{L}}\p{{N}}_]){body.partition(')')[2]}($|{other})", rf"\1{to}\2"
+        elif body.startswith(r"\b"):
+            find, put = rf"(^|{other}){body[2:]}($|{other})", rf"\1{to}\2"
+        else:
+            find, put = rf"{body}($|{other})", r"\1\2"
+        sql = f"regexp_replace({sql}, '(?i){find}', '{put}', 'g')"
+        if body.startswith(r"\b"):
+            sql = f"regexp_replace({sql}, '(?i){find}', '{put}', 'g')"
+    return f"trim({sql})"
+
+
+per_term("tx15_normalize_case", "normal", V.normalize_case, _case_sql())
 per_term("tx16_normalize_term", "normal", V.normalize_term, r"trim(regexp_replace(term, '\s+', ' ', 'g'))")
 REASON = f"CASE WHEN {DATES} THEN 'english date' WHEN {GEN} THEN 'genitive' WHEN NOT ({VALID}) THEN 'not valid' ELSE 'kept' END"
 per_term("voc5_reject_reason", "reason", V.reject_reason, REASON)
@@ -108,12 +128,15 @@ FREQ = "fr AS (SELECT lower(term) AS low, count(*) AS f FROM terms GROUP BY 1)"
 @query("ag9_weight_bands", "SELECT low, CAST(CASE WHEN f >= 0.5 * m THEN 5 WHEN f >= 0.2 * m THEN 4 WHEN f >= 0.05 * m THEN 3 WHEN f >= 0.01 * m THEN 2 ELSE 1 END AS INTEGER) AS weight FROM fr, (SELECT max(f) AS m FROM fr)", f"{TERMS}, {FREQ}")
 def ag9(spark: SparkSession, d: str) -> DataFrame:
     f = terms(spark, d).groupBy(F.lower("term").alias("low")).agg(F.count(F.lit(1)).alias("f"))
-    f.createOrReplaceTempView("tapeloom_freq")
-    bands = F
-    most = spark.table("tapeloom_freq").agg(F.max("f")).scalar()
+    return weighted(cut(f, "frequencies")).select("low", "weight")
+
+
+def weighted(f: DataFrame) -> DataFrame:
+    """AG9: f (low, f) with the weight of each term by its share of the greatest frequency."""
+    bands, most = F, F.col("most")
     for share, weight in X.WEIGHT_BANDS:
         bands = bands.when(F.col("f") >= share * most, weight)
-    return f.select("low", bands.otherwise(1).cast("int").alias("weight"))
+    return f.join(F.broadcast(f.agg(F.max("f").alias("most")))).withColumn("weight", bands.otherwise(1).cast("int")).drop("most")  # one row
 
 
 @query("ag11_raw_dict_stats", "SELECT category, source, count(*) AS n, count(DISTINCT lower(term)) AS n_distinct FROM terms GROUP BY 1, 2", TERMS)
@@ -131,11 +154,26 @@ def snk7(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "vocab").filter("term is not null and weight is not null").select(F.concat_ws(":", "term", F.col("weight").cast("string")).alias("line")).distinct()
 
 
-@query("jn14_frequency_in_corpus", r"SELECT v.term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[0-9]+-я [а-яё]+ [а-яё]+')) AS term FROM documents WHERE text IS NOT NULL) x JOIN (SELECT DISTINCT term FROM vocab) v ON v.term = x.term GROUP BY 1")
+CORPUS = "lv AS (SELECT DISTINCT lower(term) AS low FROM vocab WHERE term IS NOT NULL AND trim(term) <> ''), ct AS (SELECT low, CAST(sum((length(t) - length(replace(t, low, ''))) // length(low)) AS BIGINT) AS n FROM lv, (SELECT lower(text) AS t FROM documents WHERE text IS NOT NULL) WHERE contains(t, low) GROUP BY low)"
+
+
+@query("jn14_frequency_in_corpus", "SELECT low, n FROM ct", CORPUS)
 def jn14(spark: SparkSession, d: str) -> DataFrame:
-    """How often each unit of the dictionary is named: its shape finds candidates, an equi join counts them."""
-    cand = read(spark, d, "documents").filter("text is not null").select(F.explode(F.expr("regexp_extract_all(text, '[0-9]+-я [а-яё]+ [а-яё]+', 0)")).alias("term"))
-    return cand.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(read(spark, d, "vocab").select("term").distinct(), "term")
+    """How often each term of the dictionary stands in all texts, as a substring without regard to case."""
+    return term_counts(read(spark, d, "documents"), "text", read(spark, d, "vocab"))
+
+
+@query("voc7_frequency_weights", "SELECT term, f AS n, CAST(CASE WHEN f >= 0.5 * m THEN 5 WHEN f >= 0.2 * m THEN 4 WHEN f >= 0.05 * m THEN 3 WHEN f >= 0.01 * m THEN 2 ELSE 1 END AS INTEGER) AS weight FROM (SELECT v.term, coalesce(n, 1) AS f FROM (SELECT DISTINCT term FROM vocab WHERE term IS NOT NULL) v LEFT JOIN ct ON ct.low = lower(v.term)), (SELECT coalesce(max(n), 1) AS m FROM ct)", CORPUS)
+def voc7(spark: SparkSession, d: str) -> DataFrame:
+    """The weight of each term by its occurrences in the corpus; one that does not occur counts as if it did once."""
+    n = cut(jn14(spark, d), "counts")
+    v = read(spark, d, "vocab").filter("term is not null").select("term").distinct()
+    f = v.join(n, F.lower("term") == n.low, "left").select("term", F.coalesce("n", F.lit(1)).alias("f"))
+    bands, most = F, F.col("most")
+    for share, weight in X.WEIGHT_BANDS:
+        bands = bands.when(F.col("f") >= share * most, weight)
+    f = f.join(F.broadcast(n.agg(F.coalesce(F.max("n"), F.lit(1)).alias("most"))))  # one row
+    return f.select("term", F.col("f").alias("n"), bands.otherwise(1).cast("int").alias("weight"))
 
 
 # correctors -------------------------------------------------------------------------------------------------------
@@ -171,6 +209,97 @@ def voc12(spark: SparkSession, d: str) -> DataFrame:
     return w.withColumn("k", key("w")).join(v.withColumn("k", key("v")), "k").filter("w <> v").select("w", "v")
 
 
+# the same four layers over all words of all texts and the whole dictionary
+
+WORD = r"[\p{L}]+"
+LAYERS = rf"""dw AS (SELECT lower(v) AS k, max(v) AS v, max(weight) AS weight, bool_or(who) AS who FROM (SELECT unnest(regexp_extract_all(term, '{WORD}')) AS v, weight, category = 'person' AS who FROM vocab WHERE term IS NOT NULL UNION ALL SELECT unnest(regexp_extract_all(surname, '{WORD}')), 5, true FROM audio_files WHERE surname IS NOT NULL) WHERE length(v) >= 4 AND regexp_matches(v, '^\p{{Lu}}') GROUP BY 1),
+ tw AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{WORD}')) AS w FROM documents WHERE text IS NOT NULL) WHERE length(w) >= 4 GROUP BY 1),
+ uw AS (SELECT lower(w) AS w, CAST(sum(n) AS BIGINT) AS n FROM tw WHERE lower(w) NOT IN (SELECT k FROM dw) GROUP BY 1)"""
+_DIST = f"CAST(levenshtein(translate(w, '{V.LETTERS[0]}äöüß', '{V.LETTERS[1]}aous'), translate(k, '{V.LETTERS[0]}äöüß', '{V.LETTERS[1]}aous')) AS INTEGER)"
+
+
+def dictionary_words(spark: SparkSession, d: str) -> DataFrame:
+    """(k, v, weight, who): the capitalised words of the dictionary and the surnames, in lower case and as they are written; who: words of persons."""
+    word = lambda c: F.explode(F.expr(rf"regexp_extract_all({c}, '[\\p{{L}}]+', 0)"))
+    v = read(spark, d, "vocab").filter("term is not null").select(word("term").alias("v"), "weight", (F.col("category") == "person").alias("who"))
+    v = v.unionByName(read(spark, d, "audio_files").filter("surname is not null").select(word("surname").alias("v"), F.lit(5).alias("weight"), F.lit(True).alias("who")))
+    v = v.filter((F.length("v") >= 4) & F.col("v").rlike(r"^\p{Lu}"))
+    return v.groupBy(F.lower("v").alias("k")).agg(F.max("v").alias("v"), F.max("weight").alias("weight"), F.bool_or("who").alias("who"))
+
+
+def text_words(spark: SparkSession, d: str) -> DataFrame:
+    """(w, n): the words of four letters or more of all texts, as they are written."""
+    w = read(spark, d, "documents").filter("text is not null").select(F.explode(F.expr(r"regexp_extract_all(text, '[\\p{L}]+', 0)")).alias("w"))
+    return w.filter(F.length("w") >= 4).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unknown_words(spark: SparkSession, d: str, known: DataFrame) -> DataFrame:
+    low = text_words(spark, d).groupBy(F.lower("w").alias("w")).agg(F.sum("n").alias("n"))
+    return low.join(known.select(F.col("k").alias("w")), "w", "left_anti")
+
+
+@query("voc10_case_corrector", "SELECT w, v, n FROM tw JOIN dw ON lower(w) = k AND w <> v", LAYERS)
+def voc10_case(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the texts that the dictionary writes with other letter case."""
+    t, v = text_words(spark, d), dictionary_words(spark, d)
+    return t.join(v, (F.lower(t.w) == v.k) & (t.w != v.v)).select("w", "v", "n")
+
+
+def folded(c: str) -> Column:
+    """A word in single signs of ASCII, so that all engines count the same distance."""
+    return F.translate(F.col(c), V.LETTERS[0] + "äöüß", V.LETTERS[1] + "aous")
+
+
+def fuzzy(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(w, k, v, weight, who, dist): dictionary words within two edits of a word."""
+    near = V.fuzzy_pairs(words.select(folded("w").alias("w")).distinct(), known.select(folded("k").alias("v")).distinct())
+    near = near.withColumnsRenamed({"w": "fw", "v": "fk"})
+    return words.withColumn("fw", folded("w")).join(near, "fw").join(known.withColumn("fk", folded("k")), "fk").drop("fw", "fk")
+
+
+_BEST = "arg_min(v, (-weight, dist, -length(v), v)) AS v, arg_min(dist, (-weight, dist, -length(v), v)) AS dist"
+
+
+@query("voc11_dictionary_corrector", f"SELECT w, n, {_BEST} FROM (SELECT w, n, v, weight, {_DIST} AS dist FROM uw JOIN dw ON abs(length(w) - length(k)) <= 2) WHERE dist <= 2 GROUP BY w, n", LAYERS)
+def voc11_all(spark: SparkSession, d: str) -> DataFrame:
+    """Unknown words of the texts and the dictionary word within two edits that corrects each."""
+    known = cut(dictionary_words(spark, d), "dictionary")
+    return V.best_of(fuzzy(unknown_words(spark, d, known), known), ["w", "n"]).select("w", "n", "v", "dist")
+
+
+def _key_sql(c: str) -> str:
+    low = f"translate({c}, 'ьъ', '')"
+    return f"translate({low}[1] || regexp_replace({low}[2:], '[{V.VOWELS}]', '', 'g'), '{V.VOICED}', '{V.VOICELESS}')"
+
+
+@query("voc12_surname_corrector", f"SELECT w, n, {_BEST} FROM (SELECT w, n, v, weight, {_DIST} AS dist FROM (SELECT *, {_key_sql('w')} AS key FROM uw) JOIN (SELECT *, {_key_sql('k')} AS key FROM dw WHERE who) USING (key)) GROUP BY w, n", LAYERS)
+def voc12_all(spark: SparkSession, d: str) -> DataFrame:
+    """Unknown words that sound like the word of a person, and that word."""
+    known = cut(dictionary_words(spark, d), "dictionary")
+    pairs = unknown_words(spark, d, known).withColumn("key", V.phonetic_key(F.col("w"))).join(known.filter("who").withColumn("key", V.phonetic_key(F.col("k"))), "key")
+    return V.best_of(pairs.withColumn("dist", F.levenshtein(folded("w"), folded("k"))), ["w", "n"]).select("w", "n", "v", "dist")
+
+
+TITLES = rf"""ti AS (SELECT DISTINCT lower(p[1]) AS title, p[2] AS v, lower(p[2]) AS k, weight FROM (SELECT regexp_extract_all(term, '{WORD}(?:-{WORD})*') AS p, weight FROM vocab WHERE category = 'person') WHERE len(p) = 2),
+ bg AS (SELECT title, w, count(*) AS n FROM (SELECT lower(p[i]) AS title, lower(unnest(p[i + 1:i + 2])) AS w FROM (SELECT regexp_extract_all(text, '{WORD}(?:-{WORD})*') AS p FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(p))) AS i) WHERE lower(p[i]) IN (SELECT title FROM ti)) WHERE length(w) >= 4 GROUP BY 1, 2)"""
+
+
+@query("voc13_title_corrector", f"SELECT title, w, n, {_BEST} FROM (SELECT bg.title, w, n, v, weight, {_DIST} AS dist, {_key_sql('w')} = {_key_sql('k')} AS alike FROM bg JOIN ti ON ti.title = bg.title WHERE w <> k AND NOT EXISTS (SELECT 1 FROM ti t2 WHERE t2.k = bg.w)) WHERE dist <= 2 OR alike GROUP BY title, w, n", f"{LAYERS}, {TITLES}")
+def voc13_all(spark: SparkSession, d: str) -> DataFrame:
+    """Words one or two places after a title that are near, in letters or sound, to a person whom the dictionary names with that title; such a pair goes before a single word."""
+    word = r"[\\p{L}]+(?:-[\\p{L}]+)*"
+    t = read(spark, d, "vocab").filter("category = 'person'").select(F.expr(f"regexp_extract_all(term, '{word}', 0)").alias("p"), "weight").filter("size(p) = 2")
+    t = cut(t.select(F.lower(F.col("p")[0]).alias("title"), F.col("p")[1].alias("v"), F.lower(F.col("p")[1]).alias("k"), "weight").distinct(), "titles")
+    p = read(spark, d, "documents").filter("text is not null").select(F.expr(f"transform(regexp_extract_all(text, '{word}', 0), x -> lower(x))").alias("p"))
+    pairs = p.select(F.explode(F.expr("flatten(transform(p, (x, i) -> transform(slice(p, i + 2, 2), w -> struct(x as title, w as w))))")).alias("x")).select("x.title", "x.w").filter("length(w) >= 4")
+    pairs = pairs.join(t.select("title").distinct(), "title", "left_semi").groupBy("title", "w").agg(F.count(F.lit(1)).alias("n")).join(t.select(F.col("k").alias("w")), "w", "left_anti")
+    pairs = cut(pairs, "pairs")
+    near = fuzzy(pairs.select("w").distinct(), t.select("k").distinct()).select("w", "k")
+    alike = pairs.select("w").distinct().withColumn("key", V.phonetic_key(F.col("w"))).join(t.select("k").distinct().withColumn("key", V.phonetic_key(F.col("k"))), "key").select("w", "k")
+    found = pairs.join(near.unionByName(alike).distinct(), "w").join(t, ["title", "k"])
+    return V.best_of(found.withColumn("dist", F.levenshtein(folded("w"), folded("k"))), ["title", "w", "n"]).select("title", "w", "n", "v", "dist")
+
+
 @query("voc13_context_bigrams", r"SELECT rank, name, count(*) AS n FROM (SELECT lower(p[i]) AS rank, p[i + 1] AS name FROM (SELECT regexp_split_to_array(text, '[^\p{L}\p{N}]+') AS p FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(p))) AS i)) WHERE rank IN ('майор', 'капитан', 'полковник', 'старшина', 'лейтенант') AND regexp_matches(name, '^[А-ЯЁ]') GROUP BY 1, 2")
 def voc13(spark: SparkSession, d: str) -> DataFrame:
     """Rank and surname as neighbours: the bigrams that a corrector prefers."""
@@ -180,11 +309,11 @@ def voc13(spark: SparkSession, d: str) -> DataFrame:
     return r.filter(F.col("rank").isin("майор", "капитан", "полковник", "старшина", "лейтенант") & F.col("name").rlike("^[А-ЯЁ]")).groupBy("rank", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("voc14_alias_table", "SELECT s.seg_id, a.role_name FROM (SELECT seg_id, max(speaker) AS speaker FROM segments_merged WHERE seg_id IS NOT NULL GROUP BY 1) s JOIN (SELECT lower(alias) AS k, max(role_name) AS role_name FROM role_aliases GROUP BY 1) a ON a.k = lower(s.speaker)")
+@query("voc14_alias_table", "SELECT s.seg_id, a.role_name FROM seg s JOIN (SELECT lower(trim(alias)) AS k, max(role_name) AS role_name FROM role_aliases GROUP BY 1) a ON a.k = lower(trim(s.speaker))", SEG)
 def voc14(spark: SparkSession, d: str) -> DataFrame:
-    s = read(spark, d, "segments_merged").filter("seg_id is not null").groupBy("seg_id").agg(F.max("speaker").alias("speaker"))
-    a = read(spark, d, "role_aliases").groupBy(F.lower("alias").alias("k")).agg(F.max("role_name").alias("role_name"))
-    return s.join(a, F.lower("speaker") == F.col("k")).select("seg_id", "role_name")
+    """The role that the label of the valid delivery is another word for."""
+    a = read(spark, d, "role_aliases").groupBy(F.lower(F.trim("alias")).alias("k")).agg(F.max("role_name").alias("role_name"))
+    return segments(spark, d, "speaker").join(a, F.lower(F.trim("speaker")) == F.col("k")).select("seg_id", "role_name")
 
 
 # addresses and pages ----------------------------------------------------------------------------------------------

@@ -20,6 +20,7 @@ SCHEMAS = {
     "role_aliases": {"alias": pa.string(), "role_name": pa.string()},
     "rkka": {"page_id": pa.int64(), "url": pa.string(), "host": pa.string(), "html": pa.string(), "charset": pa.string(), "status_code": pa.int32(), "fetched_at": pa.timestamp("us")},
     "documents": {"doc_id": pa.int64(), "text": pa.string(), "lang": pa.string(), "source": pa.string(), "n_chars": pa.int64(), "doc_kind": pa.string(), "file_id": pa.string(), "added_at": pa.timestamp("us")},
+    "vocab": {"term": pa.string(), "weight": pa.int32(), "category": pa.string()},
     "pack_sizes": {"pack_id": pa.int32(), "tokenizer": pa.string(), "capacity": pa.int32()},
 }
 DAY = dt.datetime(2024, 1, 1)
