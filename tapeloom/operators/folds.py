@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import matching as M
 from tapeloom.operators.intervals import periods
-from tapeloom.operators.ordered import interval_join, with_greatest_before, with_islands, with_running_sum
+from tapeloom.operators.ordered import interval_join, with_greatest_before, with_islands, with_neighbours, with_running_sum
 from tapeloom.session import cut
 
 ORDER = ["start_us", "seg_id"]
@@ -168,6 +168,31 @@ def classify_run(rows: list[dict]) -> list[dict]:
     return out
 
 
+def context_run(rows: list[dict]) -> list[dict]:
+    """WN3: a very short row before a long one of another is the beginning of that; a short one between two of one speaker is theirs.  The row before counts as corrected."""
+    out, before = [], None
+    for r in rows:
+        who, raw, long = r["speaker"], r["raw_speaker_id"], r["end_us"] - r["start_us"]
+        after = r["next_speaker"]
+        if not r["edge"]:
+            prev = before or (r["prev_speaker"], r["prev_raw_speaker_id"])
+            if long < 1_000_000 and r["nw"] < 5 and r["next_long"] > 5_000_000 and after and who != after:
+                who, raw = after, r["next_raw_speaker_id"]
+            elif long < 3_000_000 and after and prev[0] == after and who != after:
+                who, raw = prev
+        before = (who, raw)
+        out.append({"seg_id": r["seg_id"], "speaker": who, "raw_speaker_id": raw})
+    return out
+
+
+def corrected_by_context(segments: DataFrame) -> DataFrame:
+    """WN3 on (file_id, seg_id, start_us, end_us, speaker, raw_speaker_id, nw): a row of 3 s or more never changes, so what it begins is a group of its own."""
+    r = with_neighbours(segments, "file_id", ORDER, ["start_us", "end_us", "speaker", "raw_speaker_id"])
+    r = r.withColumns({"edge": F.col("prev_end_us").isNull() | F.col("next_end_us").isNull(), "next_long": F.coalesce(F.col("next_end_us") - F.col("next_start_us"), F.lit(0)), "_fixed": F.when(F.col("end_us") - F.col("start_us") >= 3_000_000, 1).otherwise(0)})
+    r = with_running_sum(r, "file_id", ORDER, F.col("_fixed"), "near").drop("_fixed", "prev_start_us", "prev_end_us", "next_start_us", "next_end_us")
+    return fold(r, ["file_id", "near"], ORDER, context_run, "seg_id bigint, speaker string, raw_speaker_id string")
+
+
 def map_run(rows: list[dict]) -> list[dict]:
     """JN3: the same label after less than 2 s keeps the speaker; short patterns are the journalist's; else the role."""
     out, before, label, end = [], None, None, None

@@ -7,14 +7,16 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
+from pyspark.sql import Window as W
 
 from tapeloom.functions import lexicon as X
 from tapeloom.functions import matching as M
-from tapeloom.functions.text import any_hit
+from tapeloom.functions.text import any_hit, n_words
 from tapeloom.operators import folds
+from tapeloom.operators import vocabulary as V
 from tapeloom.operators.ordered import with_islands, with_neighbours, with_running_sum
 from tapeloom.plans.base import ORDER, pages, read, segments
 from tapeloom.plans.intervals import label_of, tape_roles
@@ -52,6 +54,13 @@ def wn8(spark: SparkSession, d: str) -> DataFrame:
     return folds.merge_replicas(segments(spark, d, "speaker", "raw_speaker_id", "text", "from_gap"))
 
 
+@query("wn3_context_speaker")
+def wn3(spark: SparkSession, d: str) -> DataFrame:
+    """The correction by context in sequence: a row sees the one before it as corrected."""
+    r = segments(spark, d, "speaker", "raw_speaker_id", "text").withColumn("nw", n_words(F.coalesce("text", F.lit(""))))
+    return folds.corrected_by_context(r.drop("text"))
+
+
 @query("wn9_boundary_carry")
 def wn9(spark: SparkSession, d: str) -> DataFrame:
     return folds.boundary_carry(segments(spark, d, "speaker", "text").join(surnames(spark, d), "file_id", "left"))
@@ -268,7 +277,13 @@ def voc1c(spark: SparkSession, d: str) -> DataFrame:
 
 @query("voc2a_authors")
 def voc2a(spark: SparkSession, d: str) -> DataFrame:
-    return page_terms(pages(spark, d)).filter(F.col("kind").isin("h4", "author", "center", "i") & F.col("term").rlike(r"^[А-ЯЁA-Z][\p{L}]+ [А-ЯЁA-Z]\.$")).select("page_id", F.col("term").alias("author")).distinct()
+    """Authors of pages: author lines, and what stands before a dash in the title or in the first headings, if it looks like a person."""
+    lines = page_terms(pages(spark, d))
+    named = lines.filter(F.col("kind").isin("h4", "author", "center", "i") & F.col("term").rlike(r"^[А-ЯЁA-Z][\p{L}]+ [А-ЯЁA-Z]\.$")).select("page_id", F.col("term").alias("author"))
+    heads = lines.filter(F.col("kind").isin("h1", "h2")).groupBy("page_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "term"))), 1, 3).alias("h")).select("page_id", F.explode("h.term").alias("x"))
+    titles = pages(spark, d).select("page_id", F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("x"))
+    first = titles.unionByName(heads).select("page_id", V.clean_term(F.split("x", r"\s+[-–—]\s+")[0]).alias("author"))
+    return named.unionByName(first.filter((F.col("author") != "") & V.looks_like_person(F.col("author")))).distinct()
 
 
 @query("voc2b_contents")
@@ -277,23 +292,56 @@ def voc2b(spark: SparkSession, d: str) -> DataFrame:
     return r.select("page_id", "pos", F.regexp_replace("term", r"^(?:Глава\s+)?[IVX\d]+[.)]\s*", "").alias("term"))
 
 
+# What a book's text is searched for; ranks are those of the lexicon, in any case.
+_RANK = "|".join(f"(?iu:{r})" for r in X.RANKS)
+PATTERNS = {
+    "rank": (rf"((?:{_RANK})(?:-\p{{Ll}}+)?\p{{Ll}}* \p{{Lu}}\p{{Ll}}+)", 1),
+    "quoted": (r"«([^»]{3,60})»", 1),
+    "unit": (r"(\d+-\p{Ll}+ (?:\p{Ll}+ ){0,3}(?:дивизи|бригад|полк|батальон|рот|арми|корпус|фронт|флот)\p{Ll}*)", 1),
+    "capital": (r"(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){1,4})", 1),
+}
+
+
+def pattern_terms(df: DataFrame, column: str) -> DataFrame:
+    """VOC2g: df with family, place and term of every hit in a text, ranks and units brought back to the nominative."""
+    one = lambda k, p, g: F.transform(F.regexp_extract_all(F.col(column), F.lit(p), g), lambda x, i: F.struct(F.lit(k).alias("family"), i.alias("place"), x.alias("term")))
+    r = df.withColumn("_hit", F.explode(F.concat(*[one(k, p, g) for k, (p, g) in PATTERNS.items()]))).drop(column)
+    term = F.col("_hit.term")
+    return r.select("*", "_hit.family", "_hit.place", F.when(F.col("_hit.family").isin("rank", "unit"), V.normalize_case(term)).otherwise(term).alias("term")).drop("_hit")
+
+
+def page_text() -> Column:
+    """The visible text of html: scripts, styles and tags out, character entities of blanks as blanks."""
+    bare = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<[^>]*>", " ")
+    return F.regexp_replace(bare, r"(?U)(?:&nbsp;|\s)+", " ")
+
+
 @query("voc2g_all_patterns")
 def voc2g(spark: SparkSession, d: str) -> DataFrame:
-    from tapeloom.plans import vocabulary as V
-
-    return V.QUERIES["voc2c_rank_names"](spark, d).withColumn("family", F.lit("rank")).unionByName(V.QUERIES["voc2d_quoted_terms"](spark, d).withColumn("family", F.lit("quoted"))).unionByName(V.QUERIES["voc2e_unit_names"](spark, d).withColumn("family", F.lit("unit"))).unionByName(V.QUERIES["voc2f_capital_sequences"](spark, d).withColumn("family", F.lit("capital")))
+    """How often each term of each family stands in documents and pages."""
+    r = read(spark, d, "documents").filter("text is not null").select("text").unionByName(pages(spark, d).select(page_text().alias("text")))
+    return pattern_terms(r, "text").groupBy("family", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("voc2h_book_crawl")
 def voc2h(spark: SparkSession, d: str) -> DataFrame:
-    """Index page to chapter pages of one host: links resolved against the page's address, joined with the pages that have it."""
+    """(page_id, low, term): the terms of a book: contents and authors of its index page, then what the patterns find in its first fifteen chapters; each term once without regard to case, the first place first.
+
+    An index page is one with links to chapters; links are resolved against its address and joined with the pages that have it."""
     from tapeloom.plans.vocabulary import links
 
     at = F.regexp_extract("url", r"^(https?://[^/]+(?:/[^?#]*/)?)", 1)
-    out = links(spark, d).filter(~F.col("href").rlike("^(#|mailto:|https?:|javascript:)"))
-    out = out.select("page_id", F.when(F.startswith("href", F.lit("/")), F.concat(F.regexp_extract("url", r"^(https?://[^/]+)", 1), "href")).otherwise(F.concat(at, "href")).alias("target")).distinct()
-    targets = read(spark, d, "rkka").filter("html is not null").select(F.regexp_replace("url", r"[?#].*$", "").alias("target"), F.col("page_id").alias("chapter"))
-    return out.join(targets, "target").select("page_id", "chapter").distinct()
+    out = links(spark, d).filter(~F.col("href").rlike("^(#|mailto:|https?:|javascript:)") & F.regexp_extract("href", "([^/]*)$", 1).rlike("(?i)" + X.CHAPTER_LINK))
+    out = out.withColumn("target", F.when(F.startswith("href", F.lit("/")), F.concat(F.regexp_extract("url", r"^(https?://[^/]+)", 1), "href")).otherwise(F.concat(at, "href")))
+    # links of a page are what its html holds, so this window is as small as a page
+    first = out.groupBy("page_id", "target").agg(F.min("pos").alias("pos")).withColumn("chapter", F.row_number().over(W.partitionBy("page_id").orderBy("pos"))).filter("chapter <= 15")
+    held = pages(spark, d).join(read(spark, d, "rkka").select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("target")), "page_id").groupBy("target").agg(F.max_by("html", "page_id").alias("html"))
+    chapters = pattern_terms(first.join(held, "target").select("page_id", "chapter", page_text().alias("text")), "text")
+    books = first.select("page_id").distinct()
+    own = voc2a(spark, d).select("page_id", F.lit("author").alias("family"), F.lit(0).alias("place"), F.col("author").alias("term"))
+    own = own.unionByName(voc2b(spark, d).select("page_id", F.lit("contents").alias("family"), F.col("pos").cast("int").alias("place"), "term")).join(books, "page_id", "left_semi").withColumn("chapter", F.lit(0))
+    every = own.unionByName(chapters.select("page_id", "family", "place", "term", "chapter"))
+    return every.filter("term <> ''").groupBy("page_id", F.lower("term").alias("low")).agg(F.min_by("term", F.struct("chapter", "family", "place", "term")).alias("term"))
 
 
 @query("voc3b_link_texts")

@@ -293,6 +293,22 @@ def tx11(spark: SparkSession, d: str) -> DataFrame:
     return texts(spark, d, "confidence").filter("confidence is not null").select("seg_id", F.when(F.col("confidence") < -0.35, masked).otherwise(F.col("text")).alias("text"))
 
 
+def mask_words(words: Column, least: float = 0.35, letters: int = 4) -> Column:
+    """TX11 on an array of (word, probability): words less sure than ``least``, of ``letters`` or more letters and figures, become a mark, and marks in a row one mark."""
+    doubtful = lambda w: F.coalesce(w["probability"] < least, F.lit(False)) & (F.length(F.regexp_replace(w["word"], r"[^\p{L}\p{N}_]", "")) >= letters)
+    masked = F.transform(F.filter(words, lambda w: F.coalesce(F.trim(w["word"]), F.lit("")) != ""), lambda w: F.when(doubtful(w), "[нрзб]").otherwise(F.trim(w["word"])))
+    # a mark that follows a mark is left out
+    kept = F.aggregate(masked, F.array().cast("array<string>"), lambda out, w: F.when((w == "[нрзб]") & F.coalesce(F.element_at(out, -1) == "[нрзб]", F.lit(False)), out).otherwise(F.concat(out, F.array(w))))
+    return F.array_join(kept, " ")
+
+
+@query("tx11_mask_words", r"SELECT seg_id, array_to_string([m[i] FOR i IN range(1, len(m) + 1) IF NOT (m[i] = '[нрзб]' AND i > 1 AND coalesce(m[i - 1], '') = '[нрзб]')], ' ') AS text FROM (SELECT seg_id, list_transform(list_filter(string_split(text, ' '), lambda x: trim(x) <> ''), lambda x: CASE WHEN exp(confidence) < 0.35 AND length(regexp_replace(x, '[^\p{L}\p{N}_]', '', 'g')) >= 4 THEN '[нрзб]' ELSE trim(x) END) AS m FROM tx WHERE confidence IS NOT NULL)", TXT)
+def tx11_words(spark: SparkSession, d: str) -> DataFrame:
+    """Doubtful words masked by their probability; the tables hold only the mean log probability of a segment, so that stands for each of its words."""
+    words = F.transform(F.split("text", " "), lambda x: F.struct(x.alias("word"), F.exp("confidence").alias("probability")))
+    return texts(spark, d, "confidence").filter("confidence is not null").select("seg_id", mask_words(words).alias("text"))
+
+
 @query("tx12_strip_timestamps", r"SELECT seg_id, trim(regexp_replace(text, '\s*\d{2}:\d{2}:\d{2}\s*', ' ', 'g')) AS text FROM tx", TXT)
 def tx12(spark: SparkSession, d: str) -> DataFrame:
     return texts(spark, d).select("seg_id", F.trim(F.regexp_replace("text", r"\s*\d{2}:\d{2}:\d{2}\s*", " ")).alias("text"))

@@ -502,23 +502,20 @@ def snk3(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d, "speaker", "text").filter("text is not null").select("file_id", "seg_id", F.concat(hms(F.col("start_us")), F.lit(" "), "speaker", F.lit(": "), "text").alias("line"))
 
 
-TRANSCRIPT = "file_id string, n_segments bigint, segments array<struct<start_us bigint, seg_id bigint, end_us bigint, speaker string, text string>>"
-
-
 def transcripts(spark: SparkSession, d: str) -> DataFrame:
-    """SNK1: one nested document for each tape of a recording, its segments in order."""
-    r = segments(spark, d, "speaker", "text")
-    return r.groupBy("file_id").agg(F.count(F.lit(1)).alias("n_segments"), F.sort_array(F.collect_list(F.struct("start_us", "seg_id", "end_us", "speaker", "text"))).alias("segments"))
+    """SNK1: one nested document for each tape of a recording, its segments in order; a tape bounds a document, however long the recording is."""
+    r = segments(spark, d, "tape_no", "speaker", "text")
+    return r.groupBy("file_id", "tape_no").agg(F.count(F.lit(1)).alias("n_segments"), F.sort_array(F.collect_list(F.struct("start_us", "seg_id", "end_us", "speaker", "text"))).alias("segments"))
 
 
 @query("snk1_src5_json_round_trip", "SELECT file_id, count(*) AS n_segments, min(start_us) AS first_us, arg_min(speaker, (start_us, seg_id)) AS first_speaker FROM seg GROUP BY 1", SEG)
 def snk1(spark: SparkSession, d: str) -> DataFrame:
-    """Transcripts written as JSON documents and read again with a fixed schema."""
+    """Transcripts of tapes written as JSON documents, read again with a fixed schema, and summed for each recording."""
     from tapeloom.sources.transcripts import read_transcripts, write_transcripts
 
-    path = write_transcripts(transcripts(spark, d))
-    r = read_transcripts(spark, path)
-    return r.select("file_id", "n_segments", F.col("segments")[0]["start_us"].alias("first_us"), F.col("segments")[0]["speaker"].alias("first_speaker"))
+    r = read_transcripts(spark, write_transcripts(transcripts(spark, d))).withColumn("first", F.col("segments")[0])
+    at = F.struct("first.start_us", "first.seg_id")
+    return r.groupBy("file_id").agg(F.sum("n_segments").alias("n_segments"), F.min("first.start_us").alias("first_us"), F.min_by("first.speaker", at).alias("first_speaker"))
 
 
 @query("src7_term_files", "SELECT term, count(*) AS n FROM terms GROUP BY 1", TERMS)

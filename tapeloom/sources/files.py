@@ -30,7 +30,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_txt(lines: DataFrame, path: str) -> None:
-    """(file_id, seg_id, line) as one ordered text per recording: heading, lines, ruler."""
-    order = F.sort_array(F.collect_list(F.struct("seg_id", "line")))
-    body = F.array_join(F.transform(order, lambda x: x["line"]), "\n")
-    lines.groupBy("file_id").agg(body.alias("body")).select(F.concat("file_id", F.lit("\n"), F.lit("=" * 60), F.lit("\n"), "body", F.lit("\n")).alias("value")).write.mode("overwrite").text(path)
+    """(file_id, start_us, seg_id, line) as texts below a folder for each recording: heading, ruler, lines in order.
+
+    Lines are sorted by range, not gathered: the parts of a recording, in the order of their names, are its text."""
+    head = lines.select("file_id").distinct().select("file_id", F.explode(F.array(F.struct(F.lit(0).alias("_k"), F.col("file_id").alias("line")), F.struct(F.lit(1).alias("_k"), F.lit("=" * 60).alias("line")))).alias("h"))
+    head = head.select("file_id", "h._k", F.lit(None).cast("long").alias("start_us"), F.lit(None).cast("long").alias("seg_id"), "h.line")
+    by = ["file_id", "_k", "start_us", "seg_id"]
+    rows = head.unionByName(lines.select("file_id", F.lit(2).alias("_k"), "start_us", "seg_id", "line"))
+    rows.repartitionByRange(*by).sortWithinPartitions(*by).select("file_id", F.col("line").alias("value")).write.mode("overwrite").partitionBy("file_id").text(path)
+
+
+def read_txt(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of such texts with their recording and part."""
+    return spark.read.text(path).select("file_id", F.col("value").alias("line"), F.element_at(F.split(F.input_file_name(), "/"), -1).alias("part"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.session import shared_folder
 
-SCHEMA = "file_id string, n_segments bigint, segments array<struct<start_us bigint, seg_id bigint, end_us bigint, speaker string, text string>>"
+SCHEMA = "file_id string, tape_no int, n_segments bigint, segments array<struct<start_us bigint, seg_id bigint, end_us bigint, speaker string, text string>>"
 
 
 def write_transcripts(df: DataFrame, path: str | None = None) -> str:
