@@ -119,7 +119,7 @@ def merge_replicas(segments: DataFrame, schema: str = REPLICA) -> DataFrame:
     A change of speaker ends a replica, and so does a start more than 5 s after all ends before it, whatever the rules have kept; groups part at both, so speech without such pauses bounds a group."""
     rows = with_greatest_before(segments, "file_id", ORDER, F.col("end_us"), "_reach")
     ends = (F.col("prev_speaker") != F.col("speaker")) | (F.col("start_us") - F.col("_reach") > 5_000_000)
-    runs = with_islands(rows, "file_id", ORDER, ["speaker"], F.coalesce(ends, F.lit(True)), "run").drop("_reach")
+    runs = with_islands(rows, "file_id", ORDER, ["speaker"], F.coalesce(ends, F.lit(True)), "run", using=["_reach"]).drop("_reach")
     return fold(runs, ["file_id", "run"], ORDER, merge_run, schema)
 
 
@@ -307,7 +307,9 @@ def with_hidden(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 def near_duplicates(segments: DataFrame, across: bool) -> DataFrame:
     """(file_id, removed, kept): DD1 (across speakers, nine rows) or DD2 (one speaker, ten rows), resolved cluster by cluster."""
     p = alike_pairs(segments, across, 9 if across else 10)
-    p = with_hidden(cut(p, "alike"), segments) if across else p
+    p = cut(p, "alike")  # the matcher runs once; pairs are read for the clusters and for their rows
+    if across:
+        p = with_hidden(p, segments)
     clusters = periods(p, ["file_id"], "ra", "rb", chunk_us=100_000).select("file_id", F.col("ra").alias("c_from"), F.col("rb").alias("c_to"))
     c = clusters.withColumn("bin", F.explode(F.sequence(F.expr("c_from div 1000"), F.expr("c_to div 1000"))))
     p = p.withColumn("bin", F.expr("ra div 1000")).join(c, ["file_id", "bin"]).filter("ra between c_from and c_to")

@@ -79,12 +79,37 @@ def with_last(df: DataFrame, key: str, order: list[str], value: Column, name: st
     return rows.withColumn(name, F.coalesce("_s", "_o")).drop("_v", "_c", "_s", "_o")
 
 
-def with_islands(df: DataFrame, key: str, order: list[str], columns: list[str], breaks: Column, name: str = "island", chunk: float = CHUNK_US) -> DataFrame:
-    """Adds the number of the island a row belongs to: a row begins one where ``breaks`` (over prev_ columns) is not false."""
-    rows = with_neighbours(df, key, order, columns, after=None, chunk=chunk)
-    rows = rows.withColumn("_b", F.when(breaks, 1).when(~breaks, 0).otherwise(1))
-    rows = with_running_sum(rows, key, order, F.col("_b"), name, chunk)
-    return rows.drop("_b", *[f"prev_{c}" for c in columns])
+def with_islands(df: DataFrame, key: str, order: list[str], columns: list[str], breaks: Column, name: str = "island", chunk: float = CHUNK_US, using: list[str] | None = None) -> DataFrame:
+    """Adds the number of the island a row belongs to: a row begins one where ``breaks`` (over prev_ columns) is not false.
+
+    ``breaks`` may read ``columns``, the order, ``using`` and prev_<column>.  One window over a chunk finds the breaks inside it;
+    the first row of a chunk meets the last of the chunk before in the summaries, which also count the islands begun before each chunk.
+    """
+    read = list(dict.fromkeys([*columns, *order, *(using or [])]))
+    rows = chunked(df, order[0], chunk)
+    inside = W.partitionBy(key, "_c").orderBy(*order)
+    packed = F.struct(*[F.col(c) for c in columns])
+    flag = F.when(breaks, 1).when(~breaks, 0).otherwise(1).cast("long")
+
+    def marked(r: DataFrame, before: str, column: str) -> DataFrame:
+        """Adds ``column``: the break of each row against the struct ``before``."""
+        r = r.withColumns({f"prev_{c}": F.col(before)[c] for c in columns})
+        return r.withColumn(column, flag).drop(*[f"prev_{c}" for c in columns])
+
+    def local(r: DataFrame) -> DataFrame:
+        r = marked(r.withColumns({"_p": F.lag(packed).over(inside), "_nr": F.row_number().over(inside)}), "_p", "_b")
+        # the first row of a chunk is judged with the chunk before
+        return r.withColumn("_b", F.when(F.col("_nr") == 1, 0).otherwise(F.col("_b"))).drop("_p")
+
+    few = local(rows.select(key, "_c", *[c for c in read if c != key]))
+    at = F.struct(*order)
+    ends = few.groupBy(key, "_c").agg(F.min_by(F.struct(*read), at).alias("_lo"), F.max_by(packed, at).alias("_hi"), F.sum("_b").alias("_in"))
+    ends = prefixed(ends, [key], "_c", {"_ph": ("last", "_hi")}).drop("_hi")
+    ends = marked(ends.select(key, "_c", "_in", "_ph", *[F.col("_lo")[c].alias(c) for c in read if c != key]), "_ph", "_fb")
+    ends = ends.select(key, "_c", "_fb", (F.col("_fb") + F.col("_in")).alias("_t"))
+    ends = prefixed(ends, [key], "_c", {"_o": ("sum", "_t")}).select(key, "_c", (F.col("_o") + F.col("_fb")).alias("_o"))
+    out = local(rows).withColumn("_s", F.sum("_b").over(inside.rowsBetween(W.unboundedPreceding, 0))).join(ends, [key, "_c"])
+    return out.withColumn(name, (F.col("_s") + F.col("_o")).cast("long")).drop("_b", "_nr", "_c", "_s", "_o")
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, bin_us: int = 60_000_000) -> DataFrame:

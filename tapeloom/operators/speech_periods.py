@@ -51,3 +51,19 @@ def p1_periods(spark: SparkSession, d: str) -> DataFrame:
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Periods of two or more segments and the silences, as TESTDATA.md defines them."""
     return p1_periods(spark, d).filter("kind = 'gap' or n_segs >= 2").drop("n_segs")
+
+
+def p1_label_periods(spark: SparkSession, d: str) -> DataFrame:
+    """Periods and silences by the labels as they are written, names not resolved: the same operator in a form that SQL can follow."""
+    rows = usable(valid_segments(spark, d, ["file_id", "start_us", "end_us", "speaker"])).filter("file_id is not null")
+    return speech_periods(rows.select("file_id", F.coalesce("speaker", F.lit("")).alias("name"), "start_us", "end_us"))
+
+
+_VALID = "va AS (SELECT seg_id, file_id, start_us, end_us, coalesce(speaker, '') AS speaker FROM (SELECT *, row_number() OVER (PARTITION BY seg_id ORDER BY loaded_at DESC NULLS LAST) AS rn FROM segments_merged WHERE seg_id IS NOT NULL) WHERE rn = 1 AND file_id IS NOT NULL AND start_us IS NOT NULL AND end_us >= start_us)"
+_REACH = "max(end_us) OVER (PARTITION BY {0} ORDER BY start_us, end_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+SQL = {
+    "p1_label_periods": f"WITH {_VALID}, ow AS (SELECT *, CASE WHEN start_us > {_REACH.format('file_id, speaker')} THEN 1 ELSE 0 END AS b FROM va), oi AS (SELECT *, sum(b) OVER (PARTITION BY file_id, speaker ORDER BY start_us, end_us ROWS UNBOUNDED PRECEDING) AS g FROM ow), "
+    f"gp AS (SELECT file_id, {_REACH.format('file_id')} AS s, start_us AS e FROM va) "
+    "SELECT 'period' AS kind, file_id, speaker, min(start_us) AS start_us, max(end_us) AS end_us, count(*) AS n_segs FROM oi GROUP BY file_id, speaker, g "
+    f"UNION ALL SELECT 'gap', file_id, '*', s, e, 0 FROM gp WHERE e - s > {GAP_LONGER_THAN_US} AND e - s <= {GAP_AT_MOST_US}"
+}

@@ -16,14 +16,14 @@ _MODULES: list = [intervals, texts, vocabulary, machines, more, pipeline, window
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": speech_periods.p1_found, "p1_periods": speech_periods.p1_periods}
+    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": speech_periods.p1_found, "p1_periods": speech_periods.p1_periods, "p1_label_periods": speech_periods.p1_label_periods}
     for m in _MODULES:
         out |= m.QUERIES
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
+    out: dict[str, str] = dict(speech_periods.SQL)
     for m in _MODULES:
         out |= m.SQL
     return out

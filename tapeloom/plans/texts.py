@@ -298,7 +298,7 @@ def mask_words(words: Column, least: float = 0.35, letters: int = 4) -> Column:
     doubtful = lambda w: F.coalesce(w["probability"] < least, F.lit(False)) & (F.length(F.regexp_replace(w["word"], r"[^\p{L}\p{N}_]", "")) >= letters)
     masked = F.transform(F.filter(words, lambda w: F.coalesce(F.trim(w["word"]), F.lit("")) != ""), lambda w: F.when(doubtful(w), "[нрзб]").otherwise(F.trim(w["word"])))
     # a mark that follows a mark is left out
-    kept = F.aggregate(masked, F.array().cast("array<string>"), lambda out, w: F.when((w == "[нрзб]") & F.coalesce(F.element_at(out, -1) == "[нрзб]", F.lit(False)), out).otherwise(F.concat(out, F.array(w))))
+    kept = F.aggregate(masked, F.array().cast("array<string>"), lambda out, w: F.when((w == "[нрзб]") & F.coalesce(F.try_element_at(out, F.lit(-1)) == "[нрзб]", F.lit(False)), out).otherwise(F.concat(out, F.array(w))))
     return F.array_join(kept, " ")
 
 
