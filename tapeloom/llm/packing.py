@@ -291,3 +291,14 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     out = bins.groupBy("pack_id").agg(F.count(F.lit(1)).alias("n_bins"), F.sum("n").alias("n_items"), F.sum("t").alias("n_tokens"), F.max("t").alias("most_in_bin")).join(sizes, "pack_id")
     out = out.withColumn("least_bins", F.ceil(F.col("n_tokens") / F.col("capacity")))
     return out.withColumn("fill", F.round(F.col("n_tokens") / (F.col("n_bins") * F.col("capacity")), 6)).drop("capacity")
+
+
+def p7_parts(spark: SparkSession, d: str) -> DataFrame:
+    """pack_id, doc_id, part, n_tokens of parts by characters in place of tokens: how texts are cut, in a form that SQL can follow."""
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    counts = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("chars"))
+    packs = sorted((r.pack_id, "chars", r.capacity) for r in spark.read.parquet(f"{d}/pack_sizes.parquet").select("pack_id", "capacity").filter("pack_id is not null and capacity > 0").distinct().collect())
+    return items(counts, packs)
+
+
+SQL = {"p7_parts": "SELECT pack_id, doc_id, CAST(part AS INTEGER) AS part, CAST(least(capacity, n - part * capacity) AS INTEGER) AS n_tokens FROM (SELECT doc_id, length(coalesce(text, '')) AS n FROM documents), (SELECT DISTINCT pack_id, capacity FROM pack_sizes WHERE pack_id IS NOT NULL AND capacity > 0), LATERAL (SELECT unnest(range(0, (n - 1) // capacity + 1)) AS part) WHERE n > 0"}

@@ -11,6 +11,7 @@ from tapeloom.llm import bpe, dom, garble, packing, residue, runs, turns
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": runs.p2_found,
     "p2_runs": runs.p2_runs,
+    "p2_label_runs": runs.p2_label_runs,
     "p3_found": garble.p3_found,
     "p3_repaired": garble.p3_repaired,
     "p4_found": turns.p4_found,
@@ -21,12 +22,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_round_trip": bpe.p6_round_trip,
     "p7_packed": packing.p7_packed,
     "p7_fill": packing.p7_fill,
+    "p7_parts": packing.p7_parts,
     "p8_found": residue.p8_found,
     "p8_reasons": residue.p8_reasons,
     "p8_kept": residue.p8_kept,
 }
 
-SQL: dict[str, str] = {}
+#: The parts of the problems that SQL can say; the rest is held by brute force, round trips and held-out labels in tests.
+SQL: dict[str, str] = runs.SQL | packing.SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

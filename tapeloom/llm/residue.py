@@ -291,3 +291,4 @@ def p8_kept(spark: SparkSession, d: str) -> DataFrame:
     """The documents without the cases, null and blank texts included."""
     docs = spark.read.parquet(f"{d}/documents.parquet")
     return docs.join(p8_found(spark, d), "doc_id", "left_anti").select("doc_id", "lang", "source", "n_chars")
+

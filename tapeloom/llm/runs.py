@@ -25,8 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeloom.operators.intervals import usable
 from tapeloom.operators.prefix import prefixed
-from tapeloom.operators.speech_periods import timed_and_named
+from tapeloom.operators.speech_periods import timed_and_named, valid_segments
 from tapeloom.session import cut
 
 #: Places of a chunk among all: partition number times PLACES plus its number in the partition.
@@ -130,3 +131,16 @@ def p2_runs(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return p2_runs(spark, d).filter("n_segs >= 2").select("file_id", "first_seg_id", "n_segs")
+
+
+def p2_label_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Runs by the labels as they are written, names not resolved: the same operator in a form that SQL can follow."""
+    rows = usable(valid_segments(spark, d, ["file_id", "start_us", "end_us", "speaker"])).filter("file_id is not null")
+    return runs(rows.withColumn("speaker", F.coalesce("speaker", F.lit(""))), "file_id", "speaker", ["start_us", "end_us", "seg_id"], "start_us", "end_us").withColumnRenamed("n", "n_segs")
+
+
+SQL = {
+    "p2_label_runs": "WITH va AS (SELECT seg_id, file_id, start_us, end_us, coalesce(speaker, '') AS speaker FROM (SELECT *, row_number() OVER (PARTITION BY seg_id ORDER BY loaded_at DESC NULLS LAST) AS rn FROM segments_merged WHERE seg_id IS NOT NULL) WHERE rn = 1 AND file_id IS NOT NULL AND start_us IS NOT NULL AND end_us >= start_us), "
+    "nb AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY start_us, end_us, seg_id) - row_number() OVER (PARTITION BY file_id, speaker ORDER BY start_us, end_us, seg_id) AS g FROM va) "
+    "SELECT file_id, speaker, arg_min(seg_id, (start_us, end_us, seg_id)) AS first_seg_id, count(*) AS n_segs, min(start_us) AS start_us, max(end_us) AS end_us, max(end_us) - min(start_us) AS duration FROM nb GROUP BY file_id, speaker, g"
+}
