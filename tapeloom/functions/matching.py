@@ -230,6 +230,12 @@ def trim_after(gap: str, before: str, most: int = 6) -> str:
     return gap
 
 
+def restarts(gap: str, following: str) -> bool:
+    """TX4: half or more of a gap's different words of four letters or more come again in the next text."""
+    mine, theirs = ({w for x in t.split() if len(w := x.lower().strip('.,!?;:«»"()-–—')) >= 4} for t in (gap, following))
+    return bool(mine) and len(mine & theirs) >= 0.5 * len(mine)
+
+
 def seam(tail: str, head: str) -> int:
     """DD5: how many words, 30 to 5, stand nearly alike at the end of one text and the beginning of the next."""
     a, b = tail.lower().split(), head.lower().split()

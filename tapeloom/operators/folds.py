@@ -9,6 +9,7 @@ and no call per group from the JVM.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -320,41 +321,42 @@ def near_duplicates(segments: DataFrame, across: bool) -> DataFrame:
 
 
 def align_section(rows: list[dict]) -> list[dict]:
-    """Two sorted lists of seconds: equal ones meet, else the first unused within 5 s; what is left stands alone."""
+    """Two sorted lists of whole seconds: equal ones meet, else the first unused within 5 s that has no equal; what is left stands alone."""
     de, ru = sorted({r["sec"] for r in rows if r["side"] == 0}), sorted({r["sec"] for r in rows if r["side"] == 1})
-    used: set[int] = set()
+    equal, used = set(de) & set(ru), set()
     out, part = [], rows[0]["part"]
-    free = set(ru)
     for s in de:
-        hit = s if s in free and s not in used else next((x for x in ru if x not in used and abs(x - s) <= 5 and x not in de), None)
-        if hit is not None:
-            used.add(hit)
+        near = range(bisect_left(ru, s - 5), bisect_right(ru, s + 5))
+        hit = s if s in equal else next((ru[k] for k in near if ru[k] not in used and ru[k] not in equal), None)
+        used.add(hit)
         out.append({"part": part, "de_sec": s, "ru_sec": hit})
-    out += [{"part": part, "de_sec": None, "ru_sec": x} for x in ru if x not in used]
-    return [{k: None if v is None else v for k, v in r.items()} for r in out]
+    return out + [{"part": part, "de_sec": None, "ru_sec": x} for x in ru if x not in used]
 
 
 # JN8 --------------------------------------------------------------------------------------------------------------
 
 
 def fill_run(rows: list[dict]) -> list[dict]:
-    """Filled gaps in order: clamped to the gap before and the row after, too short ones dropped, texts trimmed at both seams."""
+    """Filled gaps in order: clamped to the gap before and the row after, too short ones dropped, texts trimmed at both seams, restarts of the next text dropped.
+
+    Who speaks: the neighbours decide, then the role that most of the time overlaps for more than a second, then the interviewer's words, then a next text that is nearly the same."""
     out, last = [], None
     for r in rows:
         start, end, text = r["start_us"], r["end_us"], (r["text"] or "").strip()
+        following = None if r["next_start"] is None or r["next_start"] != r["next_start"] else int(r["next_start"])
         if len(set(text.lower())) < 3:
             continue
         if last is not None and start < last + 500_000:
-            start = last + 500_000
-        if r["next_start"] == r["next_start"] and r["next_start"] is not None and end > r["next_start"] - 500_000:
-            end = int(r["next_start"]) - 500_000
+            start = last
+        if following is not None and end > following - 500_000:
+            end = following
         if end - start < 1_000_000:
             continue
         text = M.trim_after(M.trim_before(text, r["next_text"] or "", 7), r["prev_text"] or "")
-        if not text:
+        if not text.strip() or M.restarts(text, r["next_text"] or ""):
             continue
-        who = r["decided"]
-        if r["next_text"] and M.similarity(text, r["next_text"]) > 0.70:
+        who = JOURNALIST if M.journalist_says(text) else r["dominant"] or r["decided"]
+        if r["next_text"] and r["next_speaker"] and M.similarity(text, r["next_text"]) > 0.70:
             who = r["next_speaker"]
         last = end
         out.append({"seg_id": r["seg_id"], "start_us": start, "end_us": end, "speaker": who, "text": text})

@@ -19,7 +19,7 @@ from tapeloom.operators import folds
 from tapeloom.operators import vocabulary as V
 from tapeloom.operators.ordered import with_islands, with_neighbours, with_running_sum
 from tapeloom.plans.base import ORDER, pages, read, segments
-from tapeloom.plans.intervals import label_of, tape_roles
+from tapeloom.plans.intervals import jn4, label_of, tape_roles
 from tapeloom.plans.texts import score, texts, txt_blocks
 
 QUERIES: dict = {}
@@ -151,7 +151,8 @@ def jn8(spark: SparkSession, d: str) -> DataFrame:
     r = with_neighbours(segments(spark, d, "speaker", "text", "from_gap"), "file_id", ORDER, ["start_us", "end_us", "speaker", "text"])
     p, n = F.col("prev_speaker"), F.col("next_speaker")
     r = r.withColumn("decided", F.when(p == n, p).otherwise(F.coalesce(n, p, F.lit("Неизвестно"))))
-    r = r.filter("from_gap").select("file_id", "start_us", "seg_id", "end_us", "text", "prev_text", "next_text", "next_speaker", "decided", F.col("next_start_us").alias("next_start"))
+    r = r.filter("from_gap").join(jn4(spark, d).select("seg_id", F.col("role").alias("dominant")), "seg_id", "left")
+    r = r.select("file_id", "start_us", "seg_id", "end_us", "text", "prev_text", "next_text", "next_speaker", "decided", "dominant", F.col("next_start_us").alias("next_start"))
     near = with_islands(r, "file_id", ORDER, ["end_us"], F.coalesce(F.col("start_us") - F.col("prev_end_us") > 1_000_000, F.lit(True)), "near")
     return folds.fold(near, ["file_id", "near"], ORDER, folds.fill_run, "seg_id bigint, start_us bigint, end_us bigint, speaker string, text string")
 
@@ -241,7 +242,7 @@ def ex4(spark: SparkSession, d: str) -> DataFrame:
 @query("jn10_bilingual")
 def jn10(spark: SparkSession, d: str) -> DataFrame:
     b = txt_blocks(read(spark, d, "documents").filter("doc_kind = 'narration'")).filter("section is not null")
-    b = b.join(read(spark, d, "documents").select("doc_id", "lang").distinct(), "doc_id").filter("lang in ('de', 'ru')")
+    b = b.join(read(spark, d, "documents").select("doc_id", F.lower(F.substring(F.trim("lang"), 1, 2)).alias("lang")).distinct(), "doc_id").filter("lang in ('de', 'ru')")
     b = b.select(F.split("section", " ")[0].alias("part"), "sec", F.when(F.col("lang") == "ru", 1).otherwise(0).alias("side")).distinct()
     r = folds.fold(b, ["part"], ["side", "sec"], folds.align_section, "part string, de_sec double, ru_sec double")
     return r.select("part", F.col("de_sec").cast("long"), F.col("ru_sec").cast("long"))

@@ -366,14 +366,6 @@ def qa3(spark: SparkSession, d: str) -> DataFrame:
     return r.select("seg_id", F.size(F.filter(z, lambda x: (x["a"] == x["b"]) & (F.length(x["a"]) >= 3))).cast("long").alias("n")).filter("n > 0")
 
 
-@query("qa4_checklist", r"SELECT '1' AS item, count(*) AS n FROM tx WHERE end_us - start_us > 30000000 AND NOT regexp_matches(text, '\d{2}:\d{2}:\d{2}') UNION ALL SELECT '3', count(*) FROM tx WHERE contains(text, '[нрзб]') UNION ALL SELECT '5', count(*) FROM tx WHERE end_us < start_us UNION ALL SELECT '7', count(*) FROM tx WHERE confidence < -0.20", TXT)
-def qa4(spark: SparkSession, d: str) -> DataFrame:
-    c = lambda k, e: F.struct(F.lit(k).alias("item"), F.count_if(e).alias("n"))
-    dur = F.col("end_us") - F.col("start_us")
-    r = texts(spark, d, "confidence").agg(F.array(c("1", (dur > 30_000_000) & ~F.col("text").rlike(r"\d{2}:\d{2}:\d{2}")), c("3", F.contains("text", F.lit("[нрзб]"))), c("5", dur < 0), c("7", F.col("confidence") < -0.20)).alias("x"))
-    return r.select(F.explode("x").alias("x")).select("x.*")
-
-
 @query("ag12_phrase_metrics", "SELECT source, CAST(sum(len(regexp_extract_all(text, 'потому что'))) AS BIGINT) AS n_because, count(*) FILTER (WHERE contains(lower(text), 'журнал')) AS n_journal FROM documents WHERE text IS NOT NULL GROUP BY source")
 def ag12(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").filter("text is not null").groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("потому что"))).cast("long").alias("n_because"), F.count_if(F.contains(F.lower("text"), F.lit("журнал"))).alias("n_journal"))
@@ -400,10 +392,10 @@ def txt_blocks(docs: DataFrame) -> DataFrame:
 BI = f"{BLOCKS}, bb AS (SELECT DISTINCT lang, section, sec FROM (SELECT d.lang, b.doc_id, section, CAST(ts[1:2] AS BIGINT) * 3600 + CAST(ts[4:5] AS BIGINT) * 60 + CAST(ts[7:8] AS BIGINT) AS sec FROM (SELECT doc_id, ts, last_value(sec IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos) AS section FROM b2) b JOIN (SELECT DISTINCT doc_id, lang FROM documents) d ON d.doc_id = b.doc_id WHERE ts <> '') WHERE section IS NOT NULL)"
 
 
-@query("jn10_bilingual_exact", "SELECT coalesce(a.part, b.part) AS part, coalesce(a.sec, b.sec) AS sec, a.sec IS NOT NULL AS has_de, b.sec IS NOT NULL AS has_ru FROM (SELECT DISTINCT split_part(section, ' ', 1) AS part, sec FROM bb WHERE lang = 'de') a FULL JOIN (SELECT DISTINCT split_part(section, ' ', 1) AS part, sec FROM bb WHERE lang = 'ru') b ON a.part = b.part AND a.sec = b.sec", BI)
+@query("jn10_bilingual_exact", "SELECT coalesce(a.part, b.part) AS part, coalesce(a.sec, b.sec) AS sec, a.sec IS NOT NULL AS has_de, b.sec IS NOT NULL AS has_ru FROM (SELECT DISTINCT split_part(section, ' ', 1) AS part, sec FROM bb WHERE lower(left(trim(lang), 2)) = 'de') a FULL JOIN (SELECT DISTINCT split_part(section, ' ', 1) AS part, sec FROM bb WHERE lower(left(trim(lang), 2)) = 'ru') b ON a.part = b.part AND a.sec = b.sec", BI)
 def jn10(spark: SparkSession, d: str) -> DataFrame:
     """Sections of two languages side by side, joined where their seconds are equal; jn10_bilingual has the tolerance."""
     b = txt_blocks(read(spark, d, "documents").filter("doc_kind = 'narration'")).filter("section is not null")
-    b = b.join(read(spark, d, "documents").select("doc_id", "lang").distinct(), "doc_id")
+    b = b.join(read(spark, d, "documents").select("doc_id", F.lower(F.substring(F.trim("lang"), 1, 2)).alias("lang")).distinct(), "doc_id")
     side = lambda x, n: b.filter(F.col("lang") == x).select(F.split("section", " ")[0].alias("part"), "sec").distinct().withColumn(n, F.lit(True))
     return side("de", "has_de").join(side("ru", "has_ru"), ["part", "sec"], "full_outer").select("part", "sec", F.coalesce("has_de", F.lit(False)).alias("has_de"), F.coalesce("has_ru", F.lit(False)).alias("has_ru"))

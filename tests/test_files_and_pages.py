@@ -90,3 +90,41 @@ def test_readers_find_what_pages_hold(spark, book, name):
     said = {str(x) for r in entry.queries()[name](spark, book).collect() for x in r}
     want = {"voc1b_element_terms": "Нижняя Коса", "voc1c_combined_terms": "Нижняя Коса", "voc2a_authors": "Петров", "voc2b_contents": "Первые дни", "voc2g_all_patterns": "Марат", "voc3b_link_texts": "Зимой", "voc3c_page_terms": "Нижняя Коса", "voc3d_directory_terms": "Нижняя Коса"}[name]
     assert any(want in x for x in said), said
+
+
+def test_paragraphs_with_sticky_categories(spark):
+    from tapeloom.plans.more import paragraph_urls
+
+    said = ["см. http://a.example/0.", "", "КАТЕГОРИЯ 3б: Форма,  обмундирование. --- прочее", 'Там http://a.example/1, и (http://a.example/2) и "http://a.example/1"', None, "категория 4 — Карты", "http://a.example/1; http://b.example/${id}"]
+    df = spark.createDataFrame([("d", i, t) for i, t in enumerate(said)] + [("e", 0, "http://a.example/9")], "doc_id string, pos long, text string")
+    got = sorted((r.doc_id, r.pos, r.category_id, r.category_name, r.url, r.is_template) for r in paragraph_urls(df).collect())
+    assert got == [
+        ("d", 0, "UNKNOWN", "Unknown", "http://a.example/0", False), ("d", 3, "3Б", "Форма, обмундирование", "http://a.example/1", False), ("d", 3, "3Б", "Форма, обмундирование", "http://a.example/2", False),
+        ("d", 6, "4", "Карты", "http://a.example/1", False), ("d", 6, "4", "Карты", "http://b.example/${id}", True), ("e", 0, "UNKNOWN", "Unknown", "http://a.example/9", False),
+    ]
+
+
+def test_marks_of_logs(spark):
+    from tapeloom.plans.more import log_marks
+
+    lines = ["🔁 LOOP x 🔁 LOOP", "GAP_FILLED", "✅ Добавлено из gaps: 3", "⏱️ 00:01 сдвиг +2.0", None]
+    got = log_marks(spark.createDataFrame([("a", t) for t in lines], "k string, line string"), "k", "line").first()
+    assert (got.loops, got.gaps_filled, got.shifts) == (2, 2, 1)
+
+
+def gap(i, start, end, text, prev="", following="", speaker="A", next_start=None, decided="A", dominant=None):
+    return {"seg_id": i, "start_us": int(start * S), "end_us": int(end * S), "text": text, "prev_text": prev, "next_text": following, "next_speaker": speaker, "next_start": next_start and int(next_start * S), "decided": decided, "dominant": dominant}
+
+
+def test_filled_gaps_are_clamped_trimmed_and_attributed():
+    run = lambda *rows: [(r["seg_id"], r["start_us"] / S, r["end_us"] / S, r["speaker"], r["text"]) for r in folds.fill_run(list(rows))]
+    assert run(gap(1, 0, 5, "полк вышел утром", next_start=5.2), gap(2, 5.3, 9, "рота пошла лесом")) == [(1, 0, 5.2, "A", "полк вышел утром"), (2, 5.2, 9, "A", "рота пошла лесом")]
+    assert run(gap(1, 0, 0.9, "полк вышел утром"), gap(2, 2, 5, "ааа"), gap(3, 6, 9, "")) == []
+    assert run(gap(1, 0, 5, "стояли танки у реки", following="у реки стояли другие танки")) == []  # a restart of what follows
+    assert run(gap(1, 0, 5, "расскажите о полке", decided="B", dominant="C"))[0][3] == "Журналист" and run(gap(1, 0, 5, "полк шёл", dominant="C"))[0][3] == "C"
+    assert run(gap(1, 0, 5, "полк шёл к реке", prev="утром полк шёл"))[0][4] == "к реке"
+
+
+def test_tolerance_join_takes_each_second_once():
+    rows = [{"part": "1", "sec": s, "side": k} for k, s in [(0, 10), (0, 12), (0, 30), (0, 41), (1, 11), (1, 12), (1, 36), (1, 44), (1, 46)]]
+    assert {(r["de_sec"], r["ru_sec"]) for r in folds.align_section(rows)} == {(10, 11), (12, 12), (30, None), (41, 36), (None, 44), (None, 46)}
