@@ -20,7 +20,7 @@ import pyarrow.parquet as pq
 
 from tapeloom.llm import turns as t
 
-SAMPLE, ROUNDS, BATCH, EXCHANGED = 120_000, 8, 64, 0.2
+SAMPLE, ROUNDS, BATCH, EXCHANGED = 120_000, 12, 64, 0.2
 # Hesitation sounds.
 HESITATION = re.compile(r"(?:э+|э+-э+|м{2,}|м(?:-м)+|а(?:-а)+|хм+|эм+|[äö]+h+m*|h+m+|mhm|uh+m*|erm+|um+|er)\Z")
 # Words and phrases put in without meaning.
@@ -126,9 +126,9 @@ def examples(folder: str, known: t.Tokens) -> tuple[list[tuple], list[tuple]]:
         r = rows[k]
         if not r["text"]:
             continue
-        # English texts with another hesitation are taught with "um" and "er" too; notes may be followed by a caption
+        # English texts are few: one with a hesitation is taught with the others too; notes may be followed by a caption
         name = surname.get((r["file_id"], r["tape_no"]))
-        more = [re.sub(r"\b(?:uh|uhm|erm|hmm)\b", w, r["text"]) for w in ("um", "er")]
+        more = [re.sub(r"\b(?:uh|uhm|erm|hmm)\b", w, r["text"]) for w in ("um", "er", "uhm", "uh", "erm", "hmm")]
         if rng.random() < 0.02 and name:
             more.append(f"[тихий смех] {'[кашель] ' if rng.random() < 0.5 else ''}{name}: {r['text']}")
         # German texts in which "er" and "um" are words

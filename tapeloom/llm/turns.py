@@ -54,7 +54,7 @@ PAIRS = [("[", "]"), ("(", ")"), ("{", "}"), ("<", ">"), ("((", "))"), ("/", "/"
 #: Brackets: none, or a pair by the number of words in it (1, 2, 3, more).
 PLACES = 1 + 4 * len(PAIRS)
 # Words by which German and English texts are told apart.
-_GERMAN, _ENGLISH = set("der die das und ich ist nicht den dem ein eine wir sie es von mit auf für war wie was bitte im zu".split()), set("the and of to was that is we it for with on by you they had his from".split())
+_GERMAN, _ENGLISH = set("der die das und ich ist nicht den dem ein eine wir sie es von mit auf für war wie was bitte im zu".split()), set("the and of to was that is we it for with on by you they had his from what who how why when where many near next back please tell us not without".split())
 OTHER, GERMAN, ENGLISH = range(3)
 #: Buckets of words, endings, beginnings and forms, so many of each token; tokens that a worker keeps.
 LEXICON, PARTS, KEEP = 1 << 14, 4, 200_000
