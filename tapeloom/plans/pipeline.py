@@ -29,7 +29,7 @@ from tapeloom.plans.base import ORDER, read, segments
 from tapeloom.plans.intervals import label_of
 from tapeloom.plans.machines import classified, split_mixed
 from tapeloom.plans.texts import command_halves, introduced
-from tapeloom.session import cut
+from tapeloom.session import cut, forget
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -84,21 +84,30 @@ def stamped(r: DataFrame) -> DataFrame:
 
 def replicas(spark: SparkSession, d: str) -> DataFrame:
     """file_id, pos, start_us, end_us, speaker, raw_speaker_id, text: the finished transcript."""
-    # every stage reads the table that the one before wrote: ordered helpers read their input several times
-    r = cut(with_commands(cut(aligned(spark, d), "aligned")), "commands")
-    r = cut(folds.boundary_carry(r, RAW).filter("trim(text) <> ''"), "carried")
+    def stage(df: DataFrame, label: str, *read: DataFrame) -> DataFrame:
+        """df written, and what it was read from deleted: ordered helpers read their input several times, so it must be a table, but only as long as that."""
+        out = cut(df, label)
+        if read:
+            forget(spark, *read)
+        return out
+
+    first = stage(aligned(spark, d), "aligned")
+    r = stage(with_commands(first), "commands", first)
+    r = stage(folds.boundary_carry(r, RAW).filter("trim(text) <> ''"), "carried", r)
     for across in (True, False):
         gone = folds.near_duplicates(r.select("file_id", "seg_id", "speaker", "text", "start_us", "end_us"), across).select(F.col("removed").alias("seg_id")).distinct()
-        r = cut(r.join(gone, "seg_id", "left_anti"), "distinct")
+        r = stage(r.join(gone, "seg_id", "left_anti"), "distinct", r)
     expert = read(spark, d, "audio_files").groupBy("file_id").agg(F.max("surname").alias("surname"))
-    merged = folds.merge_replicas(cut(without_drift(r), "drift"), folds.REPLICA + ", tape_no int").drop("n").join(expert, "file_id", "left")
+    r = stage(without_drift(r), "drift", r)
+    merged = folds.merge_replicas(r, folds.REPLICA + ", tape_no int").drop("n").join(expert, "file_id", "left")
     shape = folds.REPLICA.replace("n int, ", "") + ", tape_no int, surname string"
-    parts = cut(split_mixed(classified(cut(merged, "merged"), shape)), "split")
+    merged = stage(merged, "merged", r)
+    parts = stage(split_mixed(classified(merged, shape)), "split", merged)
     # parts have their order by id; whose speaker a stage changed takes that speaker's label on the tape
-    parts = with_running_sum(parts, "file_id", ["start_us", "seg_id", "part"], F.lit(1), "pos").join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left")
+    numbered = with_running_sum(parts, "file_id", ["start_us", "seg_id", "part"], F.lit(1), "pos").join(label_of(spark, d), ["file_id", "tape_no", "speaker"], "left")
     raw = F.when(F.col("n_parts") > 1, F.coalesce("label_of_speaker", "raw_speaker_id")).otherwise(F.col("raw_speaker_id"))
-    parts = cut(parts.withColumn("raw_speaker_id", raw).drop("seg_id", "part", "n_parts", "label_of_speaker").withColumnRenamed("pos", "seg_id").join(expert, "file_id", "left"), "parts")
-    out = cut(stamped(introduced(parts).drop("surname", "tape_no")), "stamped")
+    parts = stage(numbered.withColumn("raw_speaker_id", raw).drop("seg_id", "part", "n_parts", "label_of_speaker").withColumnRenamed("pos", "seg_id").join(expert, "file_id", "left"), "parts", parts)
+    out = stage(stamped(introduced(parts).drop("surname", "tape_no")), "stamped", parts)
     return with_running_sum(out, "file_id", ORDER, F.lit(1), "pos").select("file_id", "pos", "start_us", "end_us", "speaker", "raw_speaker_id", "text")
 
 

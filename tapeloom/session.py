@@ -41,12 +41,13 @@ def shared_folder(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
-def forget(spark: SparkSession) -> None:
-    """Deletes the tables that ``cut`` wrote in this application; results that still read them are lost."""
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes these tables that ``cut`` wrote, or all of this application; results that still read them are lost."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()  # noqa: SLF001 - the only way to the file system of the shared folder
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in [t.cut_path for t in tables] if tables else list(_written):
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        _written.remove(name)
 
 
 @atexit.register
@@ -65,4 +66,6 @@ def cut(df: DataFrame, label: str = "cut", files: int | None = None) -> DataFram
     path = f"{shared_folder(spark)}/tapeloom/{label}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
