@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.functions.text import hms, tokens
 from tapeloom.operators.deliveries import latest
 
 ORDER = ["start_us", "seg_id"]

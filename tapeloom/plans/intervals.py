@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tapeloom.functions import lexicon as X
-from tapeloom.functions.text import any_hit, hms, n_words, sql_any, tokens
+from tapeloom.functions.text import any_hit, hms, n_words, sql_any
 from tapeloom.operators.intervals import gaps, periods
 from tapeloom.operators.ordered import chunked, interval_join, with_islands, with_last, with_neighbours, with_running_sum
 from tapeloom.operators.prefix import prefixed
@@ -464,6 +464,3 @@ def label_periods(spark: SparkSession, d: str) -> DataFrame:
 @query("silences_of_recordings", "SELECT file_id, p AS start_us, start_us AS end_us FROM (SELECT *, max(end_us) OVER (PARTITION BY file_id ORDER BY start_us, seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM seg WHERE end_us >= start_us) WHERE start_us - p > 3000000 AND start_us - p <= 600000000")
 def silences(spark: SparkSession, d: str) -> DataFrame:
     return gaps(segments(spark, d), ["file_id"], longer_than_us=3_000_000, at_most_us=600_000_000)
-
-
-_ = (X, tokens)

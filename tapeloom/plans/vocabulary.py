@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as Y
 from pyspark.sql import Window as W
 
 from tapeloom.functions import lexicon as X
-from tapeloom.functions.text import any_hit, hms, re2
+from tapeloom.functions.text import hms, re2
 from tapeloom.operators import vocabulary as V
 from tapeloom.operators.term_counts import term_counts
-from tapeloom.plans.base import ORDER, SEG, TERMS, read, segments, terms
+from tapeloom.plans.base import SEG, TERMS, read, segments, terms
 from tapeloom.session import cut
 
 QUERIES: dict = {}
@@ -526,4 +525,11 @@ def src7(spark: SparkSession, d: str) -> DataFrame:
     return read_terms(spark, write_terms(terms(spark, d))).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-_ = (Y, ORDER, any_hit, cut)
+@query("ag14_parser_run", "SELECT host, count(*) AS total, count(*) FILTER (WHERE NOT skipped AND n > 0) AS success, count(*) FILTER (WHERE NOT skipped AND n = 0) AS failed, count(*) FILTER (WHERE skipped) AS skipped, CAST(coalesce(sum(n) FILTER (WHERE NOT skipped), 0) AS BIGINT) AS terms FROM (SELECT p.host, p.method <> 'requests+bs4' AS skipped, coalesce(t.n, 0) AS n FROM (SELECT page_id, host, " + PARSE + " AS method FROM rkka WHERE url IS NOT NULL AND host IS NOT NULL) p LEFT JOIN (SELECT page_id, count(DISTINCT t) AS n FROM an WHERE length(t) BETWEEN 3 AND 80 AND regexp_matches(t, '[А-ЯЁа-яё]{2,}') GROUP BY 1) t ON t.page_id = p.page_id) GROUP BY host", ANCHOR)
+def ag14_run(spark: SparkSession, d: str) -> DataFrame:
+    """The report of a run over the pages of each host: how many were read with terms, without, or left out by their method, and the terms."""
+    u = F.col("url")
+    r = read(spark, d, "rkka").filter("url is not null and host is not null").select("page_id", "host", (V.parse_method(u, domain(u), F.col("status_code")) != "requests+bs4").alias("skipped"))
+    r = r.join(voc1a(spark, d).groupBy("page_id").agg(F.count(F.lit(1)).alias("n")), "page_id", "left").withColumn("n", F.when(F.col("skipped"), 0).otherwise(F.coalesce("n", F.lit(0))))
+    c = lambda e: F.count_if(F.expr(e))
+    return r.groupBy("host").agg(F.count(F.lit(1)).alias("total"), c("not skipped and n > 0").alias("success"), c("not skipped and n = 0").alias("failed"), c("skipped").alias("skipped"), F.sum("n").alias("terms"))

@@ -43,3 +43,26 @@ def write_txt(lines: DataFrame, path: str) -> None:
 def read_txt(spark: SparkSession, path: str) -> DataFrame:
     """The lines of such texts with their recording and part."""
     return spark.read.text(path).select("file_id", F.col("value").alias("line"), F.element_at(F.split(F.input_file_name(), "/"), -1).alias("part"))
+
+
+ASR_SCHEMA = "file_id string, segments array<struct<start double, end double, text string, avg_logprob double, words array<struct<word string, start double, end double, probability double>>>>"
+
+
+def read_asr(spark: SparkSession, path: str) -> DataFrame:
+    """SRC3: recognised segments of JSON documents, one row each, times in whole microseconds, words with their probabilities; what cannot be read is left out."""
+    rows = spark.read.schema(ASR_SCHEMA).json(path, mode="DROPMALFORMED").filter("file_id is not null").select("file_id", F.posexplode("segments").alias("pos", "s"))
+    us = lambda c: F.round(F.col(c) * 1_000_000).cast("long")
+    return rows.select("file_id", "pos", us("s.start").alias("start_us"), us("s.end").alias("end_us"), F.col("s.text").alias("text"), F.col("s.avg_logprob").alias("confidence"), F.col("s.words").alias("words"))
+
+
+def write_log(lines: DataFrame, path: str) -> None:
+    """SNK11 on (phase, at, line): the main log, and one for each phase beside it, lines in order; each is sorted by range, not gathered."""
+    main = lines.select(F.lit("main").alias("log"), "at", "line")
+    both = main.unionByName(lines.filter("phase is not null").select(F.concat(F.lit("phase-"), "phase").alias("log"), "at", "line"))
+    both.repartitionByRange("log", "at").sortWithinPartitions("log", "at").select("log", F.col("line").alias("value")).write.mode("overwrite").partitionBy("log").text(path)
+
+
+def publish(results: dict[str, DataFrame], path: str) -> None:
+    """SNK10: tables of results as JSON below one folder, each replacing what was published before under its name."""
+    for name, df in results.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")

@@ -128,3 +128,17 @@ def test_filled_gaps_are_clamped_trimmed_and_attributed():
 def test_tolerance_join_takes_each_second_once():
     rows = [{"part": "1", "sec": s, "side": k} for k, s in [(0, 10), (0, 12), (0, 30), (0, 41), (1, 11), (1, 12), (1, 36), (1, 44), (1, 46)]]
     assert {(r["de_sec"], r["ru_sec"]) for r in folds.align_section(rows)} == {(10, 11), (12, 12), (30, None), (41, 36), (None, 44), (None, 46)}
+
+
+def test_recognised_segments_and_logs_and_results(spark, tmp_path):
+    (tmp_path / "asr").mkdir()
+    (tmp_path / "asr" / "a.json").write_text('{"file_id": "f", "segments": [{"start": 0.5, "end": 2.000001, "text": "Полк", "avg_logprob": -0.2, "words": [{"word": "Полк", "start": 0.5, "end": 1, "probability": 0.9}]}, {"start": 3, "end": 4}]}\n{broken\n{"segments": []}\n')
+    got = files.read_asr(spark, f"file://{tmp_path}/asr").orderBy("pos").collect()
+    assert [(r.file_id, r.start_us, r.end_us, r.text, r.words and r.words[0].probability) for r in got] == [("f", 500_000, 2_000_001, "Полк", 0.9), ("f", 3_000_000, 4_000_000, None, None)]
+    lines = spark.createDataFrame([("merge" if i % 2 else None, i, f"line {i}") for i in range(50)], "phase string, at int, line string").repartition(5)
+    files.write_log(lines, f"file://{tmp_path}/log")
+    read = lambda name: [x for p in sorted((tmp_path / "log" / f"log={name}").glob("part-*")) for x in p.read_text().splitlines()]
+    assert read("main") == [f"line {i}" for i in range(50)] and read("phase-merge") == [f"line {i}" for i in range(1, 50, 2)]
+    for _ in range(2):
+        files.publish({"lines": lines}, f"file://{tmp_path}/out")
+    assert spark.read.json(f"file://{tmp_path}/out/lines").count() == 50
