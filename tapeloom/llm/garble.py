@@ -47,6 +47,8 @@ _ENTITY = re.compile(r"&(?!(?:lt|gt|amp|quot|apos);)#?\w+;")
 _WORD = re.compile(r"\S+")
 _MIXED = re.compile(r"[A-Za-zÀ-ɏ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ɏ]")
 _PRIVATE = re.compile(r"[\ue000-\uf8ff]")
+_SIGN = re.compile(r"[^\w\s\x00-\x7f]")
+_CAPITAL = re.compile(r"(?<!\S)[^\w\s\x00-\x7f](?=[а-яё]{3})")
 _SIGNS = re.compile(r"[^\x00-\x7fЀ-ӿ]{2,}")
 
 
@@ -151,9 +153,13 @@ def _choice(text: str, costs: Costs) -> list[tuple[str, str]]:
         for cost, got, steps in front:
             if cost < best - 2.0 and costs.strange(got) <= strange:
                 best, how = cost, steps
-    if not how or whole - best < max(SAVE_ALL, SAVE_EACH * odd):
+    if not how:
         return []
     got = _apply(text, how) or ""
+    # a sign in place of a word's capital is evidence of its own: what is saved by one letter is little
+    capital = how == [("cp1251", "mac_cyrillic")] and all(got[m.start()].isupper() for m in _CAPITAL.finditer(text)) and len(_CAPITAL.findall(text)) == len(_SIGN.findall(text)) > 0
+    if whole - best < (SAVE_SIGNS if capital else max(SAVE_ALL, SAVE_EACH * odd)):
+        return []
     return [] if _PRIVATE.search(got) or len(_MIXED.findall(got)) > len(_MIXED.findall(text)) else how
 
 

@@ -286,3 +286,8 @@ def test_deep_pages_take_linear_time():
         dom.body_pieces(["<div>text here " * n], trees)
         took.append(time.process_time() - began)
     assert took[1] < 40 * max(took[0], 0.05)
+
+
+@pytest.mark.parametrize(("bad", "good"), [("“ставы", "Уставы"), ("’ехника", "Техника"), ("‘сылки", "Ссылки"), ("„окументы", "Документы"), ("„слово“", "„слово“"), ("…потом ушли", "…потом ушли"), ("‘слово’", "‘слово’"), ("•полк", "•полк")])
+def test_signs_in_place_of_capitals(bad, good):
+    assert garble.repair(f"<a>{bad}</a>", garble.Costs.load())[0] == f"<a>{good}</a>"
