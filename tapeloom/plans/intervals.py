@@ -464,3 +464,11 @@ def label_periods(spark: SparkSession, d: str) -> DataFrame:
 @query("silences_of_recordings", "SELECT file_id, p AS start_us, start_us AS end_us FROM (SELECT *, max(end_us) OVER (PARTITION BY file_id ORDER BY start_us, seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM seg WHERE end_us >= start_us) WHERE start_us - p > 3000000 AND start_us - p <= 600000000")
 def silences(spark: SparkSession, d: str) -> DataFrame:
     return gaps(segments(spark, d), ["file_id"], longer_than_us=3_000_000, at_most_us=600_000_000)
+
+
+@query("qa5_checkpoints_by_minute", "SELECT file_id, m AS minute, arg_min(seg_id, (start_us, seg_id)) AS first_seg, count(*) AS n FROM (SELECT *, unnest(range(CAST(ceil(start_us / 60e6) AS BIGINT), CAST(floor((end_us - 1) / 60e6) AS BIGINT) + 1)) AS m FROM seg WHERE end_us > start_us) GROUP BY file_id, m")
+def qa5_minutes(spark: SparkSession, d: str) -> DataFrame:
+    """At every full minute of a recording: the first segment that covers it (its start counts, its end does not), and how many do."""
+    r = segments(spark, d).filter("end_us > start_us").withColumns({"a": F.ceil(F.col("start_us") / 60e6).cast("long"), "b": F.floor((F.col("end_us") - 1) / 60e6).cast("long")}).filter("a <= b")
+    r = r.withColumn("minute", F.explode(F.sequence("a", "b")))
+    return r.groupBy("file_id", "minute").agg(F.min_by("seg_id", F.struct(*ORDER)).alias("first_seg"), F.count(F.lit(1)).alias("n"))

@@ -142,3 +142,42 @@ def test_recognised_segments_and_logs_and_results(spark, tmp_path):
     for _ in range(2):
         files.publish({"lines": lines}, f"file://{tmp_path}/out")
     assert spark.read.json(f"file://{tmp_path}/out/lines").count() == 50
+
+
+def test_pages_are_fetched_once_with_retries_and_pauses(spark, tmp_path):
+    import datetime as dt
+
+    from tapeloom.sources.fetch import fetch_missing
+
+    log = str(tmp_path / "calls")
+
+    def get(url: str) -> str:
+        import time
+
+        with open(log, "a+") as f:
+            f.seek(0)
+            before = sum(x.startswith(url + " ") for x in f)
+            f.write(f"{url} {time.time()}\n")
+        if url.endswith("bad"):
+            raise ValueError("no such page")
+        if url.endswith("slow") and before < 1:
+            raise TimeoutError("late")
+        if url.endswith("down"):
+            raise ConnectionError("refused")
+        return "page of " + url
+
+    now = dt.datetime.now()
+    urls = spark.createDataFrame([(f"http://h.example/{x}",) for x in ("new", "bad", "slow", "down", "kept", "old", "new")], "url string")
+    cache = spark.createDataFrame([("http://h.example/kept", "older", now - dt.timedelta(days=2)), ("http://h.example/kept", "cached", now), ("http://h.example/old", "stale", now - dt.timedelta(days=30))], "url string, html string, fetched_at timestamp")
+    got = {r.url.rpartition("/")[2]: (r.html, r.error) for r in fetch_missing(urls, cache, get, tries=3, wait_s=0.01, pause_s=0.2).collect()}
+    page = lambda x: ("page of http://h.example/" + x, None)
+    assert got == {"new": page("new"), "bad": (None, "no such page"), "slow": page("slow"), "down": (None, "refused"), "kept": ("cached", None), "old": page("old")}
+    calls = [x.split() for x in open(log)]
+    count = lambda x: sum(u.endswith(x) for u, _ in calls)
+    assert (count("new"), count("bad"), count("slow"), count("down"), count("kept")) == (1, 1, 2, 3, 0)
+    # one host comes to one task, which waits between two addresses
+    last = {}
+    for u, t in calls:
+        if last and u not in last:
+            assert float(t) - max(last.values()) >= 0.19
+        last[u] = float(t)
