@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 JOURNALIST, OPERATOR, UNKNOWN, EXPERT_ROLE = "Журналист", "Оператор", "Неизвестно", "Спикер"
 
-#: The alias table is a dictionary kept by hand; more rows than this is an error, not a silent cut.
+#: Up to so many aliases become literals of the expression; a longer table is joined as one row instead, to the same result.
 MAX_ALIASES = 5000
 
 # Cyrillic capitals that look like Latin ones.
@@ -53,12 +53,21 @@ def _skeleton_py(s: str) -> str:
     return re.sub(r"[\W_]+", " ", s.upper().translate(str.maketrans(*_LOOKALIKE))).strip()
 
 
-def load_aliases(aliases: DataFrame) -> dict[str, str]:
-    """The alias dictionary on the driver: skeleton of the alias -> role.  Bounded by MAX_ALIASES."""
+def load_aliases(aliases: DataFrame) -> dict[str, str] | None:
+    """The alias dictionary on the driver: skeleton of the alias -> role; None where it holds more than MAX_ALIASES rows."""
     rows = aliases.select("alias", "role_name").filter("alias is not null and role_name is not null").limit(MAX_ALIASES + 1).collect()
-    if len(rows) > MAX_ALIASES:
-        raise ValueError(f"role_aliases holds more than {MAX_ALIASES} rows")
-    return {_skeleton_py(a): r for a, r in rows}
+    return None if len(rows) > MAX_ALIASES else {_skeleton_py(a): r for a, r in rows}
+
+
+def with_aliases(rows: DataFrame, aliases: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """rows, the skeletons of all aliases, and the map from them to roles: literals, or columns of a joined row."""
+    known = load_aliases(aliases)
+    if known is None:
+        own = aliases.filter("alias is not null and role_name is not null").groupBy(skeleton(F.col("alias")).alias("a")).agg(F.max("role_name").alias("r"))
+        return rows.join(F.broadcast(own.agg(F.map_from_entries(F.collect_list(F.struct("a", "r"))).alias("_lookup")))), F.map_keys("_lookup"), F.col("_lookup")  # one row
+    if not known:
+        return rows, F.array().cast("array<string>"), F.lit(None).cast("map<string,string>")
+    return rows, F.array(*[F.lit(a) for a in known]), F.create_map(*[x for a, r in known.items() for x in (F.lit(a), F.lit(r))])
 
 
 def tape_dimension(audio_files: DataFrame, speaker_roles: DataFrame) -> DataFrame:
@@ -86,7 +95,7 @@ def _role_of(role: Column) -> Column:
     return F.when(role == EXPERT_ROLE, F.col("_surname")).otherwise(role)
 
 
-def _named(label: Column, t: Column, aliases: dict[str, str]) -> Column:
+def _named(label: Column, t: Column, words: Column, lookup: Column) -> Column:
     """The name a label stands for; null where the label says nothing."""
     tokens = F.split(t, " ")
     sur, lat = F.col("_sur"), F.col("_lat")
@@ -96,8 +105,6 @@ def _named(label: Column, t: Column, aliases: dict[str, str]) -> Column:
     # Short forms of the roles, as skeletons.
     journalist = t.rlike(r"(^| )(ЖYPHAЛИCT|ZHURNALIST)") | t.rlike(r"^(Ж|ЖYP|ЖYPH|ЖYPHAЛ|Ж ?T|ЖYP ?T|KOPP|KOP|KOPPECП|ИHT|ИHTEPB|INT|BEД|PEП|PEПOPT|ZHURN)$")
     operator = t.rlike(r"(^| )OПEPATOP") | t.rlike(r"^(OП|OПEP|OПEPAT|KAM|OP|OPER)$")
-    words = F.array(*[F.lit(a) for a in aliases]) if aliases else F.array().cast("array<string>")
-    lookup = F.create_map(*[x for a, r in aliases.items() for x in (F.lit(a), F.lit(r))]) if aliases else F.lit(None).cast("map<string,string>")
     word = F.filter(tokens, lambda x: F.array_contains(words, x))
     slipped = F.filter(words, lambda a: one_slip(t, a))
     return (
@@ -133,13 +140,12 @@ def resolve_names(segments: DataFrame, audio_files: DataFrame, speaker_roles: Da
     spread over as many tasks; Spark broadcasts it instead where its measured
     size allows.
     """
-    aliases = load_aliases(role_aliases)
     dim = tape_dimension(audio_files, speaker_roles).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = segments.withColumn("_salt", F.pmod(F.xxhash64("start_us", "speaker", "raw_speaker_id", "end_us"), F.lit(salts)).cast("int"))
-    rows = rows.join(dim, ["file_id", "tape_no", "_salt"], "left")
+    rows, words, lookup = with_aliases(rows.join(dim, ["file_id", "tape_no", "_salt"], "left"), role_aliases)
     rows = rows.withColumns({"_t": skeleton(F.col("speaker")), "_r": skeleton(F.col("raw_speaker_id"))})
-    rows = rows.withColumn("_by_label", _named(F.col("speaker"), F.col("_t"), aliases))
-    by_raw = F.when(F.col("_by_label").isNull(), _named(F.col("raw_speaker_id"), F.col("_r"), aliases))
+    rows = rows.withColumn("_by_label", _named(F.col("speaker"), F.col("_t"), words, lookup))
+    by_raw = F.when(F.col("_by_label").isNull(), _named(F.col("raw_speaker_id"), F.col("_r"), words, lookup))
     if surname:
         rows = rows.withColumn(surname, F.col("_surname"))
-    return rows.withColumn(name, F.coalesce("_by_label", by_raw, F.lit(UNKNOWN))).drop("_salt", "_t", "_r", "_by_label", "_surname", "_sur", "_lat", "_giv", "_roles")
+    return rows.withColumn(name, F.coalesce("_by_label", by_raw, F.lit(UNKNOWN))).drop("_salt", "_t", "_r", "_by_label", "_surname", "_sur", "_lat", "_giv", "_roles", "_lookup")

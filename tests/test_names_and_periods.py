@@ -77,3 +77,13 @@ def test_periods_and_gaps_against_brute_force(spark, chunk):
         want.add((k, *cur))
     assert {tuple(r) for r in periods(df, ["k"], chunk_us=chunk).collect()} == want
     assert {tuple(r) for r in gaps(df, ["k"], longer_than_us=0, chunk_us=chunk).collect()} == holes
+
+
+def test_a_long_alias_table_gives_the_same_names(spark, folder, put, seg, monkeypatch):
+    from tapeloom.operators import names
+
+    tape(folder, put)
+    put(folder, "segments_merged", [seg(i, i * S, i * S + 1, s, raw_speaker_id=r) for i, (s, r, _) in enumerate(NAMES)])
+    monkeypatch.setattr(names, "MAX_ALIASES", 2)
+    got = {r.seg_id: r.name for r in timed_and_named(spark, str(folder)).collect()}
+    assert got == {i: n for i, (_, _, n) in enumerate(NAMES)}
