@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators.ordered import with_islands
 from tapeloom.operators.speech_periods import GAP_AT_MOST_US, named_segments, valid_segments
+from tapeloom.session import cut
 
 LABELS = ("speech", "timestamp", "sound", "filler", "head", "punct")
 SPEECH, TIMESTAMP, SOUND, FILLER, HEAD, PUNCT = range(6)
@@ -326,6 +327,7 @@ def p4_turns(spark: SparkSession, d: str) -> DataFrame:
     rows = _segments(spark, d).filter("file_id is not null and start_us is not null and end_us >= start_us")
     rows = rows.select("surname", "text", "file_id", "start_us", "end_us", "seg_id", F.col("name").alias("speaker"))
     said = rows.mapInArrow(clean_batches, "file_id string, start_us bigint, end_us bigint, seg_id bigint, speaker string, spoken string")
+    said = cut(said, "said")  # labelled once; the islands read it several times, most of them without the text
     order = ["start_us", "end_us", "seg_id"]
     breaks = (F.col("speaker") != F.col("prev_speaker")) | (F.col("start_us") - F.col("prev_end_us") > GAP_AT_MOST_US)
     marked = with_islands(said, "file_id", order, ["speaker", "end_us"], breaks, "turn")
